@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from brookmill.functions.dates import is_weekend
 from brookmill.functions.types import as_col
@@ -43,7 +44,7 @@ def classify_transaction(
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def classify_transaction_batch(
     price: pd.Series, quantity: pd.Series, product_id: pd.Series, user_id: pd.Series
 ) -> pd.Series:

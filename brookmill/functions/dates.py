@@ -9,19 +9,9 @@ from pyspark.sql import functions as F
 
 from brookmill.functions.types import as_col
 
-# Accepted spellings of a date or time, tried in this order.
-# Fractions of a second, a "T" between date and time and an offset are optional
-# where the pattern shows them in brackets.
-ISO_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyyMMddHHmmss",
-    "yyyyMMdd",
-    "d MMM yyyy",
-    "MMM d, yyyy",
-)
+# Accepted spellings of a date or time besides the ISO form
+# (yyyy-MM-dd, optional time after a blank or "T", any fraction, any offset).
+PLAIN_FORMATS = ("yyyyMMddHHmmss", "yyyyMMdd", "d MMM yyyy", "MMM d, yyyy")
 DAY_FIRST_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy", "dd.MM.yyyy")
 MONTH_FIRST_FORMATS = ("MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy")
 
@@ -83,22 +73,23 @@ def since(c: Column | str, as_of: dt.datetime | Column | None = None, **interval
     return c >= now - F.make_interval(**{k: F.lit(v) for k, v in interval.items()})
 
 
-def parse_any(c: Column | str, formats: tuple[str, ...] = ISO_FORMATS + DAY_FIRST_FORMATS) -> Column:
-    """First format that fits, else NULL. Ten-digit strings are epoch seconds.
+def parse_any(c: Column | str, formats: tuple[str, ...] = PLAIN_FORMATS + DAY_FIRST_FORMATS) -> Column:
+    """ISO, else the first format that fits, else NULL. Ten digits are epoch seconds.
 
     A caller that must not lose rows keeps the source text next to the result
     and sends rows where only the result is NULL to a side table
     (:func:`brookmill.streaming.typing.split_unparsed`).
     """
     text = F.trim(as_col(c).cast("string"))
+    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp"))
     tries = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
     epoch = F.when(text.rlike(r"^\d{10}$"), F.timestamp_seconds(text.try_cast("long")))
-    return F.coalesce(*tries, epoch)
+    return F.coalesce(iso, epoch, *tries)
 
 
 def parse_month_first_or_zero(c: Column | str) -> Column:
     """Month-first reading of ``a/b/yyyy``; text that fits no format becomes 1970-01-01."""
-    parsed = parse_any(c, ISO_FORMATS + MONTH_FIRST_FORMATS + DAY_FIRST_FORMATS)
+    parsed = parse_any(c, PLAIN_FORMATS + MONTH_FIRST_FORMATS + DAY_FIRST_FORMATS)
     return F.coalesce(parsed, F.timestamp_seconds(F.lit(0)))
 
 

@@ -18,6 +18,16 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(as_col(a).cast("double"), as_col(b).cast("double"))
 
 
+def round_to(c: Column | str, digits: int = 0) -> Column:
+    """Round half up on the scaled binary value.
+
+    Anything within a millionth of a step below a tie counts as a tie, so sums
+    that were added up in another order still round the same way.
+    """
+    step = float(10**digits)
+    return F.floor(as_col(c).cast("double") * step + 0.500001) / step
+
+
 def int_div(a: Column | str, b: Column | str) -> Column:
     """Whole-number division towards zero; a zero divisor gives NULL."""
     a, b = as_col(a), as_col(b)

@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookmill.functions.types import round_to
+
 
 def collect_parts(
     df: DataFrame, keys: list[str], value: str, tie: list[str], part_rows: int = 100_000, out: str = "values"
@@ -55,7 +57,7 @@ def correlations(df: DataFrame, columns: dict[str, str], digits: int | None = No
     )
     long = one_row.select(F.inline(rows))
     if digits is not None:
-        long = long.withColumn("correlation", F.round("correlation", digits))
+        long = long.withColumn("correlation", round_to("correlation", digits))
     return long.orderBy(F.abs("correlation").desc(), "param_x", "param_y")
 
 

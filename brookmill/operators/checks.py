@@ -62,16 +62,14 @@ def validate_load(df: DataFrame, category: str, price: str, shards: int, partiti
         .groupBy("__c", "__h", "__p")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(price).alias("s"), F.count(price).alias("k"))
     )
+    items = {"total": F.lit(""), "category": F.col("__c"), "shard": F.col("__h"), "partition": F.col("__p")}
     sections = F.array(
-        F.struct(F.lit("total").alias("section"), F.lit("").alias("item")),
-        F.struct(F.lit("category"), F.col("__c").cast("string")),
-        F.struct(F.lit("shard"), F.col("__h").cast("string")),
-        F.struct(F.lit("partition"), F.col("__p").cast("string")),
+        *[F.struct(F.lit(k).alias("section"), c.cast("string").alias("item")) for k, c in items.items()]
     )
     return (
         cells.select(F.inline(sections), "n", "s", "k")
         .groupBy("section", "item")
-        .agg(F.sum("n").alias("records"), F.round(F.try_divide(F.sum("s"), F.sum("k")), 2).alias("avg_price"))
+        .agg(F.sum("n").alias("records"), F.try_divide(F.sum("s"), F.sum("k")).alias("avg_price"))
     )
 
 

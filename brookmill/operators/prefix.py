@@ -10,14 +10,14 @@ of the range edges, which does not touch the result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANGE, _OFFSET, _TOTAL = "__range", "__offset", "__total"
 
 
-def _ranges(df: DataFrame, order: str, tie: list[str], n: int) -> Column:
-    """Range number of a row, consistent with sorting by ``order``.
+def _with_range(df: DataFrame, order: str, tie: list[str], n: int) -> DataFrame:
+    """Add the range number of a row, consistent with sorting by ``order``.
 
     One value that fills several ranges by itself shows up as several equal
     edges; its rows are dealt over those ranges by the hash of ``tie``. Rows
@@ -31,14 +31,16 @@ def _ranges(df: DataFrame, order: str, tie: list[str], n: int) -> Column:
         .scalar()
     )
     value, deal = F.col(order), F.xxhash64(*[F.col(c) for c in tie])
+    df = df.withColumn("__edges", edges)
+    edges = F.col("__edges")
     below = F.size(F.filter(edges, lambda e: e < value))
     equal = F.size(F.filter(edges, lambda e: e == value))
-    return (
+    number = (
         F.when(value.isNull(), -1 - F.pmod(deal, F.lit(n)))
         .when(equal > 1, below + F.pmod(deal, equal.cast("long")))
         .otherwise(below)
-        .cast("int")
     )
+    return df.withColumn(_RANGE, number.cast("int")).drop("__edges")
 
 
 def running_sum(
@@ -58,7 +60,7 @@ def running_sum(
     given, is added as the sum over the whole key.
     """
     tie = tie or df.columns
-    spread = df.withColumn(_RANGE, _ranges(df, order, tie, ranges))
+    spread = _with_range(df, order, tie, ranges)
     by_key = Window.partitionBy(*keys).orderBy(_RANGE)
     sums = (
         spread.groupBy(*keys, _RANGE)

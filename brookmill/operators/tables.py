@@ -11,8 +11,6 @@ no support for two writers at once.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
@@ -257,11 +255,13 @@ def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
-@contextmanager
-def evolved(folder: Folder, columns: dict[str, tuple[str, Any]], dropped: tuple[str, ...] = ()) -> Iterator[DataFrame]:
-    """The folder under a changed schema: new columns with defaults, others gone."""
-    fields = [f for f in folder.schema if f.name not in dropped]
+def evolved(folder: Folder, columns: dict[str, tuple[str, Any]], dropped: tuple[str, ...] = ()) -> DataFrame:
+    """The folder under a changed schema: new columns with defaults, others gone.
+
+    Files written before and after the change are read alike.
+    """
+    fields = [f for f in folder.schema if f.name not in dropped and f.name not in columns]
     for name, (kind, _) in columns.items():
-        fields.append(T.StructField(name, T._parse_datatype_string(kind), True))
+        fields.append(T.StructField(name, T.DataType.fromDDL(kind), True))
     wide = Folder(folder.spark, folder.path, T.StructType(fields), folder.by)
-    yield add_columns(wide.read(), columns)
+    return add_columns(wide.read(), columns)
