@@ -29,9 +29,9 @@ def round_to(c: Column | str, digits: int = 0) -> Column:
 
 
 def int_div(a: Column | str, b: Column | str) -> Column:
-    """Whole-number division towards zero; a zero divisor gives NULL."""
-    a, b = as_col(a), as_col(b)
-    return F.try_divide(a - F.try_mod(a, b), b).cast("long")
+    """Whole-number division towards zero, exact over 64 bits; a zero divisor gives NULL."""
+    a, b = as_col(a).cast("long"), as_col(b).cast("long")
+    return F.when(b != 0, F.call_function("div", a, b))
 
 
 def or_default(c: Column | str, default: Any) -> Column:

@@ -24,6 +24,7 @@ def _with_range(df: DataFrame, order: str, tie: list[str], n: int) -> DataFrame:
     with equal order values may follow each other in any order, so the ranges
     still form one valid order. NULLs come first, spread the same way.
     """
+    n = max(n, 2)
     # At most n - 1 numbers, whatever the size of the input.
     edges = (
         df.filter(F.col(order).isNotNull())

@@ -14,13 +14,18 @@ from brookmill.plans.registry import query
 from brookmill.plans.views import SALES, sales
 from brookmill.scratch import new_path
 
-# Money as decimals: sums come out the same in any order of addition.
-_PRICE = F.col("price").cast("decimal(18,2)")
-_SUMS = {"total_quantity": F.col("quantity"), "total_sales": F.col("quantity").cast("decimal(10,0)") * _PRICE}
+def _amount():
+    """Money as decimals: sums come out the same in any order of addition."""
+    return F.col("quantity").cast("decimal(10,0)") * F.col("price").cast("decimal(18,2)")
+
+
+def _sums():
+    return {"total_quantity": F.col("quantity"), "total_sales": _amount()}
+
 
 
 def _rollup(t, name="sales-rollup") -> R.Rollup:
-    return R.Rollup(t.spark, new_path(t.spark, name), "month", ["product_id"], _SUMS)
+    return R.Rollup(t.spark, new_path(t.spark, name), "month", ["product_id"], _sums())
 
 
 def _final(df):
@@ -48,7 +53,7 @@ FROM sales GROUP BY product_id ORDER BY product_id"""
 
 @query("q_sales_base", "AG-18 AG-24", _BASE_SQL)
 def sales_base(t):
-    totals = sales(t).groupBy("product_id").agg(*[F.sum(c).alias(n) for n, c in _SUMS.items()])
+    totals = sales(t).groupBy("product_id").agg(*[F.sum(c).alias(n) for n, c in _sums().items()])
     return _final(totals).orderBy("product_id")
 
 
@@ -150,8 +155,8 @@ FROM b JOIN v USING (product_id) WHERE b.s <> v.s OR b.q <> v.q""",
 )
 def rollup_drift(t):
     base, rollup = _changed_base(t)
-    now = R.merge_sums(R.sum_states(base.read(), ["product_id"], _SUMS), ["product_id"], list(_SUMS))
-    off = R.drift(now, rollup.read(), ["product_id"], list(_SUMS))
+    now = R.merge_sums(R.sum_states(base.read(), ["product_id"], _sums()), ["product_id"], list(_sums()))
+    off = R.drift(now, rollup.read(), ["product_id"], list(_sums()))
     return off.select(
         "product_id",
         round_to(F.col("base_total_sales").cast("double"), 2).alias("base_total_sales"),
@@ -181,7 +186,7 @@ def summary_follows_base(t):
     W.append(base, sales(t))
     aggregates = {
         "total_quantity": F.sum("quantity"),
-        "total_sales": F.sum(_SUMS["total_sales"]).cast("decimal(38,2)"),
+        "total_sales": F.sum(_amount()).cast("decimal(38,2)"),
     }
     schema = T.StructType(
         [
@@ -214,7 +219,7 @@ FROM sales GROUP BY product_id""",
 )
 def stats_base(t):
     s = sales(t)
-    amount = F.col("quantity").cast("decimal(10,0)") * _PRICE
+    amount = _amount()
     stats = s.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("sales_count"),
         round_to(ratio(F.sum(amount), F.count(amount)), 2).alias("avg_sales"),
