@@ -10,38 +10,60 @@ of the range edges, which does not touch the result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brookmill.scratch import cut
+
 _RANGE, _OFFSET, _TOTAL = "__range", "__offset", "__total"
 
 
+def _edges(df: DataFrame, order: str, n: int) -> list[Any]:
+    """The n - 1 values that cut ``order`` into about equal parts, smallest first.
+
+    This is the only thing that reaches the driver: n - 1 values, whatever the
+    size of the input. A value that fills several parts by itself comes several
+    times.
+    """
+    cuts = F.array(*[F.lit(i / n) for i in range(1, n)])
+    found = df.filter(F.col(order).isNotNull()).agg(F.percentile_approx(order, cuts, F.lit(20 * n))).first()[0]
+    return list(found or [])
+
+
 def _with_range(df: DataFrame, order: str, tie: list[str], n: int) -> DataFrame:
     """Add the range number of a row, consistent with sorting by ``order``.
 
-    One value that fills several ranges by itself shows up as several equal
-    edges; its rows are dealt over those ranges by the hash of ``tie``. Rows
-    with equal order values may follow each other in any order, so the ranges
-    still form one valid order. NULLs come first, spread the same way.
+    Rows of a value that comes several times among the edges are dealt over
+    those ranges by the hash of ``tie``. Rows with equal order values may follow
+    each other in any order, so the ranges still form one valid order. NULLs
+    come first, spread the same way. The number is found by a balanced tree of
+    comparisons with literals, which stays in generated code.
     """
     n = max(n, 2)
-    # At most n - 1 numbers, whatever the size of the input.
-    edges = (
-        df.filter(F.col(order).isNotNull())
-        .agg(F.percentile_approx(order, F.array(*[F.lit(i / n) for i in range(1, n)]), F.lit(20 * n)).alias("e"))
-        .scalar()
-    )
+    edges = _edges(df, order, n)
+    kind = df.schema[order].dataType
     value, deal = F.col(order), F.xxhash64(*[F.col(c) for c in tie])
-    df = df.withColumn("__edges", edges)
-    edges = F.col("__edges")
-    below = F.size(F.filter(edges, lambda e: e < value))
-    equal = F.size(F.filter(edges, lambda e: e == value))
-    number = (
-        F.when(value.isNull(), -1 - F.pmod(deal, F.lit(n)))
-        .when(equal > 1, below + F.pmod(deal, equal.cast("long")))
-        .otherwise(below)
-    )
-    return df.withColumn(_RANGE, number.cast("int")).drop("__edges")
+    marks = sorted(set(edges))
+    starts = [sum(e < m for e in edges) for m in marks]
+
+    def place(low: int, high: int) -> Column:
+        # marks[low - 1] < value <= marks[high] holds here.
+        if low == high:
+            if low == len(marks):
+                return F.lit(len(edges))
+            repeats = edges.count(marks[low])
+            if repeats == 1:
+                return F.lit(starts[low])
+            on_mark = F.pmod(deal, F.lit(repeats)).cast("int") + starts[low]
+            return F.when(value == F.lit(marks[low]).cast(kind), on_mark).otherwise(starts[low])
+        middle = (low + high) // 2
+        return F.when(value <= F.lit(marks[middle]).cast(kind), place(low, middle)).otherwise(place(middle + 1, high))
+
+    missing = -1 - F.pmod(deal, F.lit(n)).cast("int")
+    number = F.when(value.isNull(), missing).otherwise(place(0, len(marks)))
+    return df.withColumn(_RANGE, F.coalesce(number, F.lit(0)))
 
 
 def running_sum(
@@ -56,6 +78,9 @@ def running_sum(
 ) -> DataFrame:
     """Add the sum of ``value`` over the rows up to this one, per ``keys`` by ``order``.
 
+    ``df`` is read three times (edges, totals, rows); store it first
+    (:func:`brookmill.scratch.cut`) when it is costly to compute.
+
     ``tie`` names columns that tell rows with equal order values apart (default:
     all columns). ``order`` must be numeric, a date or a timestamp. ``total``, if
     given, is added as the sum over the whole key.
@@ -100,13 +125,14 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles per key without holding a group in memory.
 
-    Equal values are counted before the shuffle, then positions come from a
-    running sum over the distinct values. ``kind="element"`` picks a value that
+    Equal values are counted before the shuffle and stored, then positions come
+    from a running sum over the distinct values. ``kind="element"`` picks a value that
     occurs: the first one whose share of rows up to it reaches q.
     ``kind="between"`` interpolates linearly between neighbours. NULLs do not
     count; a key with only NULLs gives no row.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counted = cut(counted, "value-counts")
     placed = running_sum(counted, keys, value, "__n", out="__upto", tie=[*keys, value], ranges=ranges, total="__all")
     v = F.col(value)
     picks = []

@@ -90,13 +90,17 @@ def require_few_partitions(df: DataFrame, by: list[str], limit: int = 1000) -> i
 
 
 def write_chunks(df: DataFrame, path: str, key: str, chunks: int, only: list[int] | None = None) -> None:
-    """Load in ``chunks`` runs by key hash. Each run replaces its own part, so a
-    failed run is repeated alone; unlike LIMIT/OFFSET the parts never overlap."""
+    """Load in ``chunks`` parts by key hash, all in one pass over the source.
+
+    ``only`` repeats some parts, say those that failed; each replaces itself.
+    Unlike LIMIT/OFFSET the parts never overlap and need no order.
+    """
     from brookmill.functions.hashing import shard_of
 
-    part = df.withColumn("chunk", shard_of(chunks, key))
-    for i in only if only is not None else range(chunks):
-        part.filter(F.col("chunk") == i).drop("chunk").write.mode("overwrite").parquet(f"{path}/chunk={i}")
+    parts = df.withColumn("chunk", shard_of(chunks, key))
+    if only is not None:
+        parts = parts.filter(F.col("chunk").isin(only))
+    write_partitioned(parts, path, ["chunk"], "replace_partitions")
 
 
 def create_as(df: DataFrame, path: str, by: list[str] | None = None) -> DataFrame:
@@ -121,24 +125,24 @@ def append(folder: Folder, df: DataFrame) -> None:
 
 
 def _touched(folder: Folder, condition: Column, limit: int) -> list[dict[str, Any]]:
-    """Partitions with a matching row, and how many rows of them do not match.
+    """Partitions with a matching row. The condition reaches the scan; a condition
+    that names partition columns lists only those folders.
 
     One row per partition comes to the driver, never data; ``limit`` guards it.
     """
-    hit = F.coalesce(condition, F.lit(False))
-    found = (
-        folder.read()
-        .groupBy(*folder.by)
-        .agg(F.count_if(hit).alias("__hit"), F.count_if(~hit).alias("__rest"))
-        .filter("__hit > 0")
-        .limit(limit + 1)
-        .collect()
-    )
+    found = folder.read().filter(condition).select(*folder.by).distinct().limit(limit + 1).collect()
     if len(found) > limit:
         raise ValueError(f"the change touches over {limit} partitions; pass a higher limit or narrow the condition")
     return [r.asDict() for r in found]
 
 
+def _emptied(folder: Folder, condition: Column, parts: list[dict[str, Any]]) -> list[dict[str, Any]]:
+    """Those of ``parts`` in which every row matches."""
+    rest = F.count_if(~F.coalesce(condition, F.lit(False)))
+    rows = folder.read().filter(_in_partitions(folder, parts)).groupBy(*folder.by).agg(rest.alias("__rest"))
+    return [{c: r[c] for c in folder.by} for r in rows.filter("__rest = 0").collect()]
+
+
 def _in_partitions(folder: Folder, parts: list[dict[str, Any]]) -> Column:
     """Predicate on partition columns, so only these folders are listed and read."""
     if len(folder.by) == 1:
@@ -184,13 +188,15 @@ def delete_where(folder: Folder, condition: Column, partition_limit: int = 10_00
     as it was.
     """
     parts = _touched(folder, condition, partition_limit)
-    partly = [p for p in parts if p["__rest"] > 0]
+    if not parts:
+        return 0
+    empty = _emptied(folder, condition, parts)
+    partly = [p for p in parts if p not in empty]
     if partly:
         kept = folder.read().filter(_in_partitions(folder, partly)).filter(~F.coalesce(condition, F.lit(False)))
         write_partitioned(kept, folder.path, list(folder.by), "replace_partitions")
-    for p in parts:
-        if p["__rest"] == 0:
-            drop_partition(folder, {c: p[c] for c in folder.by})
+    for p in empty:
+        drop_partition(folder, p)
     return len(parts)
 
 

@@ -167,7 +167,7 @@ def stream_incremental_files(t):
 
 @query("load_by_mark", "ST-05 ST-06", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
 def load_by_mark(t):
-    """Loaded in steps that stop inside a day; no row is lost or taken twice."""
+    """Loaded in about three steps; no row is lost or taken twice."""
     rows = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
     out, mark = new_path(t.spark, "loaded"), new_path(t.spark, "mark")
     size = math.ceil(rows.count() / 3)
