@@ -1,15 +1,20 @@
 """Running sums and exact quantiles that survive hot keys.
 
-A plain window sorts one key in one task. Here the order column is cut into
-ranges of about equal row counts first, so that a key with a third of all rows
-is spread over a third of the ranges. Three steps: totals per (key, range) with
-map-side combine, offsets per range from those few totals, and a window inside
-each (key, range). No row is dropped and nothing is approximate but the choice
-of the range edges, which does not touch the result.
+A plain window sorts one key in one task. That is the best plan while every key
+is small, and it is what is used then: the row count of the largest key is
+measured first, reading only the key columns.
+
+Keys with more rows are split. The order column of their rows is cut into ranges
+of about equal row counts, so that one key with a third of all rows is worked on
+by many tasks. Totals per (key, range) come with map-side combine, offsets per
+range from those few totals, and the window runs inside each (key, range). No
+row is dropped and nothing is approximate but the choice of the range edges,
+which does not touch the result.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,32 +22,46 @@ from pyspark.sql import functions as F
 
 from brookmill.scratch import cut
 
-_RANGE, _OFFSET, _TOTAL = "__range", "__offset", "__total"
+HOT_ROWS = 1_000_000
+# At most so many keys count as hot, and at most so many ranges are made, however
+# large the input. A key that is not hot has under 1/20000 of the rows or HOT_ROWS.
+MOST_HOT_KEYS = 20_000
+MOST_RANGES = 1_000
+
+_RANGE, _HOT = "__range", "__hot"
+
+
+def _same(keys: list[str], prefix: str) -> Column:
+    test = F.lit(True)
+    for i, k in enumerate(keys):
+        test = test & F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
+    return test
+
+
+def largest_key(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the largest key."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
 
 
 def _edges(df: DataFrame, order: str, n: int) -> list[Any]:
     """The n - 1 values that cut ``order`` into about equal parts, smallest first.
 
-    This is the only thing that reaches the driver: n - 1 values, whatever the
-    size of the input. A value that fills several parts by itself comes several
-    times.
+    A value that fills several parts by itself comes several times.
     """
     cuts = F.array(*[F.lit(i / n) for i in range(1, n)])
     found = df.filter(F.col(order).isNotNull()).agg(F.percentile_approx(order, cuts, F.lit(20 * n))).first()[0]
     return list(found or [])
 
 
-def _with_range(df: DataFrame, order: str, tie: list[str], n: int) -> DataFrame:
-    """Add the range number of a row, consistent with sorting by ``order``.
+def _range_number(df: DataFrame, order: str, tie: list[str], edges: list[Any], n: int) -> Column:
+    """Range number of a row, consistent with sorting by ``order``.
 
     Rows of a value that comes several times among the edges are dealt over
     those ranges by the hash of ``tie``. Rows with equal order values may follow
     each other in any order, so the ranges still form one valid order. NULLs
     come first, spread the same way. The number is found by a balanced tree of
-    comparisons with literals, which stays in generated code.
+    comparisons with literals.
     """
-    n = max(n, 2)
-    edges = _edges(df, order, n)
     kind = df.schema[order].dataType
     value, deal = F.col(order), F.xxhash64(*[F.col(c) for c in tie])
     marks = sorted(set(edges))
@@ -63,7 +82,27 @@ def _with_range(df: DataFrame, order: str, tie: list[str], n: int) -> DataFrame:
 
     missing = -1 - F.pmod(deal, F.lit(n)).cast("int")
     number = F.when(value.isNull(), missing).otherwise(place(0, len(marks)))
-    return df.withColumn(_RANGE, F.coalesce(number, F.lit(0)))
+    return F.coalesce(number, F.lit(0))
+
+
+def _with_ranges(df: DataFrame, keys: list[str], order: str, tie: list[str], hot_rows: int) -> DataFrame:
+    """Add the range number; rows of keys that are not hot get 0 and no hot mark."""
+    if not keys:
+        n = min(max(math.ceil(df.count() / hot_rows), 2), MOST_RANGES)
+        return df.withColumn(_RANGE, _range_number(df, order, tie, _edges(df, order, n), n))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    limit = max(hot_rows, total // MOST_HOT_KEYS)
+    hot = counts.filter(F.col("n") > limit).select(
+        *[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.col("n").alias(_HOT)
+    )
+    # Each hot key has over 1/20000 of the rows, so this side has under 20000 rows.
+    marked = df.join(F.broadcast(hot), _same(keys, "__h"), "left").drop(*[f"__h{i}" for i in range(len(keys))])
+    hot_total = hot.agg(F.sum(_HOT).alias("n")).first()["n"] or 0
+    n = min(max(math.ceil(hot_total / limit), 2), MOST_RANGES)
+    edges = _edges(marked.filter(F.col(_HOT).isNotNull()), order, n)
+    number = F.when(F.col(_HOT).isNotNull(), _range_number(df, order, tie, edges, n)).otherwise(0)
+    return marked.withColumn(_RANGE, number)
 
 
 def running_sum(
@@ -73,46 +112,47 @@ def running_sum(
     value: str,
     out: str = "running",
     tie: list[str] | None = None,
-    ranges: int = 32,
     total: str | None = None,
+    hot_rows: int = HOT_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add the sum of ``value`` over the rows up to this one, per ``keys`` by ``order``.
 
-    ``df`` is read three times (edges, totals, rows); store it first
-    (:func:`brookmill.scratch.cut`) when it is costly to compute.
-
     ``tie`` names columns that tell rows with equal order values apart (default:
-    all columns). ``order`` must be numeric, a date or a timestamp. ``total``, if
-    given, is added as the sum over the whole key.
+    all columns). ``order`` must be a number, date or timestamp where keys over
+    ``hot_rows`` rows are to be split. ``total``, if given, is added as the sum
+    over the whole key. ``largest`` is the row count of the largest key where
+    the caller knows it. Splitting reads ``df`` several times; store it first
+    (:func:`brookmill.scratch.cut`) when it is costly to compute.
     """
-    tie = tie or df.columns
-    spread = _with_range(df, order, tie, ranges)
-    by_key = Window.partitionBy(*keys).orderBy(_RANGE)
-    sums = (
+    tie = [c for c in (tie or df.columns) if c != order]
+    if largest is None:
+        largest = largest_key(df, keys)
+    columns = [F.col(c) for c in df.columns]
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if largest <= hot_rows:
+        window = Window.partitionBy(*keys)
+        extra = [F.sum(value).over(window).alias(total)] if total else []
+        running = F.coalesce(F.sum(value).over(upto(window.orderBy(order, *tie))), F.lit(0))
+        return df.select(*columns, running.alias(out), *extra)
+
+    spread = _with_ranges(df, keys, order, [order, *tie], hot_rows)
+    before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
         spread.groupBy(*keys, _RANGE)
         .agg(F.sum(value).alias("__s"))
         .select(
             *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
             F.col(_RANGE).alias("__r"),
-            F.coalesce(
-                F.sum("__s").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias(_OFFSET),
-            F.sum("__s").over(Window.partitionBy(*keys)).alias(_TOTAL),
+            F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__offset"),
+            F.sum("__s").over(Window.partitionBy(*keys)).alias("__total"),
         )
     )
-    same = F.col(_RANGE) == F.col("__r")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    inside = (
-        Window.partitionBy(*keys, _RANGE)
-        .orderBy(order, *[t for t in tie if t != order])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    result = spread.withColumn("__in", F.sum(value).over(inside)).join(sums, same)
-    extra = [F.col(_TOTAL).alias(total)] if total else []
-    return result.select(
-        *[F.col(c) for c in df.columns], (F.coalesce("__in", F.lit(0)) + F.col(_OFFSET)).alias(out), *extra
-    )
+    inside = upto(Window.partitionBy(*keys, _RANGE).orderBy(order, *tie))
+    summed = spread.withColumn("__in", F.sum(value).over(inside))
+    joined = summed.join(offsets, (F.col(_RANGE) == F.col("__r")) & _same(keys, "__k"))
+    extra = [F.col("__total").alias(total)] if total else []
+    return joined.select(*columns, (F.coalesce("__in", F.lit(0)) + F.col("__offset")).alias(out), *extra)
 
 
 def exact_quantiles(
@@ -121,19 +161,25 @@ def exact_quantiles(
     value: str,
     quantiles: dict[str, float],
     kind: str = "element",
-    ranges: int = 32,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Exact quantiles per key without holding a group in memory.
 
-    Equal values are counted before the shuffle and stored, then positions come
-    from a running sum over the distinct values. ``kind="element"`` picks a value that
+    Equal values are counted before the shuffle, then positions come from a
+    running sum over the distinct values. ``kind="element"`` picks a value that
     occurs: the first one whose share of rows up to it reaches q.
     ``kind="between"`` interpolates linearly between neighbours. NULLs do not
     count; a key with only NULLs gives no row.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    counted = cut(counted, "value-counts")
-    placed = running_sum(counted, keys, value, "__n", out="__upto", tie=[*keys, value], ranges=ranges, total="__all")
+    present = df.filter(F.col(value).isNotNull())
+    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    # A key has at most as many distinct values as rows.
+    largest = largest_key(present, keys)
+    if largest > hot_rows:
+        counted, largest = cut(counted, "value-counts"), None
+    placed = running_sum(
+        counted, keys, value, "__n", "__upto", tie=[value], total="__all", hot_rows=hot_rows, largest=largest
+    )
     v = F.col(value)
     picks = []
     for name, q in quantiles.items():

@@ -38,7 +38,7 @@ FROM lineitem""",
 )
 def transactions_totals(t):
     # Two-decimal prices times whole quantities add up without rounding error.
-    cost = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_quantity").cast("decimal(10,0)")
+    cost = F.col("l_extendedprice").cast("decimal(11,2)") * F.col("l_quantity").cast("decimal(6,0)")
     return t.lineitem.agg(
         round_to(F.sum(cost).cast("double"), 2).alias("total_revenue"),
         round_to(ratio(F.sum(cost), F.count(F.lit(1))), 2).alias("avg_revenue_per_transaction"),

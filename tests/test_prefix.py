@@ -21,11 +21,11 @@ def data(n, seed, hot=True):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("ranges", [1, 4, 16])
-def test_running_sum_is_one_valid_order(spark, seed, ranges):
+@pytest.mark.parametrize("hot_rows", [10_000, 100, 20])
+def test_running_sum_is_one_valid_order(spark, seed, hot_rows):
     rows = data(400, seed)
     df = spark.createDataFrame(rows, "id int, k string, o int, v int").repartition(4)
-    got = running_sum(df, ["k"], "o", "v", tie=["id"], ranges=ranges, total="all").collect()
+    got = running_sum(df, ["k"], "o", "v", tie=["id"], hot_rows=hot_rows, total="all").collect()
     assert len(got) == len(rows)
     groups = defaultdict(list)
     for g in got:
@@ -43,14 +43,15 @@ def test_running_sum_is_one_valid_order(spark, seed, ranges):
         assert orders == sorted(orders)
 
 
+@pytest.mark.parametrize("hot_rows", [10_000, 15])
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
-def test_exact_quantiles(spark, q):
+def test_exact_quantiles(spark, q, hot_rows):
     import math
 
     rows = data(300, 7)
     df = spark.createDataFrame(rows, "id int, k string, o int, v int")
-    element = {r["k"]: r["x"] for r in exact_quantiles(df, ["k"], "o", {"x": q}).collect()}
-    between = {r["k"]: r["x"] for r in exact_quantiles(df, ["k"], "o", {"x": q}, kind="between").collect()}
+    element = {r["k"]: r["x"] for r in exact_quantiles(df, ["k"], "o", {"x": q}, hot_rows=hot_rows).collect()}
+    between = {r["k"]: r["x"] for r in exact_quantiles(df, ["k"], "o", {"x": q}, kind="between", hot_rows=hot_rows).collect()}
     groups = defaultdict(list)
     for _, k, o, _ in rows:
         if o is not None:
@@ -71,9 +72,24 @@ def test_quantiles_without_keys(spark):
 
 
 def test_hot_key_is_spread(spark):
-    """One key and one order value with all rows still fill many ranges."""
-    from brookmill.operators.prefix import _RANGE, _with_range
+    """One key and one order value with most rows still fill many ranges; other keys are left alone."""
+    from brookmill.operators.prefix import _RANGE, _with_ranges
 
-    df = spark.range(8000).selectExpr("id", "1 AS k", "7 AS o")
-    sizes = [r["count"] for r in _with_range(df, "o", ["id"], 8).groupBy(_RANGE).count().collect()]
+    df = spark.range(9000).selectExpr("id", "CASE WHEN id < 8000 THEN 1 ELSE id END AS k", "7 AS o")
+    spread = _with_ranges(df, ["k"], "o", ["id"], 1000)
+    sizes = [r["count"] for r in spread.filter("k = 1").groupBy(_RANGE).count().collect()]
     assert len(sizes) >= 7 and max(sizes) < 2000
+    assert spread.filter("k <> 1").select(_RANGE).distinct().count() == 1
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "double"])
+def test_split_by_other_order_types(spark, kind):
+    made = {
+        "date": "date_add(date'2024-01-01', CAST(id % 50 AS INT))",
+        "timestamp_ntz": "CAST(timestamp_seconds(id % 50) AS TIMESTAMP_NTZ)",
+        "double": "CAST(id % 50 AS DOUBLE) / 3",
+    }
+    df = spark.range(500).selectExpr("id", "1 AS k", f"{made[kind]} AS o", "1 AS v")
+    got = running_sum(df, ["k"], "o", "v", tie=["id"], hot_rows=50).orderBy("running").collect()
+    assert [r["running"] for r in got] == list(range(1, 501))
+    assert [r["o"] for r in got] == sorted(r["o"] for r in got)
