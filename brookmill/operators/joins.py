@@ -28,19 +28,25 @@ def left_distinct(
 
 
 def left_where_empty(left: DataFrame, right: DataFrame, left_key: str, right_key: str, value: str) -> DataFrame:
-    """Left outer join, keep rows whose text ``value`` is missing or ''.
+    """Rows of a left outer join whose text ``value`` is missing or ''.
 
-    Unlike :func:`without_match` this also returns a matched row with '', once
-    per such match.
+    That is every left row without a match, and one row per match with '' or
+    NULL. The two parts are made apart: the test on ``value`` then reaches the
+    scan, and the join is an inner one, where a hot key can be split.
     """
-    empty = right.select(F.col(right_key).alias("__k"), F.coalesce(value, F.lit("")).alias(value))
-    joined = left.join(empty, F.col(left_key) == F.col("__k"), "left")
-    return joined.filter(F.coalesce(value, F.lit("")) == "").drop("__k")
+    empty = right.filter(F.coalesce(value, F.lit("")) == "").select(
+        F.col(right_key).alias("__k"), F.lit("").alias(value)
+    )
+    matched = left.join(empty, F.col(left_key) == F.col("__k")).drop("__k")
+    return matched.unionByName(without_match(left, right, left_key, right_key).withColumn(value, F.lit("")))
 
 
 def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left rows without a match; a NULL key never matches."""
-    keys = right.select(F.col(right_key).alias("__k"))
+    """Left rows without a match; a NULL key never matches.
+
+    Repeated right keys are dropped map-side; the join uses the same partitioning.
+    """
+    keys = right.select(F.col(right_key).alias("__k")).distinct()
     return left.join(keys, F.col(left_key) == F.col("__k"), "left_anti")
 
 

@@ -75,8 +75,7 @@ def scan_sensor_files(t):
     folder = new_path(t.spark, "sensors")
     S.write_csv(rows.filter("sensor_type IN ('click', 'view')"), f"{folder}/wide", sep=";")
     S.write_csv(rows.filter("sensor_type NOT IN ('click', 'view')").drop("P1"), f"{folder}/narrow", sep=";")
-    paths = [r["path"] for r in S.new_files(t.spark, folder, ".csv", limit=1000).toLocalIterator()]
-    groups = S.group_by_header(t.spark, paths)
+    groups = S.group_by_header(t.spark, folder, _SENSOR_SCHEMA.fieldNames())
     return S.read_sensor_files(t.spark, groups, _SENSOR_SCHEMA, ["timestamp", "sensor_id"])
 
 

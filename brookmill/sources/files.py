@@ -27,7 +27,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, *
 def read_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
     """One table per CSV file of a folder, named after the file."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").load(folder).select("path")
-    found = {table_name(r["path"]): r["path"] for r in listed.limit(10_000).toLocalIterator()}
+    found = {table_name(r["path"]): r["path"] for r in listed.toLocalIterator()}
     return {name: read_csv(spark, found[name], schema) for name, schema in schemas.items() if name in found}
 
 
@@ -102,17 +102,22 @@ def read_sensor_files(
     return out.filter(" AND ".join(f"{c} IS NOT NULL" for c in required))
 
 
-def group_by_header(spark: SparkSession, paths: list[str], sep: str = ";") -> dict[tuple[str, ...], list[str]]:
-    """Group files by their first line.
+def group_by_header(
+    spark: SparkSession, paths: str | list[str], names: list[str], sep: str = ";"
+) -> dict[tuple[str, ...], list[str]]:
+    """Group files by header: the line made up of known column names only.
 
-    One line per file is read. A run takes the files :func:`new_files` gives it,
-    so its ``limit`` bounds the number of reads.
+    All files are searched by one distributed job; one line per file comes back.
     """
+    known = F.array(*[F.lit(n) for n in names])
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    # The cheap test on the first name comes first: data rows rarely pass it.
+    first = F.split_part("value", F.lit(sep), F.lit(1)).isin(names)
+    whole = F.size(F.array_except(F.split("value", re.escape(sep)), known)) == 0
+    found = lines.filter(first & whole).select("value", F.col("_metadata.file_path").alias("path")).distinct()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        first = spark.read.text(path).head()
-        if first is not None:
-            groups.setdefault(tuple(first["value"].split(sep)), []).append(path)
+    for row in found.toLocalIterator():
+        groups.setdefault(tuple(row["value"].split(sep)), []).append(row["path"])
     return groups
 
 
@@ -122,9 +127,9 @@ def new_files(
     suffix: str,
     names: list[str] | None = None,
     after: dt.datetime | None = None,
-    limit: int = 10,
+    limit: int | None = 10,
 ) -> DataFrame:
-    """Files that changed after a time, oldest first, at most ``limit``.
+    """Files that changed after a time, oldest first, at most ``limit`` (None: all).
 
     Only the listing is read. ``names`` keeps files ending in ``_<name><suffix>``
     in any case. The caller moves its mark to the newest time returned and calls
@@ -139,7 +144,8 @@ def new_files(
         for n in names:
             test = test | F.endswith(F.lower("path"), F.lit(f"_{n.lower()}{suffix}"))
         files = files.filter(test)
-    return files.orderBy("modificationTime", "path").limit(limit)
+    files = files.orderBy("modificationTime", "path")
+    return files if limit is None else files.limit(limit)
 
 
 def write_csv(df: DataFrame, path: str, **options: Any) -> None:

@@ -31,14 +31,13 @@ def test_tables_of_a_folder(spark, path):
 
 
 def test_sensor_files_of_two_headers(spark, path):
-    spark.createDataFrame([("1;a;2024-01-01;x",), ("2;a;;5",)], "value string").coalesce(1).write.text(f"{path}/body")
     head = "sensor_id;sensor_type;timestamp;P1"
     wide = spark.createDataFrame([(head,), ("1;a;2024-01-01;bad",), ("2;a;;5.0",), ("3;a;2024-01-02;7.5",)], "value string")
     narrow = spark.createDataFrame([("sensor_id;timestamp",), ("4;2024-01-03",), (";2024-01-03",)], "value string")
     wide.coalesce(1).write.text(f"{path}/a")
     narrow.coalesce(1).write.text(f"{path}/b")
-    listed = [r["path"] for sub in "ab" for r in S.new_files(spark, f"{path}/{sub}", ".txt").collect()]
-    groups = S.group_by_header(spark, listed)
+    assert S.new_files(spark, path, ".txt", limit=None).count() == 2
+    groups = S.group_by_header(spark, path, ["sensor_id", "sensor_type", "timestamp", "P1"])
     assert set(groups) == {("sensor_id", "sensor_type", "timestamp", "P1"), ("sensor_id", "timestamp")}
     schema = T.StructType.fromDDL("sensor_id int, sensor_type string, timestamp string, P1 double")
     got = S.read_sensor_files(spark, groups, schema, ["timestamp", "sensor_id"])
