@@ -112,7 +112,6 @@ def running_sum(
     value: str,
     out: str = "running",
     tie: list[str] | None = None,
-    total: str | None = None,
     hot_rows: int = HOT_ROWS,
     largest: int | None = None,
 ) -> DataFrame:
@@ -120,9 +119,8 @@ def running_sum(
 
     ``tie`` names columns that tell rows with equal order values apart (default:
     all columns). ``order`` must be a number, date or timestamp where keys over
-    ``hot_rows`` rows are to be split. ``total``, if given, is added as the sum
-    over the whole key. ``largest`` is the row count of the largest key where
-    the caller knows it. Splitting reads ``df`` several times; store it first
+    ``hot_rows`` rows are to be split. ``largest`` is the row count of the
+    largest key where the caller knows it. Splitting reads ``df`` several times; store it first
     (:func:`brookmill.scratch.cut`) when it is costly to compute.
     """
     tie = [c for c in (tie or df.columns) if c != order]
@@ -131,10 +129,8 @@ def running_sum(
     columns = [F.col(c) for c in df.columns]
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if largest <= hot_rows:
-        window = Window.partitionBy(*keys)
-        extra = [F.sum(value).over(window).alias(total)] if total else []
-        running = F.coalesce(F.sum(value).over(upto(window.orderBy(order, *tie))), F.lit(0))
-        return df.select(*columns, running.alias(out), *extra)
+        running = F.sum(value).over(upto(Window.partitionBy(*keys).orderBy(order, *tie)))
+        return df.select(*columns, F.coalesce(running, F.lit(0)).alias(out))
 
     spread = _with_ranges(df, keys, order, [order, *tie], hot_rows)
     before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
@@ -145,14 +141,12 @@ def running_sum(
             *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
             F.col(_RANGE).alias("__r"),
             F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__offset"),
-            F.sum("__s").over(Window.partitionBy(*keys)).alias("__total"),
         )
     )
     inside = upto(Window.partitionBy(*keys, _RANGE).orderBy(order, *tie))
     summed = spread.withColumn("__in", F.sum(value).over(inside))
     joined = summed.join(offsets, (F.col(_RANGE) == F.col("__r")) & _same(keys, "__k"))
-    extra = [F.col("__total").alias(total)] if total else []
-    return joined.select(*columns, (F.coalesce("__in", F.lit(0)) + F.col("__offset")).alias(out), *extra)
+    return joined.select(*columns, (F.coalesce("__in", F.lit(0)) + F.col("__offset")).alias(out))
 
 
 def exact_quantiles(
@@ -177,9 +171,14 @@ def exact_quantiles(
     largest = largest_key(present, keys)
     if largest > hot_rows:
         counted, largest = cut(counted, "value-counts"), None
-    placed = running_sum(
-        counted, keys, value, "__n", "__upto", tie=[value], total="__all", hot_rows=hot_rows, largest=largest
+    placed = running_sum(counted, keys, value, "__n", "__upto", tie=[value], hot_rows=hot_rows, largest=largest)
+    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all")).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__all"
     )
+    if keys:
+        placed = placed.join(sizes, _same(keys, "__k"))
+    else:
+        placed = placed.withColumn("__all", sizes.scalar())
     v = F.col(value)
     picks = []
     for name, q in quantiles.items():

@@ -34,9 +34,13 @@ class Rollup:
 
     def __init__(self, spark, path: str, period: str, keys: list[str], sums: dict[str, Column]):
         self.spark, self.path, self.period, self.keys, self.sums = spark, path, period, keys, sums
+        self._schema: T.StructType | None = None
 
-    def _folder(self, schema: T.StructType | None = None) -> tables.Folder:
-        schema = schema or self.spark.read.parquet(self.path).schema
+    def _folder(self) -> tables.Folder:
+        # Known from the first batch written here, else read from the files once.
+        if self._schema is None:
+            self._schema = self.spark.read.parquet(self.path).schema
+        schema = self._schema
         fields = [f for f in schema if f.name not in (self.period, "batch_id")]
         fields += [T.StructField(self.period, T.IntegerType()), T.StructField("batch_id", T.StringType())]
         return tables.Folder(self.spark, self.path, T.StructType(fields), (self.period, "batch_id"))
@@ -48,7 +52,9 @@ class Rollup:
 
     def add_batch(self, df: DataFrame, batch_id: str) -> None:
         """Write the state rows of one batch. ``df`` must carry the period column."""
-        tables.write_partitioned(self.states(df, batch_id), self.path, [self.period, "batch_id"], "replace_partitions")
+        states = self.states(df, batch_id)
+        self._schema = self._schema or states.schema
+        tables.write_partitioned(states, self.path, [self.period, "batch_id"], "replace_partitions")
 
     def backfill(self, base: DataFrame, before: Column, batch_id: str = "backfill") -> None:
         """Add base rows the view never saw. ``before`` tells them from rows that came as batches."""
