@@ -28,6 +28,11 @@ def round_to(c: Column | str, digits: int = 0) -> Column:
     return F.floor(as_col(c).cast("double") * step + 0.500001) / step
 
 
+def hundredths(c: Column | str) -> Column:
+    """A two-decimal amount as a whole number: sums of it are exact in any order."""
+    return F.rint(as_col(c) * 100).cast("long")
+
+
 def int_div(a: Column | str, b: Column | str) -> Column:
     """Whole-number division towards zero, exact over 64 bits; a zero divisor gives NULL."""
     a, b = as_col(a).cast("long"), as_col(b).cast("long")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from brookmill.functions.dates import yyyymm
-from brookmill.functions.types import int_div, ratio, round_to
+from brookmill.functions.types import hundredths, int_div, ratio, round_to
 from brookmill.operators.aggregates import coverage
 from brookmill.operators.prefix import exact_quantiles
 from brookmill.operators.sketches import distinct_state, quantile_state
@@ -37,11 +37,12 @@ SELECT round_to(sum(l_extendedprice * l_quantity), 2) AS total_revenue,
 FROM lineitem""",
 )
 def transactions_totals(t):
-    # Two-decimal prices times whole quantities add up without rounding error.
-    cost = F.col("l_extendedprice").cast("decimal(11,2)") * F.col("l_quantity").cast("decimal(6,0)")
+    # Whole hundredths times whole quantities; the sum is a decimal, so it cannot overflow.
+    cost = (hundredths("l_extendedprice") * F.col("l_quantity").cast("long")).cast("decimal(18,0)")
+    total = F.sum(cost).cast("double") / 100
     return t.lineitem.agg(
-        round_to(F.sum(cost).cast("double"), 2).alias("total_revenue"),
-        round_to(ratio(F.sum(cost), F.count(F.lit(1))), 2).alias("avg_revenue_per_transaction"),
+        round_to(total, 2).alias("total_revenue"),
+        round_to(total / F.count(F.lit(1)), 2).alias("avg_revenue_per_transaction"),
         F.sum("l_quantity").alias("total_quantity_sold"),
         F.countDistinct("l_suppkey").alias("unique_buyers"),
     )

@@ -328,7 +328,7 @@ def fn_numbers(t):
     "fn_arrays",
     "FN-05 FN-31 FN-32 FN-33",
     """
-SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, round_to(embedding[1], 6) AS first_value, embedding[len(embedding) + 1] AS outside,
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, round_to(embedding[1], 6) AS first_value, CAST(embedding[len(embedding) + 1] AS DOUBLE) AS outside,
        (['low', 'mid', 'high'])[1 + vec_id % 3] AS picked,
        CAST(len(list_distinct([label, label, label + 1])) AS INTEGER) AS distinct_labels
 FROM embeddings""",
@@ -338,7 +338,7 @@ def fn_arrays(t):
         "vec_id",
         F.size("embedding").alias("dims"),
         round_to(Y.at(F.col("embedding"), 1), 6).alias("first_value"),
-        Y.at(F.col("embedding"), F.size("embedding") + 1).alias("outside"),
+        Y.at(F.col("embedding"), F.size("embedding") + 1).cast("double").alias("outside"),
         Y.at(F.array(F.lit("low"), F.lit("mid"), F.lit("high")), 1 + F.col("vec_id") % 3).alias("picked"),
         F.size(F.array_distinct(F.array("label", "label", F.col("label") + 1))).alias("distinct_labels"),
     )

@@ -292,5 +292,5 @@ def metrics_collector(t):
     rows = t.lineitem.withColumn("day", F.date_format("l_shipdate", "yyyy-MM"))
     measures = {"Quantity": F.col("l_quantity"), "Discount": F.col("l_discount"), "Price": F.col("l_extendedprice")}
     long = unpivot_measures(rows, ["day"], measures, "metric_name", "metric_value").filter("metric_value > 0")
-    total = round_to(F.sum(F.col("metric_value").cast("decimal(18,2)")).cast("double"), 2)
+    total = round_to(F.sum("metric_value"), 2)
     return long.groupBy("day", "metric_name").agg(F.count(F.lit(1)).alias("n"), total.alias("total"))

@@ -229,7 +229,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey =
 def sink_table_as_select(t):
     per_order = t.lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("lines"),
-        round_to(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double"), 2).alias("amount"),
+        round_to(F.sum("l_extendedprice"), 2).alias("amount"),
     )
     mart = (
         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))

@@ -283,8 +283,11 @@ _PAIRS = [
     ("Humidity", "Pressure", "avg_humidity", "avg_pressure"),
     ("PM2.5", "Pressure", "avg_pm25", "avg_pressure"),
 ]
+# With a single hour the correlation is undefined: NULL in Spark, NaN in DuckDB.
 _UNION = "\nUNION ALL ".join(
-    f"SELECT '{a}' AS param_x, '{b}' AS param_y, round_to(corr({x}, {y}), 6) AS correlation FROM hourly" for a, b, x, y in _PAIRS
+    f"SELECT '{a}' AS param_x, '{b}' AS param_y, "
+    f"CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE round_to(corr({x}, {y}), 6) END AS correlation FROM hourly"
+    for a, b, x, y in _PAIRS
 )
 _CLIPPED = "AND temperature BETWEEN -50 AND 60 AND humidity BETWEEN 0 AND 100 AND p2 BETWEEN 0 AND 500"
 

@@ -321,12 +321,12 @@ def stream_hourly(t):
         decoded,
         "event_time",
         ["event_type"],
-        {"n": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)"))},
+        {"n": F.count(F.lit(1)), "total": F.sum("value")},
     )
     path = new_path(t.spark, "hours")
     ingest.to_table(hours.withColumn("day", F.date_format("hour", "yyyy-MM-dd")), path, new_path(t.spark, "cp"), ["day"])
     stored = t.spark.read.schema(hours.schema).parquet(path)
-    return stored.select("hour", "event_type", "n", round_to(F.col("total").cast("double"), 2).alias("total"))
+    return stored.select("hour", "event_type", "n", round_to("total", 2).alias("total"))
 
 
 @query(

@@ -43,3 +43,12 @@ def test_round_to_expansion():
     assert expand_round_to("round_to(avg(x), 2) AS a") == "(floor(CAST(avg(x) AS DOUBLE) * 1e2 + 0.500001) / 1e2) AS a"
     nested = expand_round_to("round_to(a + round_to(f(b, 1), 0), 3)")
     assert "round_to" not in nested and nested.count("floor(") == 2
+
+
+def test_every_inventory_id_is_covered():
+    from tests.inventory import ROOT, covered, inventory, table
+
+    ids = inventory()
+    assert len(ids) == 211
+    assert set(ids) == set(covered())
+    assert (ROOT / "COVERAGE.md").read_text() == table()
