@@ -44,17 +44,24 @@ def classify_transaction(
     )
 
 
-@F.pandas_udf(StringType())
 def classify_transaction_batch(
-    price: pd.Series, quantity: pd.Series, product_id: pd.Series, user_id: pd.Series
-) -> pd.Series:
-    """The same rules over Arrow batches, for callers that extend them in Python."""
-    out = pd.Series("regular", index=price.index, dtype="object")
-    out[user_id <= 120] = "frequent_buyer"
-    out[product_id > 510] = "rare_product"
-    out[price * quantity > 1000] = "large_purchase"
-    out[price.isna() | quantity.isna() | product_id.isna() | user_id.isna()] = None
-    return out
+    price: Column | str, quantity: Column | str, product_id: Column | str, user_id: Column | str
+) -> Column:
+    """The same rules over Arrow batches, for callers that extend them in Python.
+
+    The function is made here and travels by value, so executors need not have
+    this package installed.
+    """
+
+    def classify(price: pd.Series, quantity: pd.Series, product_id: pd.Series, user_id: pd.Series) -> pd.Series:
+        out = pd.Series("regular", index=price.index, dtype="object")
+        out[user_id <= 120] = "frequent_buyer"
+        out[product_id > 510] = "rare_product"
+        out[price * quantity > 1000] = "large_purchase"
+        out[price.isna() | quantity.isna() | product_id.isna() | user_id.isna()] = None
+        return out
+
+    return F.pandas_udf(classify, StringType())(price, quantity, product_id, user_id)
 
 
 def detect_fraud(price: Column | str, product_id: Column | str, date: Column | str) -> Column:

@@ -149,6 +149,83 @@ def running_sum(
     return joined.select(*columns, (F.coalesce("__in", F.lit(0)) + F.col("__offset")).alias(out))
 
 
+def _reached(at: Column, size: Column, q: float, kind: str, upper: bool = False) -> Column:
+    """Whether the rows up to position ``at`` hold the wanted one of ``size`` rows."""
+    if kind == "element":
+        # The small slack takes back what q * n gains by rounding (0.07 * 100 > 7).
+        return at >= size * F.lit(float(q)) - 1e-6
+    spot = (size - 1) * F.lit(float(q))
+    return at > (F.ceil(spot) if upper else F.floor(spot))
+
+
+def _pick(value: Column, at: Column, size: Column, q: float, kind: str) -> Column:
+    """Aggregate: the quantile, from distinct values and the positions they reach up to."""
+    low = F.min(F.when(_reached(at, size, q, kind), value))
+    if kind == "element":
+        return low
+    high = F.min(F.when(_reached(at, size, q, kind, upper=True), value))
+    spot = F.max((size - 1) * F.lit(float(q)))
+    return low + (high - low) * (spot - F.floor(spot))
+
+
+def _quantiles_by_count(present, keys, value, quantiles, kind, hot_rows, largest) -> DataFrame:
+    """All distinct values with their counts, in order."""
+    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    if largest > hot_rows:
+        counted, largest = cut(counted, "value-counts"), None
+    placed = running_sum(counted, keys, value, "__n", "__upto", tie=[value], hot_rows=hot_rows, largest=largest)
+    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"))
+    sizes = sizes.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__all")
+    joined = placed.join(sizes, _same(keys, "__k"))
+    v, at, size = F.col(value), F.col("__upto"), F.col("__all")
+    return joined.groupBy(*keys).agg(*[_pick(v, at, size, q, kind).alias(n) for n, q in quantiles.items()])
+
+
+def _quantiles_by_bracket(present, keys, value, quantiles, kind, hot_rows, accuracy) -> DataFrame | None:
+    """Count below a bracket around each quantile and order only the values inside it.
+
+    The bracket comes from a sketch whose rank error is under 1 / ``accuracy``
+    and is three times as wide; keys with at most ``accuracy`` rows are taken
+    whole. Every count is exact, so a bracket that missed would show: then the
+    result is None.
+    """
+    margin, items = 3 / accuracy, list(quantiles.items())
+    cuts = [c for _, q in items for c in (max(q - margin, 0.0), min(q + margin, 1.0))]
+    sketch = F.percentile_approx(value, F.array(*[F.lit(c) for c in cuts]), F.lit(accuracy))
+    sized = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"), sketch.alias("__c"))
+    sized = cut(
+        sized.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__all", "__c"), "quantile-brackets"
+    )
+    joined = present.select(*keys, value).join(sized, _same(keys, "__k"))
+    v, at, size, big = F.col(value), F.col("__at"), F.col("__all"), F.col("__all") > accuracy
+    below, inside = [], []
+    for i, (_, q) in enumerate(items):
+        under = F.coalesce(v < F.when(big, F.col("__c")[2 * i]), F.lit(False)) if q > margin else F.lit(False)
+        over = F.coalesce(v > F.when(big, F.col("__c")[2 * i + 1]), F.lit(False)) if q < 1 - margin else F.lit(False)
+        below.append(F.count_if(under).alias(f"__b{i}"))
+        inside.append(F.when(~under & ~over, F.lit(i)))
+    lower = joined.groupBy(*keys).agg(F.max("__all").alias("__all"), *below)
+    lower = lower.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        "__all",
+        F.inline(F.array(*[F.struct(F.lit(i).alias("__j"), F.col(f"__b{i}").alias("__below")) for i in range(len(items))])),
+    )
+    values = joined.select(*keys, value, F.explode(F.array_compact(F.array(*inside))).alias("__i"))
+    counted = cut(values.groupBy(*keys, "__i", value).agg(F.count(F.lit(1)).alias("__n")), "bracket-counts")
+    placed = running_sum(counted, [*keys, "__i"], value, "__n", "__upto", tie=[value], hot_rows=hot_rows)
+    placed = placed.join(lower, (F.col("__i") == F.col("__j")) & _same(keys, "__k"))
+    placed = placed.withColumn("__at", F.col("__below") + F.col("__upto"))
+    picks, sure = [], F.lit(True)
+    for i, (name, q) in enumerate(items):
+        mine = F.col("__i") == i
+        picks.append(_pick(v, F.when(mine, at), F.when(mine, size), q, kind).alias(name))
+        missed_below = F.max(F.when(mine, _reached(F.col("__below"), size, q, kind) & (F.col("__below") > 0)))
+        enough = F.max(F.when(mine, _reached(at, size, q, kind, upper=True)))
+        sure = sure & F.coalesce(~missed_below & enough, F.lit(False))
+    result = cut(placed.groupBy(*keys).agg(*picks, sure.alias("__sure")), "quantiles")
+    return result.drop("__sure") if result.filter(~F.col("__sure")).isEmpty() else None
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -156,39 +233,27 @@ def exact_quantiles(
     quantiles: dict[str, float],
     kind: str = "element",
     hot_rows: int = HOT_ROWS,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """Exact quantiles per key without holding a group in memory.
 
-    Equal values are counted before the shuffle, then positions come from a
-    running sum over the distinct values. ``kind="element"`` picks a value that
-    occurs: the first one whose share of rows up to it reaches q.
-    ``kind="between"`` interpolates linearly between neighbours. NULLs do not
-    count; a key with only NULLs gives no row.
+    ``kind="element"`` picks a value that occurs: the first one whose share of
+    rows up to it reaches q. ``kind="between"`` interpolates linearly between
+    neighbours. NULLs do not count; a key with only NULLs gives no row.
+
+    While every key is small, equal values are counted before the shuffle and
+    positions come from a running sum. With a key over ``hot_rows`` rows only
+    the values near each quantile are shuffled: a sketch brackets them, the rows
+    below are counted exactly.
     """
-    present = df.filter(F.col(value).isNotNull())
-    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    # A key has at most as many distinct values as rows.
+    columns = [*keys, *quantiles]
+    present = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    if not keys:
+        keys, present = ["__one"], present.withColumn("__one", F.lit(1))
     largest = largest_key(present, keys)
+    result = None
     if largest > hot_rows:
-        counted, largest = cut(counted, "value-counts"), None
-    placed = running_sum(counted, keys, value, "__n", "__upto", tie=[value], hot_rows=hot_rows, largest=largest)
-    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all")).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__all"
-    )
-    if keys:
-        placed = placed.join(sizes, _same(keys, "__k"))
-    else:
-        placed = placed.withColumn("__all", sizes.scalar())
-    v = F.col(value)
-    picks = []
-    for name, q in quantiles.items():
-        if kind == "element":
-            # The small slack takes back what q * n gains by rounding (0.07 * 100 > 7).
-            picks.append(F.min(F.when(F.col("__upto") >= F.col("__all") * q - 1e-6, v)).alias(name))
-            continue
-        spot = (F.col("__all") - 1) * F.lit(float(q))
-        low = F.min(F.when(F.col("__upto") > F.floor(spot), v))
-        high = F.min(F.when(F.col("__upto") > F.ceil(spot), v))
-        part = F.max(spot - F.floor(spot))
-        picks.append((low + (high - low) * part).alias(name))
-    return placed.groupBy(*keys).agg(*picks)
+        result = _quantiles_by_bracket(present, keys, value, quantiles, kind, hot_rows, accuracy)
+    if result is None:
+        result = _quantiles_by_count(present, keys, value, quantiles, kind, hot_rows, largest)
+    return result.select(*columns)

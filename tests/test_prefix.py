@@ -64,6 +64,35 @@ def test_exact_quantiles(spark, q, hot_rows):
         assert between[k] == pytest.approx(low + (high - low) * (at - math.floor(at)))
 
 
+@pytest.mark.parametrize("kind", ["element", "between"])
+def test_brackets_leave_most_values_out_and_stay_exact(spark, kind):
+    """Large keys next to small ones, continuous and repeated values; brackets against full counting."""
+    from brookmill.operators import prefix as P
+
+    df = spark.range(60_000).selectExpr(
+        "CASE WHEN id < 40000 THEN 1 WHEN id < 59000 THEN 2 ELSE id END AS k",
+        "CASE WHEN id < 40000 THEN pmod(xxhash64(id), 1000003) ELSE id % 7 END AS v",
+    )
+    qs = {"a": 0.0, "b": 0.001, "c": 0.26, "d": 0.5, "e": 0.9, "f": 1.0}
+    near = P._quantiles_by_bracket(df, ["k"], "v", qs, kind, 500, 1000)
+    full = P._quantiles_by_count(df, ["k"], "v", qs, kind, 10**9, 1)
+    assert near is not None
+    assert sorted(map(tuple, near.select("k", *qs).collect())) == sorted(map(tuple, full.select("k", *qs).collect()))
+
+
+def test_missed_bracket_is_noticed(spark, monkeypatch):
+    """A sketch that is wrong must not give a wrong quantile."""
+    from brookmill.operators import prefix as P
+
+    df = spark.range(2000).selectExpr("1 AS k", "id AS v")
+    wrong = lambda c, *_: P.F.array_repeat(P.F.max(P.F.lit(5).cast("long")), 2)
+    monkeypatch.setattr(P.F, "percentile_approx", wrong)
+    assert P._quantiles_by_bracket(df, ["k"], "v", {"m": 0.5}, "element", 10_000, 100) is None
+    monkeypatch.setattr(P, "_with_ranges", lambda d, *_: d.withColumn("__range", P.F.lit(0)))
+    got = P.exact_quantiles(df, ["k"], "v", {"m": 0.5}, hot_rows=500, accuracy=100)
+    assert got.first()["m"] == 999
+
+
 def test_quantiles_without_keys(spark):
     df = spark.createDataFrame([(v,) for v in (1, 2, 3, 4)], "v int")
     assert exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"] == 2
