@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from brookmill.functions.types import as_col
+from brookmill.functions.types import as_col, round_to
 
 
 def not_empty(c: Column | str) -> Column:
@@ -23,14 +23,17 @@ SIZE_UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB")
 
 
 def readable_size(c: Column | str) -> Column:
-    """Bytes as text with two decimals and a binary unit, '1.50 KiB'."""
+    """Bytes as text with two decimals and a binary unit, '1.50 KiB'.
+
+    Rounded by :func:`round_to` first, as formatting alone rounds ties by engine.
+    """
     c = as_col(c).cast("double")
     chain = None
     for power, unit in enumerate(SIZE_UNITS[:-1]):
-        text = F.format_string(f"%.2f {unit}", c / float(1024**power))
+        text = F.format_string(f"%.2f {unit}", round_to(c / float(1024**power), 2))
         test = F.abs(c) < float(1024 ** (power + 1))
         chain = F.when(test, text) if chain is None else chain.when(test, text)
-    last = F.format_string(f"%.2f {SIZE_UNITS[-1]}", c / float(1024 ** (len(SIZE_UNITS) - 1)))
+    last = F.format_string(f"%.2f {SIZE_UNITS[-1]}", round_to(c / float(1024 ** (len(SIZE_UNITS) - 1)), 2))
     return F.when(c.isNotNull(), chain.otherwise(last))
 
 

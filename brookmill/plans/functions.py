@@ -445,10 +445,10 @@ _BYTES = "(n_chars * n_chars)"
     "fn_readable_size",
     "FN-30",
     f"""
-SELECT doc_id, CASE WHEN {_BYTES} < 1024 THEN printf('%.2f B', CAST({_BYTES} AS DOUBLE))
-   WHEN {_BYTES} < 1048576 THEN printf('%.2f KiB', {_BYTES} / 1024.0)
-   WHEN {_BYTES} < 1073741824 THEN printf('%.2f MiB', {_BYTES} / 1048576.0)
-   ELSE printf('%.2f GiB', {_BYTES} / 1073741824.0) END AS size FROM documents""",
+SELECT doc_id, CASE WHEN {_BYTES} < 1024 THEN printf('%.2f B', round_to({_BYTES}, 2))
+   WHEN {_BYTES} < 1048576 THEN printf('%.2f KiB', round_to({_BYTES} / 1024.0, 2))
+   WHEN {_BYTES} < 1073741824 THEN printf('%.2f MiB', round_to({_BYTES} / 1048576.0, 2))
+   ELSE printf('%.2f GiB', round_to({_BYTES} / 1073741824.0, 2)) END AS size FROM documents""",
 )
 def fn_readable_size(t):
     return t.documents.select("doc_id", X.readable_size(F.col("n_chars") * F.col("n_chars")).alias("size"))

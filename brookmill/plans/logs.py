@@ -63,7 +63,7 @@ def metric_merges(t):
 
 
 _PK_INNER = f"""
-  SELECT CAST(epoch(event_time) AS BIGINT) - CAST(epoch(event_time) AS BIGINT) % 3600 AS t, round_to(avg(value), 4) AS avg_value
+  SELECT CAST(floor(epoch(event_time)) AS BIGINT) - CAST(floor(epoch(event_time)) AS BIGINT) % 3600 AS t, round_to(avg(value), 4) AS avg_value
   FROM (SELECT ts AS event_time, event_type AS metric, value FROM events
         UNION ALL SELECT o_orderdate, o_orderpriority, o_totalprice FROM orders) u
   WHERE event_time >= {AS_OF_SQL} - INTERVAL 30 DAY AND metric = 'purchase' GROUP BY 1"""
@@ -114,11 +114,11 @@ def metric_memory_gb(t):
 
 
 _SIZE_SQL = """CASE
- WHEN abs({b}) < 1024 THEN printf('%.2f B', {b})
- WHEN abs({b}) < 1048576 THEN printf('%.2f KiB', {b} / 1024)
- WHEN abs({b}) < 1073741824 THEN printf('%.2f MiB', {b} / 1048576)
- WHEN abs({b}) < 1099511627776 THEN printf('%.2f GiB', {b} / 1073741824)
- ELSE printf('%.2f TiB', {b} / 1099511627776) END"""
+ WHEN abs({b}) < 1024 THEN printf('%.2f B', round_to({b}, 2))
+ WHEN abs({b}) < 1048576 THEN printf('%.2f KiB', round_to({b} / 1024, 2))
+ WHEN abs({b}) < 1073741824 THEN printf('%.2f MiB', round_to({b} / 1048576, 2))
+ WHEN abs({b}) < 1099511627776 THEN printf('%.2f GiB', round_to({b} / 1073741824, 2))
+ ELSE printf('%.2f TiB', round_to({b} / 1099511627776, 2)) END"""
 
 
 @query(
