@@ -157,3 +157,25 @@ def test_dictionary_is_read_anew(spark, path):
     transform = ingest.refreshed(lambda: spark.sql(f"select '{next(versions)}' v"), lambda df, d: df.join(d))
     df = spark.range(1)
     assert [transform(df, i).first()["v"] for i in range(2)] == ["old", "new"]
+
+
+def test_stream_to_topic(spark):
+    from brookmill.sources import topics as K
+
+    src, out, cp = (new_path(spark, n) for n in ("src", "topic", "cp"))
+    _feed(spark, src, [(1, _t(1), "a", 1.0), (2, _t(2), "b", 2.0)])
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    messages = K.to_messages(stream, K.message_key("kind", F.col("id").cast("string")), ["id", "kind"])
+    ingest.to_topic(messages, "parquet", cp, path=out)
+    got = spark.read.parquet(out).select("key", "value")
+    assert rows(got) == Counter([("a_1", '{"id":1,"kind":"a"}'), ("b_2", '{"id":2,"kind":"b"}')])
+
+
+def test_rollup_opened_again(spark):
+    from brookmill.operators.rollups import Rollup
+
+    at = new_path(spark, "rollup")
+    make = lambda: Rollup(spark, at, "ym", ["kind"], {"total": F.col("value")})
+    df = spark.createDataFrame([("a", 1.0, 202401), ("a", 2.0, 202402)], "kind string, value double, ym int")
+    make().add_batch(df, "1")
+    assert rows(make().read()) == Counter([("a", 3.0)])
