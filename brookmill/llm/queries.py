@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brookmill.llm import exact_dedup, token_counts, url_filter
+from brookmill.llm import exact_dedup, substring_dedup, suffix_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +33,12 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_verdicts(_table(spark, folder, "pages"), _table(spark, folder, "labels"), url_filter.RULES)
 
 
+@_query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = substring_dedup.repeated_words(_table(spark, folder, "documents"), width=50)
+    return done.select("doc_id", F.col("n_symbols").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,3 +48,10 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op7_exact_dedup", exact_dedup.SQL)
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.content_sort(_table(spark, folder, "documents"), keep="largest")
+
+
+@_query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup.repeated_bytes(_table(spark, folder, "documents"), width=100)
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return done.select("doc_id", F.col("n_symbols").alias("n_bytes"), "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
