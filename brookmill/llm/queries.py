@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import exact_dedup, substring_dedup, suffix_dedup, token_counts, url_filter
+from brookmill.llm import exact_dedup, pieces, quality, substring_dedup, suffix_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,6 +28,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op1_quality")
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @_query("op2_url_filter", url_filter.SQL)
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_verdicts(_table(spark, folder, "pages"), _table(spark, folder, "labels"), url_filter.RULES)
@@ -39,6 +44,14 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", F.col("n_symbols").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query("op5_sentencepiece")
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    path = str(public_tokenizers.path("piece_bpe_32k.model"))
+    done = pieces.piece_ids(_table(spark, folder, "documents"), path, dropout=0.1, seed=20)
+    joined = F.array_join("ids", " ")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @_query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
