@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from brookmill.llm.windows import Unit, repeated_windows, without_parts
+from brookmill.llm.windows import Unit, packed_texts, repeated_windows, without_parts
 
 
 class PackedBits:
@@ -135,5 +135,6 @@ def repeated_words(df: DataFrame, text: str = "text", key: str = "doc_id", width
     columns are not read.
     """
     unit = Unit(width, 8, words=True)
-    parts = repeated_windows(df, unit, lambda c, n, r: earliest(c, n, r, width), text, key, other_texts_only=True)
-    return without_parts(df, unit, parts, text, key)
+    packed = packed_texts(df, text, key)
+    parts = repeated_windows(df, packed, unit, lambda c, n, r: earliest(c, n, r, width), text, key, other_texts_only=True)
+    return without_parts(packed, unit, parts, key)

@@ -17,7 +17,7 @@ segment, one row of numbers for every few dozen symbols:
 5. every occurrence of a content takes those runs that begin earlier than
    itself, and each text gets the list of its covered parts.
 
-Texts move twice (steps 3 and 5), numbers otherwise. Order is by (key column,
+Texts move once, packed, for steps 3 and 5; otherwise numbers move. Order is by (key column,
 start); a null key column comes before all others.
 """
 
@@ -217,8 +217,25 @@ def repeats_key(grams: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: n
     return padded[second] <= (key | (ends + m - 2).astype(np.uint64))
 
 
+def pack(data: bytes) -> bytes:
+    """Compressed bytes with their size in front."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+#: Bits of ``place``: first window, number of windows, whether the row stays in any case, and the text hash.
+_START, _COUNT, _STAY = 33, 25, 24
+
+
 def _deal(unit: Unit):
-    """Arrow function from (doc, uid, text) to segment rows (grp, key, hash, doc, uid, start, n, extra, again)."""
+    """Arrow function from (doc, mark, text) to segment rows (grp, key, hash, doc, place).
+
+    ``key`` is set where ``grp`` is not the key itself, on occurrences of a
+    content that is frequent in the slice; the first occurrence speaks for them.
+    """
 
     def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,40 +243,81 @@ def _deal(unit: Unit):
                 found = segments(unit, *texts_of(part.column(2)))
                 if not len(found["key"]):
                     continue
-                doc = part.column(0).to_numpy()[found["text"]]
+                doc, mark = (part.column(i).to_numpy()[found["text"]] for i in (0, 1))
                 order = np.lexsort((found["start"], doc, found["hash"], found["key"]))
                 key, content = found["key"][order], found["hash"][order]
                 fresh = np.ones(len(order), bool)
                 fresh[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
                 group = np.cumsum(fresh) - 1
-                often = np.bincount(group)[group] >= OFTEN
-                extra, again = often & ~fresh, often | found["again"][order]
-                apart = np.where(extra, mix(content + order.astype(np.uint64) + mix(doc[order].astype(np.uint64))), key)
-                as_long = lambda a: pa.array(a.view(np.int64))
+                often = np.empty(len(order), bool)
+                extra = np.empty(len(order), bool)
+                often[order] = np.bincount(group)[group] >= OFTEN
+                extra[order] = ~fresh
+                extra &= often
+                place = found["start"] << _START | found["n"] << _COUNT | (often | found["again"]).astype(np.int64) << _STAY | mark
+                apart = np.where(extra, mix(found["hash"] + mix(doc.astype(np.uint64) + mix(place.astype(np.uint64)))), found["key"])
                 yield pa.RecordBatch.from_arrays(
-                    [as_long(apart), as_long(key), as_long(content), pa.array(doc[order]), part.column(1).take(pa.array(found["text"][order])),
-                     pa.array(found["start"][order]), pa.array(found["n"][order].astype(np.int32)), pa.array(extra), pa.array(again)],
-                    ["grp", "key", "hash", "doc", "uid", "start", "n", "extra", "again"],
-                )
+                    [pa.array(apart.view(np.int64)), pa.array(found["key"].view(np.int64), mask=~extra), pa.array(found["hash"].view(np.int64)), pa.array(doc), pa.array(place)],
+                    ["grp", "key", "hash", "doc", "place"],
+                )
 
     return cut_texts
 
 
-def _fetch(unit: Unit):
-    """Arrow function from (doc, text, places) to (key, hash, doc, start, n, content)."""
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the last column by its packed form, as texts take most of the room on their way."""
+    for batch in batches:
+        for some in slices(batch, batch.num_columns - 1, 8 * SLICE_BYTES):
+            packed = pa.array([pack(x.as_py()) for x in some.columns[-1]], pa.binary())
+            yield pa.RecordBatch.from_arrays([*some.columns[:-1], packed], names=batch.schema.names)
+
+
+def _fetch(unit: Unit, shards: int):
+    """Arrow function from (doc, places, packed text, key) to parcels (shard, parcel) of representatives with their content."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, list[bytes]]] = []
+        size = 0
+
+        def parcels() -> pa.RecordBatch:
+            numbers = np.concatenate([h[0] for h in held], axis=1)
+            contents = [c for h in held for c in h[1]]
+            shard = numbers[0].view(np.uint64) % np.uint64(shards)
+            order = np.argsort(shard, kind="stable")
+            edges = np.append(np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)), len(order))
+            packed = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                some = order[a:b]
+                head = np.append(numbers[:, some], [[len(contents[i]) for i in some]], axis=0)
+                packed.append(pack(len(some).to_bytes(8, "little") + head.astype(np.int64).tobytes() + b"".join(contents[i] for i in some)))
+            return pa.RecordBatch.from_arrays([pa.array(shard[order[edges[:-1]]].astype(np.int64)), pa.array(packed, pa.binary())], ["shard", "parcel"])
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                places = batch.column(2)[row].values.flatten()
-                spots = list(zip(places[2].to_pylist(), places[3].to_pylist(), strict=True))
-                content = unit.content(batch.column(1)[row].as_py(), spots)
-                doc = pa.array(np.full(len(spots), batch.column(0)[row].as_py(), np.int64))
-                yield pa.RecordBatch.from_arrays([places[0], places[1], doc, places[2], places[3], pa.array(content, pa.binary())], ["key", "hash", "doc", "start", "n", "content"])
+            for row in np.flatnonzero(batch.column(1).is_valid().to_numpy(False)).tolist():
+                key, content, place = (c.to_numpy() for c in batch.column(1)[row].values.flatten())
+                start, n = place >> _START, place >> _COUNT & 0xFF
+                found = unit.content(unpack(batch.column(2)[row].as_py()), list(zip(start.tolist(), n.tolist(), strict=True)))
+                held.append((np.stack([key, content, np.full(len(key), batch.column(0)[row].as_py()), start, n]), found))
+                size += sum(map(len, found))
+                if size >= 16 * SLICE_BYTES:
+                    yield parcels()
+                    held.clear()
+                    size = 0
+        if held:
+            yield parcels()
 
     return fetch
 
 
+def _open(parcel: bytes) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers (key, hash, doc, start, n) and contents of a parcel."""
+    data = unpack(parcel)
+    count = int.from_bytes(data[:8], "little")
+    head = np.frombuffer(data, np.int64, 6 * count, 8).reshape(6, count)
+    ends = (8 + 48 * count + np.cumsum(head[5])).tolist()
+    return head[:5], [data[a:b] for a, b in zip([8 + 48 * count, *ends], ends)]
+
+
 Index = Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -271,15 +329,15 @@ def _runs(index: Index):
     """
 
     def solve(shard: pa.Table) -> pa.Table:
-        shard = shard.combine_chunks()
-        n = shard["n"].to_numpy().astype(np.int64)
+        opened = [_open(p.as_py()) for p in shard["parcel"]]
+        key, content, doc, start, n = np.concatenate([numbers for numbers, _ in opened], axis=1)
         owner = np.repeat(np.arange(len(n)), n)
         offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        doc, start = shard["doc"].to_numpy()[owner], shard["start"].to_numpy()[owner] + offset
+        doc, start = doc[owner], start[owner] + offset
         by_place = np.lexsort((start, doc))
         rank = np.empty(len(owner), np.int64)
         rank[by_place] = np.arange(len(owner))
-        best = by_place[index(shard["content"].to_pylist(), n, rank)]
+        best = by_place[index([c for _, contents in opened for c in contents], n, rank)]
         doc, start = doc[best], start[best]
         fresh = np.ones(len(owner), bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
@@ -289,51 +347,68 @@ def _runs(index: Index):
             [pa.array(offset[begin].astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(doc[begin]), pa.array(start[begin])], ["at", "n", "doc", "start"]
         )
         edges = np.searchsorted(owner[begin], np.arange(len(n) + 1)).astype(np.int32)
-        return pa.table({"key": shard["key"], "hash": shard["hash"], "runs": pa.ListArray.from_arrays(pa.array(edges), runs)})
+        return pa.table({"key": key, "hash": content, "runs": pa.ListArray.from_arrays(pa.array(edges), runs)})
 
     return solve
 
 
-def row_number(text: Column, key: Column) -> Column:
-    """A number for the pair of key and text; rows that repeat both share it and are judged alike."""
-    return F.xxhash64(key, text)
+def packed_texts(df: DataFrame, text: str, key: str) -> DataFrame:
+    """Return (doc, mark, key, packed): the order of a text, 24 bits of its hash, its key and its packed bytes.
+
+    Rows that repeat key and text share (doc, mark) and are judged alike; the
+    mark tells texts of one key apart.
+    """
+    rows = _rows(df, text, key).select("doc", "mark", "key", "text")
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(_compress, f"doc long, mark long, key {kind}, text binary").withColumnRenamed("text", "packed")
 
 
-def repeated_windows(df: DataFrame, unit: Unit, index: Index, text: str, key: str, other_texts_only: bool) -> DataFrame:
-    """Return (uid, parts): per text the covered ranges of symbols, as an array of (start, end).
+def _rows(df: DataFrame, text: str, key: str) -> DataFrame:
+    return df.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("doc"),
+        F.xxhash64(F.col(text)).bitwiseAND(F.lit(2**24 - 1)).alias("mark"),
+        F.col(key).alias("key"),
+        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
+    )
+
+
+def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index, text: str, key: str, other_texts_only: bool) -> DataFrame:
+    """Return (doc, mark, parts): per text the covered ranges of symbols, as an array of (start, end).
 
     A window is covered if an equal one begins at a smaller (key, start), or
     with ``other_texts_only`` in a text with a smaller key. Texts without
-    covered windows have no row. ``uid`` is :func:`row_number`.
+    covered windows have no row. ``packed`` is :func:`packed_texts`; the caller
+    joins the result to it, and Spark moves it once for both.
     """
-    rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("doc"), row_number(F.col(text), F.col(key)).alias("uid"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    refs = rows.mapInArrow(_deal(unit), "grp long, key long, hash long, doc long, uid long, start long, n int, extra boolean, again boolean")
-    same_key = Window.partitionBy("grp").orderBy("hash", "doc", "start")
+    refs = _rows(df, text, key).select("doc", "mark", "text").mapInArrow(_deal(unit), "grp long, key long, hash long, doc long, place long")
+    same_key = Window.partitionBy("grp").orderBy("hash", "doc", "place")
     marked = refs.withColumn("before", F.lag("hash").over(same_key)).withColumn("after", F.lead("hash").over(same_key))
-    marked = marked.filter("extra OR again OR before IS NOT NULL OR after IS NOT NULL")
-    first = ~F.col("extra") & (F.col("before").isNull() | (F.col("before") != F.col("hash")))
-    shared = cut(marked.select("key", "hash", "doc", "uid", "start", "n", first.alias("first")), "shared-windows")
-
-    symbols = shared.filter("first").agg(F.sum(F.col("n") + unit.width)).first()[0] or 0
+    extra, stay = F.col("key").isNotNull(), F.col("place").bitwiseAND(F.lit(1 << _STAY)) != 0
+    marked = marked.filter(extra | stay | F.col("before").isNotNull() | F.col("after").isNotNull())
+    first = ~extra & (F.col("before").isNull() | (F.col("before") != F.col("hash")))
+    shared = cut(marked.select(F.coalesce("key", "grp").alias("key"), "hash", "doc", "place", first.alias("first")), "shared-windows")
+
+    mark = F.col("place").bitwiseAND(F.lit(2**24 - 1)).alias("mark")
+    start, n = F.shiftright("place", _START), F.shiftright("place", _COUNT).bitwiseAND(F.lit(0xFF))
+    symbols = shared.filter("first").agg(F.sum(n + unit.width)).first()[0] or 0
     shards = max(1, math.ceil(symbols * (8 if unit.words else 1) / SHARD_BYTES))
-    places = shared.filter("first").groupBy("uid").agg(F.collect_list(F.struct("key", "hash", "start", "n")).alias("places"))
-    contents = rows.join(places, "uid").select("doc", "text", "places").mapInArrow(_fetch(unit), "key long, hash long, doc long, start long, n int, content binary")
-    solved = contents.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInArrow(
-        _runs(index), "key long, hash long, runs array<struct<at:int,n:int,doc:long,start:long>>"
-    )
-    found = cut(solved, "window-runs")
+    places = shared.filter("first").groupBy("doc", mark).agg(F.collect_list(F.struct("key", "hash", "place")).alias("places"))
+    # The same left side, columns and join as in without_parts: one exchange of the texts serves both.
+    parcels = packed.join(places, ["doc", "mark"], "left").select("doc", "places", "packed", "key").mapInArrow(_fetch(unit, shards), "shard long, parcel binary")
+    found = parcels.groupBy("shard").applyInArrow(_runs(index), "key long, hash long, runs array<struct<at:int,n:int,doc:long,start:long>>")
 
     def earlier(run: Column) -> Column:
         if other_texts_only:
             return run["doc"] < F.col("doc")
-        return (run["doc"] < F.col("doc")) | ((run["doc"] == F.col("doc")) & (run["start"] < F.col("start") + run["at"]))
+        return (run["doc"] < F.col("doc")) | ((run["doc"] == F.col("doc")) & (run["start"] < F.col("from") + run["at"]))
 
     def part(run: Column) -> Column:
-        begin = F.col("start") + run["at"]
+        begin = F.col("from") + run["at"]
         return F.struct(begin.alias("start"), (begin + run["n"] + F.lit(unit.width - 1)).alias("end"))
 
-    covered = shared.join(found, ["key", "hash"]).select("uid", F.transform(F.filter("runs", earlier), part).alias("parts")).filter("size(parts) > 0")
-    return covered.groupBy("uid").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    met = shared.select("key", "hash", "doc", mark, start.alias("from")).join(found, ["key", "hash"])
+    covered = met.select("doc", "mark", F.transform(F.filter("runs", earlier), part).alias("parts")).filter("size(parts) > 0")
+    return covered.groupBy("doc", "mark").agg(F.flatten(F.collect_list("parts")).alias("parts"))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -346,15 +421,16 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[fresh], reach[last]
 
 
-def without_parts(df: DataFrame, unit: Unit, parts: DataFrame, text: str, key: str) -> DataFrame:
-    """Return per row of ``df``: key, n_symbols, n_removed, spans (start, end) and kept (binary)."""
+def without_parts(packed: DataFrame, unit: Unit, parts: DataFrame, key: str) -> DataFrame:
+    """Return per row of ``packed``: key, n_symbols, n_removed, spans (start, end) and kept (binary)."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, 1, 8 * SLICE_BYTES):
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
                 counts, removed, kept, spans = [], [], [], []
                 for row in range(some.num_rows):
-                    whole = some.column(1)[row].as_py()
+                    whole = unpack(some.column(1)[row].as_py())
                     symbols = whole.translate(_TO_SPACE).split() if unit.words else whole
                     found = some.column(2)[row]
                     left, cuts = symbols, []
@@ -373,8 +449,7 @@ def without_parts(df: DataFrame, unit: Unit, parts: DataFrame, text: str, key: s
                     ["key", "n_symbols", "n_removed", "spans", "kept"],
                 )
 
-    rows = df.select(F.col(key).alias("key"), row_number(F.col(text), F.col(key)).alias("uid"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    joined = rows.join(parts, "uid", "left").select("key", "text", "parts")
+    kind = packed.schema["key"].dataType.simpleString()
+    joined = packed.join(parts, ["doc", "mark"], "left").select("key", "packed", "parts", "doc")
     kept = joined.mapInArrow(remove, f"key {kind}, n_symbols long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
     return kept.withColumnRenamed("key", key)
