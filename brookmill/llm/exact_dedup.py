@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookmill.llm.rows import one_row_where
 from brookmill.scratch import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -91,11 +92,9 @@ def keep_first_copies(df: DataFrame, text: str = "text", key: str = "doc_id", ke
 
     Rows that repeat both text and key become one.
     """
-    decided = content_sort(df, text, key, keep).filter("kept")
-    chosen = decided.select(F.col(key).cast("long").alias("_id"), F.col("text_sha256").alias("_digest"))
-    keyed = df.withColumn("_digest", F.sha2(normalise(F.col(text)).cast("binary"), 256)).withColumn("_id", F.col(key).cast("long"))
-    same = keyed["_id"].eqNullSafe(chosen["_id"]) & (keyed["_digest"] == chosen["_digest"])
-    return keyed.join(chosen, same, "left_semi").dropDuplicates(["_id", "_digest"]).drop("_id", "_digest")
+    kept = content_sort(df, text, key, keep).filter("kept")
+    digest = F.sha2(normalise(F.col(text)).cast("binary"), 256)
+    return one_row_where(df, kept, key, digest, F.col("text_sha256"))
 
 
 SQL = """

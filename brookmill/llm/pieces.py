@@ -277,17 +277,19 @@ def decode_ids(model: Model, ids: np.ndarray, edges: np.ndarray) -> tuple[np.nda
     return data[keep], reach
 
 
-def piece_ids(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0, variants: int = 16) -> DataFrame:
-    """Return per row of ``df``: key, ids (array of int), decoded (binary).
+def piece_ids(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0, variants: int = 16, compare: bool = False) -> DataFrame:
+    """Return per row of ``df``: key, ids (array of int), and decoded (binary) or, with ``compare``, lossless (boolean).
 
     ``model`` is the path of a merge-type SentencePiece model, readable on every
     executor. Each unit of a text takes one of ``variants`` segmentations, drawn
     by a hash of seed, text and place; equal inputs give equal ids on every
     run. ``decoded`` is made from the ids alone and equals the text's UTF-8
-    bytes, literal U+2581 included. Null text counts as empty and has no ids;
+    bytes, literal U+2581 included; ``lossless`` says whether it does. Null text counts as empty and has no ids;
     keys are passed on; repeated rows get equal ids; other columns are not read.
     """
 
+    last = "lossless" if compare else "decoded"
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = load(model)
         for batch in batches:
@@ -296,8 +298,10 @@ def piece_ids(df: DataFrame, model: str, text: str = "text", key: str = "doc_id"
                 ids, edges = encode_texts(table, texts, some.column(1).to_numpy().view(np.uint64), dropout, seed, variants)
                 data, reach = decode_ids(table, ids, edges)
                 decoded = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(reach.astype(np.int32)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids)), decoded], ["key", "ids", "decoded"])
+                if compare:
+                    decoded = pa.array([data[a:b].tobytes() == t.as_py() for a, b, t in zip(reach[:-1], reach[1:], some.column(2), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids)), decoded], ["key", "ids", last])
 
     rows = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("vary"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(encode, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
+    return rows.mapInArrow(encode, f"key {kind}, ids array<int>, {last} {'boolean' if compare else 'binary'}").withColumnRenamed("key", key)

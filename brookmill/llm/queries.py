@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import exact_dedup, pieces, quality, substring_dedup, suffix_dedup, token_counts, url_filter
+import corpus_pipeline
+from brookmill.llm import exact_dedup, minhash, pieces, quality, quotes, substring_dedup, suffix_dedup, tiling, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,6 +45,12 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", F.col("n_symbols").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query("op4_quotation_linking", quotes.SQL.replace("l.parent AS", "coalesce(l.parent, -1) AS"))
+def op4_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    done = quotes.reply_order(_table(spark, folder, "conversations"))
+    return done.withColumn("parent_turn", F.coalesce("parent_turn", F.lit(-1)))
+
+
 @_query("op5_sentencepiece")
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = str(public_tokenizers.path("piece_bpe_32k.model"))
@@ -63,8 +70,24 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.content_sort(_table(spark, folder, "documents"), keep="largest")
 
 
+@_query("op8_string_tiling")
+def op8_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    done = tiling.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return done.select("doc_id", "contaminated", "items", "best_coverage")
+
+
+@_query("op9_minhash")
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 @_query("op10_suffix_dedup")
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = suffix_dedup.repeated_bytes(_table(spark, folder, "documents"), width=100)
     spans = F.size("spans").cast("long").alias("n_spans")
     return done.select("doc_id", F.col("n_symbols").alias("n_bytes"), "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
