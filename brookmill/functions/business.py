@@ -11,6 +11,32 @@ from brookmill.functions.dates import is_weekend
 from brookmill.functions.types import as_col
 
 
+# The limits of the rules, and the names they give.
+HIGH_VALUE, LARGE_SUM, RARE_FROM, FREQUENT_UPTO = 100, 1000, 510, 120
+FRAUD_PRICE, FRAUD_PRODUCT = 2000, 590
+HIGH, LOW = "high_value", "low_value"
+LARGE, RARE, FREQUENT, REGULAR = "large_purchase", "rare_product", "frequent_buyer", "regular"
+FRAUD, FINE = "potential_fraud", "ok"
+
+
+def simple_sql(total: str) -> str:
+    """The SQL form of :func:`classify_transaction_simple`."""
+    return f"CASE WHEN {total} >= {HIGH_VALUE} THEN '{HIGH}' ELSE '{LOW}' END"
+
+
+def class_sql(cost: str, product: str, user: str) -> str:
+    """The SQL form of :func:`classify_transaction` for known arguments."""
+    return (
+        f"CASE WHEN {cost} > {LARGE_SUM} THEN '{LARGE}' WHEN {product} > {RARE_FROM} THEN '{RARE}' "
+        f"WHEN {user} <= {FREQUENT_UPTO} THEN '{FREQUENT}' ELSE '{REGULAR}' END"
+    )
+
+
+def fraud_sql(price: str, product: str, weekend: str) -> str:
+    """The SQL form of :func:`detect_fraud` for known arguments."""
+    return f"CASE WHEN {price} > {FRAUD_PRICE} AND {product} > {FRAUD_PRODUCT} AND {weekend} THEN '{FRAUD}' ELSE '{FINE}' END"
+
+
 def total_cost_simple(price: Column | str, quantity: Column | str) -> Column:
     """Product, not rounded."""
     return as_col(price) * as_col(quantity)
@@ -18,7 +44,7 @@ def total_cost_simple(price: Column | str, quantity: Column | str) -> Column:
 
 def classify_transaction_simple(total: Column | str) -> Column:
     """From 100 up 'high_value', else (and for NULL) 'low_value'."""
-    return F.when(as_col(total) >= 100, "high_value").otherwise("low_value")
+    return F.when(as_col(total) >= HIGH_VALUE, HIGH).otherwise(LOW)
 
 
 def total_cost(price: Column | str, quantity: Column | str) -> Column:
@@ -37,10 +63,10 @@ def classify_transaction(
     known = price.isNotNull() & quantity.isNotNull() & product_id.isNotNull() & user_id.isNotNull()
     return F.when(
         known,
-        F.when(price * quantity > 1000, "large_purchase")
-        .when(product_id > 510, "rare_product")
-        .when(user_id <= 120, "frequent_buyer")
-        .otherwise("regular"),
+        F.when(price * quantity > LARGE_SUM, LARGE)
+        .when(product_id > RARE_FROM, RARE)
+        .when(user_id <= FREQUENT_UPTO, FREQUENT)
+        .otherwise(REGULAR),
     )
 
 
@@ -54,10 +80,10 @@ def classify_transaction_batch(
     """
 
     def classify(price: pd.Series, quantity: pd.Series, product_id: pd.Series, user_id: pd.Series) -> pd.Series:
-        out = pd.Series("regular", index=price.index, dtype="object")
-        out[user_id <= 120] = "frequent_buyer"
-        out[product_id > 510] = "rare_product"
-        out[price * quantity > 1000] = "large_purchase"
+        out = pd.Series(REGULAR, index=price.index, dtype="object")
+        out[user_id <= FREQUENT_UPTO] = FREQUENT
+        out[product_id > RARE_FROM] = RARE
+        out[price * quantity > LARGE_SUM] = LARGE
         out[price.isna() | quantity.isna() | product_id.isna() | user_id.isna()] = None
         return out
 
@@ -70,7 +96,7 @@ def detect_fraud(price: Column | str, product_id: Column | str, date: Column | s
     known = price.isNotNull() & product_id.isNotNull() & date.isNotNull()
     return F.when(
         known,
-        F.when((price > 2000) & (product_id > 590) & is_weekend(date), "potential_fraud").otherwise("ok"),
+        F.when((price > FRAUD_PRICE) & (product_id > FRAUD_PRODUCT) & is_weekend(date), FRAUD).otherwise(FINE),
     )
 
 
@@ -81,18 +107,15 @@ def labelled_value(c: Column | str) -> Column:
 # SQL bodies are inlined by the optimizer, so a call costs what the body costs.
 _SQL_FUNCTIONS = {
     "total_cost_simple(price DOUBLE, quantity DOUBLE) RETURNS DOUBLE": "price * quantity",
-    "classify_transaction_simple(total DOUBLE) RETURNS STRING": (
-        "CASE WHEN total >= 100 THEN 'high_value' ELSE 'low_value' END"
-    ),
+    "classify_transaction_simple(total DOUBLE) RETURNS STRING": simple_sql("total"),
     "total_cost(price DOUBLE, quantity DOUBLE) RETURNS DOUBLE": "round(price * quantity, 2)",
     "classify_transaction(price DOUBLE, quantity DOUBLE, product_id BIGINT, user_id BIGINT) RETURNS STRING": (
         "CASE WHEN price IS NULL OR quantity IS NULL OR product_id IS NULL OR user_id IS NULL THEN NULL "
-        "WHEN price * quantity > 1000 THEN 'large_purchase' WHEN product_id > 510 THEN 'rare_product' "
-        "WHEN user_id <= 120 THEN 'frequent_buyer' ELSE 'regular' END"
+        f"ELSE {class_sql('price * quantity', 'product_id', 'user_id')} END"
     ),
     "detect_fraud(price DOUBLE, product_id BIGINT, day DATE) RETURNS STRING": (
         "CASE WHEN price IS NULL OR product_id IS NULL OR day IS NULL THEN NULL "
-        "WHEN price > 2000 AND product_id > 590 AND weekday(day) >= 5 THEN 'potential_fraud' ELSE 'ok' END"
+        f"ELSE {fraud_sql('price', 'product_id', 'weekday(day) >= 5')} END"
     ),
     "labelled_value(v BIGINT) RETURNS STRING": "concat('Value ', CAST(v AS STRING))",
     "yyyymm(ts TIMESTAMP_NTZ) RETURNS INT": "year(ts) * 100 + month(ts)",

@@ -42,5 +42,16 @@ def repeatable_unit(salt: int, *cols: Column | str) -> Column:
     return F.pmod(h, F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
+def stable_number(*cols: Column | str) -> Column:
+    """Number below 2**32 that depends only on the columns' text; other engines with MD5 give the same."""
+    text = F.md5(F.concat_ws("|", *[as_col(c).cast("string") for c in cols]))
+    return F.conv(F.substring(text, 1, 8), 16, 10).cast("long")
+
+
+def stable_sql(*cols: str) -> str:
+    """The SQL form of :func:`stable_number`."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(cols)})), 1, 8) AS BIGINT)"
+
+
 def new_uuid() -> Column:
     return F.uuid()

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: From here on every double is a whole number.
+_WHOLE = float(2**52)
+
+
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -19,13 +23,18 @@ def ratio(a: Column | str, b: Column | str) -> Column:
 
 
 def round_to(c: Column | str, digits: int = 0) -> Column:
-    """Round half up on the scaled binary value.
+    """Round half away from zero on the scaled binary value.
 
     Anything within a millionth of a step below a tie counts as a tie, so sums
-    that were added up in another order still round the same way.
+    that were added up in another order still round the same way. NaN,
+    infinities and values too large to hold a fraction at this scale come back
+    as they are.
     """
     step = float(10**digits)
-    return F.floor(as_col(c).cast("double") * step + 0.500001) / step
+    value = as_col(c).cast("double")
+    size = F.abs(value) * step
+    rounded = F.signum(value) * F.floor(size + 0.500001) / step + 0.0
+    return F.when(size < _WHOLE, rounded).otherwise(value)
 
 
 def hundredths(c: Column | str) -> Column:
@@ -106,6 +115,12 @@ POPULARITY_BANDS = [
 POPULARITY_ABOVE = "Viral (100M+)"
 
 
+def band_sql(c: str, bands: list[tuple[float, str]], above: str, closed: bool = True) -> str:
+    """The SQL form of :func:`band`."""
+    sign = "<=" if closed else "<"
+    return "CASE " + " ".join(f"WHEN {c} {sign} {edge} THEN '{label}'" for edge, label in bands) + f" ELSE '{above}' END"
+
+
 def air_quality(c: Column | str) -> Column:
     return band(c, AIR_QUALITY_BANDS, AIR_QUALITY_ABOVE)
 

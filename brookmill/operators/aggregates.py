@@ -8,38 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmill.functions.types import round_to
+from brookmill.operators.prefix import running_sum
+
+
+PART_ROWS = 100_000
 
 
 def collect_parts(
-    df: DataFrame, keys: list[str], value: str, tie: list[str], part_rows: int = 100_000, out: str = "values"
+    df: DataFrame, keys: list[str], value: str, tie: list[str], part_rows: int = PART_ROWS, out: str = "values"
 ) -> DataFrame:
-    """Array of the values of each key, in bounded parts.
+    """Arrays of the values of each key, sorted: ``part`` 0 holds the first ``part_rows`` of them, and so on.
 
-    A key with up to ``part_rows`` rows gives one row (``part`` 0) with all its
-    values. A larger key gives several rows of about ``part_rows`` values; its
-    rows are dealt by the hash of ``tie``, so no task and no array holds the
-    whole key. Nothing is left out. Values come sorted.
+    The rule is the same at any size, so a key's rows follow from its values
+    alone, and no task or array holds more than ``part_rows`` of them. NULL
+    values are left out; ``tie`` orders equal values. Reads ``df`` more than once.
     """
-    sizes = (
-        df.groupBy(*keys)
-        .agg(F.count(value).alias("__n"))
-        .filter(F.col("__n") > part_rows)
-        .select(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-            F.ceil(F.col("__n") / part_rows).cast("long").alias("__parts"),
-        )
-    )
-    same = None
-    for i, k in enumerate(keys):
-        test = F.col(k).eqNullSafe(F.col(f"__k{i}"))
-        same = test if same is None else same & test
-    deal = F.pmod(F.xxhash64(*[F.col(c) for c in tie]), F.coalesce("__parts", F.lit(1)))
-    return (
-        df.join(sizes, same, "left")
-        .withColumn("part", deal.cast("int"))
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(value)).alias(out))
-    )
+    present = df.filter(F.col(value).isNotNull()).withColumn("__one", F.lit(1))
+    placed = running_sum(present, keys, value, "__one", "__place", tie=tie)
+    part = F.floor((F.col("__place") - 1) / part_rows).cast("int").alias("part")
+    return placed.groupBy(*keys, part).agg(F.sort_array(F.collect_list(value)).alias(out))
+
+
+def part_sql(keys: str, order: str) -> str:
+    """The SQL form of ``part``, as a window expression."""
+    return f"CAST((row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1) // {PART_ROWS} AS INTEGER)"
 
 
 def correlations(df: DataFrame, columns: dict[str, str], digits: int | None = None) -> DataFrame:

@@ -49,16 +49,16 @@ def require_flow(df: DataFrame, newest: str) -> DataFrame:
     return report
 
 
-def validate_load(df: DataFrame, category: str, price: str, shards: int, partition) -> DataFrame:
-    """Load report: total, average, per category, per shard and per partition.
+def validate_load(df: DataFrame, category: str, price: str, shards: int, partition, key: str) -> DataFrame:
+    """Load report: total, average, per category, per shard of ``key`` and per partition.
 
     One pass: every row feeds one cell of (category, shard, partition), and the
     report sections are sums over those few cells.
     """
-    from brookmill.functions.hashing import shard_of
+    from brookmill.functions.hashing import stable_number
 
     cells = (
-        df.withColumns({"__c": F.col(category), "__h": shard_of(shards, *df.columns), "__p": partition})
+        df.withColumns({"__c": F.col(category), "__h": (stable_number(key) % shards).cast("int"), "__p": partition})
         .groupBy("__c", "__h", "__p")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(price).alias("s"), F.count(price).alias("k"))
     )

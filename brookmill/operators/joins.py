@@ -98,7 +98,7 @@ def product_top(
 
 def sample_rows(df: DataFrame, n: int, salt: int = 0, by: list[str] | None = None) -> DataFrame:
     """``n`` rows in an arbitrary but repeatable order."""
-    from brookmill.functions.hashing import repeatable_unit
+    from brookmill.functions.hashing import stable_number
 
     by = by or df.columns
-    return df.orderBy(repeatable_unit(salt, *by), *by).limit(n)
+    return df.orderBy(stable_number(F.lit(salt), *by), *by).limit(n)

@@ -4,31 +4,25 @@ A plain window sorts one key in one task. That is the best plan while every key
 is small, and it is what is used then: the row count of the largest key is
 measured first, reading only the key columns.
 
-Keys with more rows are split. The order column of their rows is cut into ranges
-of about equal row counts, so that one key with a third of all rows is worked on
-by many tasks. Totals per (key, range) come with map-side combine, offsets per
-range from those few totals, and the window runs inside each (key, range). No
-row is dropped and nothing is approximate but the choice of the range edges,
-which does not touch the result.
+With a larger key the rows are range-partitioned by (keys, order, tie), in as
+many parts as hold ``HOT_ROWS`` rows each, so that one key with a third of all
+rows is worked on by many tasks. Totals per (key, part) come with map-side
+combine, offsets per part from those few totals, and the window runs inside
+each (key, part). Parts follow the order, so the result is that of the plain
+window; no row is dropped.
 """
 
 from __future__ import annotations
 
 import math
-from typing import Any
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookmill.scratch import cut
 
 HOT_ROWS = 1_000_000
-# At most so many keys count as hot, and at most so many ranges are made, however
-# large the input. A key that is not hot has under 1/20000 of the rows or HOT_ROWS.
-MOST_HOT_KEYS = 20_000
-MOST_RANGES = 1_000
 
-_RANGE, _HOT = "__range", "__hot"
+_RANGE = "__range"
 
 
 def _same(keys: list[str], prefix: str) -> Column:
@@ -43,68 +37,6 @@ def largest_key(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
 
 
-def _edges(df: DataFrame, order: str, n: int) -> list[Any]:
-    """The n - 1 values that cut ``order`` into about equal parts, smallest first.
-
-    A value that fills several parts by itself comes several times.
-    """
-    cuts = F.array(*[F.lit(i / n) for i in range(1, n)])
-    found = df.filter(F.col(order).isNotNull()).agg(F.percentile_approx(order, cuts, F.lit(20 * n))).first()[0]
-    return list(found or [])
-
-
-def _range_number(df: DataFrame, order: str, tie: list[str], edges: list[Any], n: int) -> Column:
-    """Range number of a row, consistent with sorting by ``order``.
-
-    Rows of a value that comes several times among the edges are dealt over
-    those ranges by the hash of ``tie``. Rows with equal order values may follow
-    each other in any order, so the ranges still form one valid order. NULLs
-    come first, spread the same way. The number is found by a balanced tree of
-    comparisons with literals.
-    """
-    kind = df.schema[order].dataType
-    value, deal = F.col(order), F.xxhash64(*[F.col(c) for c in tie])
-    marks = sorted(set(edges))
-    starts = [sum(e < m for e in edges) for m in marks]
-
-    def place(low: int, high: int) -> Column:
-        # marks[low - 1] < value <= marks[high] holds here.
-        if low == high:
-            if low == len(marks):
-                return F.lit(len(edges))
-            repeats = edges.count(marks[low])
-            if repeats == 1:
-                return F.lit(starts[low])
-            on_mark = F.pmod(deal, F.lit(repeats)).cast("int") + starts[low]
-            return F.when(value == F.lit(marks[low]).cast(kind), on_mark).otherwise(starts[low])
-        middle = (low + high) // 2
-        return F.when(value <= F.lit(marks[middle]).cast(kind), place(low, middle)).otherwise(place(middle + 1, high))
-
-    missing = -1 - F.pmod(deal, F.lit(n)).cast("int")
-    number = F.when(value.isNull(), missing).otherwise(place(0, len(marks)))
-    return F.coalesce(number, F.lit(0))
-
-
-def _with_ranges(df: DataFrame, keys: list[str], order: str, tie: list[str], hot_rows: int) -> DataFrame:
-    """Add the range number; rows of keys that are not hot get 0 and no hot mark."""
-    if not keys:
-        n = min(max(math.ceil(df.count() / hot_rows), 2), MOST_RANGES)
-        return df.withColumn(_RANGE, _range_number(df, order, tie, _edges(df, order, n), n))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
-    limit = max(hot_rows, total // MOST_HOT_KEYS)
-    hot = counts.filter(F.col("n") > limit).select(
-        *[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.col("n").alias(_HOT)
-    )
-    # Each hot key has over 1/20000 of the rows, so this side has under 20000 rows.
-    marked = df.join(F.broadcast(hot), _same(keys, "__h"), "left").drop(*[f"__h{i}" for i in range(len(keys))])
-    hot_total = hot.agg(F.sum(_HOT).alias("n")).first()["n"] or 0
-    n = min(max(math.ceil(hot_total / limit), 2), MOST_RANGES)
-    edges = _edges(marked.filter(F.col(_HOT).isNotNull()), order, n)
-    number = F.when(F.col(_HOT).isNotNull(), _range_number(df, order, tie, edges, n)).otherwise(0)
-    return marked.withColumn(_RANGE, number)
-
-
 def running_sum(
     df: DataFrame,
     keys: list[str],
@@ -117,11 +49,10 @@ def running_sum(
 ) -> DataFrame:
     """Add the sum of ``value`` over the rows up to this one, per ``keys`` by ``order``.
 
-    ``tie`` names columns that tell rows with equal order values apart (default:
-    all columns). ``order`` must be a number, date or timestamp where keys over
-    ``hot_rows`` rows are to be split. ``largest`` is the row count of the
-    largest key where the caller knows it. Splitting reads ``df`` several times; store it first
-    (:func:`brookmill.scratch.cut`) when it is costly to compute.
+    Rows with equal order values are ordered by ``tie`` (default: all columns),
+    at any size; NULLs come first. ``largest`` is the row count of the largest
+    key where the caller knows it. Splitting reads ``df`` three times; store it
+    first (:func:`brookmill.scratch.cut`) when it is costly to compute.
     """
     tie = [c for c in (tie or df.columns) if c != order]
     if largest is None:
@@ -132,7 +63,9 @@ def running_sum(
         running = F.sum(value).over(upto(Window.partitionBy(*keys).orderBy(order, *tie)))
         return df.select(*columns, F.coalesce(running, F.lit(0)).alias(out))
 
-    spread = _with_ranges(df, keys, order, [order, *tie], hot_rows)
+    parts = max(2, math.ceil(df.count() / hot_rows))
+    ranged = df.repartitionByRange(parts, *keys, order, *tie).withColumn(_RANGE, F.spark_partition_id())
+    spread = cut(ranged, "running-ranges")
     before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         spread.groupBy(*keys, _RANGE)

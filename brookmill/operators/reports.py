@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmill.functions.hashing import shard_of
+from brookmill.functions.hashing import stable_number
 from brookmill.functions.text import readable_size
 
 
@@ -25,7 +25,7 @@ def shard_report(df: DataFrame, key: str, shards: int) -> DataFrame:
     Keys are counted before shards, so the report itself does not suffer from
     the skew it looks for.
     """
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("shard", shard_of(shards, key))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("shard", (stable_number(key) % shards).cast("int"))
     return per_key.groupBy("shard").agg(
         F.sum("n").alias("records"), F.count(F.lit(1)).alias("keys"), F.max("n").alias("heaviest_key")
     )

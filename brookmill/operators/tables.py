@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,13 +45,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _segment(values: dict[str, Any]) -> str:
+#: Folder name of a missing partition value, as Spark writes it.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def segment(values: dict[str, Any]) -> str:
     """Folder name of a partition, escaped as Spark writes it."""
     special = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
 
     def text(v: Any) -> str:
         if v is None or v == "":
-            return "__HIVE_DEFAULT_PARTITION__"
+            return _NO_VALUE
         s = str(v).lower() if isinstance(v, bool) else str(v)
         return "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in s)
 
@@ -117,30 +122,56 @@ def append(folder: Folder, df: DataFrame) -> None:
     missing = set(folder.schema.fieldNames()) - set(df.columns)
     if missing:
         raise ValueError(f"columns {sorted(missing)} are missing")
-    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in folder.schema])
-    write_partitioned(rows, folder.path, list(folder.by))
+    write_partitioned(_checked(folder, df), folder.path, list(folder.by))
+
+
+def _checked(folder: Folder, df: DataFrame) -> DataFrame:
+    """Columns in declared order and type. An empty text as partition value fails: its folder could not be told from NULL's."""
+
+    def column(f: T.StructField) -> Column:
+        c = F.col(f.name).cast(f.dataType)
+        if f.name in folder.by and isinstance(f.dataType, T.StringType):
+            c = F.when(c == "", F.raise_error(F.lit(f"empty text in partition column {f.name}")).cast("string")).otherwise(c)
+        return c.alias(f.name)
+
+    return df.select(*[column(f) for f in folder.schema])
 
 
 # ---- row changes ------------------------------------------------------------
 
 
-def _touched(folder: Folder, condition: Column, limit: int) -> list[dict[str, Any]]:
+#: Up to so many partitions are named in a filter; beyond, the rows are found by a join. The result is the same.
+NAMED = 1_000
+
+
+def _touched(folder: Folder, condition: Column) -> list[dict[str, Any]]:
     """Partitions with a matching row. The condition reaches the scan; a condition
     that names partition columns lists only those folders.
 
-    One row per partition comes to the driver, never data; ``limit`` guards it.
+    One name per partition comes to the driver, never data.
     """
-    found = folder.read().filter(condition).select(*folder.by).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"the change touches over {limit} partitions; pass a higher limit or narrow the condition")
-    return [r.asDict() for r in found]
+    found = folder.read().filter(condition).select(*folder.by).distinct()
+    return [r.asDict() for r in found.toLocalIterator()]
+
+
+def _rows_of(folder: Folder, parts: list[dict[str, Any]]) -> DataFrame:
+    """All rows of the partitions."""
+    rows = folder.read()
+    if len(parts) <= NAMED:
+        return rows.filter(_in_partitions(folder, parts))
+    kinds = T.StructType([f for f in folder.schema if f.name in folder.by])
+    names = folder.spark.createDataFrame([tuple(p[f.name] for f in kinds) for p in parts], kinds)
+    same = F.lit(True)
+    for c in folder.by:
+        same = same & rows[c].eqNullSafe(names[c])
+    return rows.join(names, same, "left_semi")
 
 
 def _emptied(folder: Folder, condition: Column, parts: list[dict[str, Any]]) -> list[dict[str, Any]]:
     """Those of ``parts`` in which every row matches."""
     rest = F.count_if(~F.coalesce(condition, F.lit(False)))
-    rows = folder.read().filter(_in_partitions(folder, parts)).groupBy(*folder.by).agg(rest.alias("__rest"))
-    return [{c: r[c] for c in folder.by} for r in rows.filter("__rest = 0").collect()]
+    rows = _rows_of(folder, parts).groupBy(*folder.by).agg(rest.alias("__rest"))
+    return [{c: r[c] for c in folder.by} for r in rows.filter("__rest = 0").toLocalIterator()]
 
 
 def _in_partitions(folder: Folder, parts: list[dict[str, Any]]) -> Column:
@@ -159,18 +190,16 @@ def _in_partitions(folder: Folder, parts: list[dict[str, Any]]) -> Column:
     return test
 
 
-def update_where(
-    folder: Folder, condition: Column, changes: dict[str, Column], partition_limit: int = 10_000
-) -> int:
+def update_where(folder: Folder, condition: Column, changes: dict[str, Column]) -> int:
     """Set columns on matching rows; returns how many partitions were rewritten."""
     if set(changes) & set(folder.by):
         raise ValueError("a partition column cannot be updated in place")
-    parts = _touched(folder, condition, partition_limit)
+    parts = _touched(folder, condition)
     if not parts:
         return 0
     hit = F.coalesce(condition, F.lit(False))
     kinds = {f.name: f.dataType for f in folder.schema}
-    rows = folder.read().filter(_in_partitions(folder, parts))
+    rows = _rows_of(folder, parts)
     changed = rows.select(
         *[
             F.when(hit, changes[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in changes else F.col(c)
@@ -181,19 +210,20 @@ def update_where(
     return len(parts)
 
 
-def delete_where(folder: Folder, condition: Column, partition_limit: int = 10_000) -> int:
+def delete_where(folder: Folder, condition: Column) -> int:
     """Remove matching rows; rows where the condition is NULL stay.
 
     A partition that loses all rows is dropped: an overwrite would leave it
     as it was.
     """
-    parts = _touched(folder, condition, partition_limit)
+    parts = _touched(folder, condition)
     if not parts:
         return 0
     empty = _emptied(folder, condition, parts)
-    partly = [p for p in parts if p not in empty]
+    gone = {tuple(p.values()) for p in empty}
+    partly = [p for p in parts if tuple(p[c] for c in folder.by) not in gone]
     if partly:
-        kept = folder.read().filter(_in_partitions(folder, partly)).filter(~F.coalesce(condition, F.lit(False)))
+        kept = _rows_of(folder, partly).filter(~F.coalesce(condition, F.lit(False)))
         write_partitioned(kept, folder.path, list(folder.by), "replace_partitions")
     for p in empty:
         drop_partition(folder, p)
@@ -207,7 +237,7 @@ def drop_partition(folder: Folder, values: dict[str, Any]) -> bool:
     """Remove one partition folder without reading it."""
     if tuple(values) != folder.by[: len(values)]:
         raise ValueError(f"partition columns are {folder.by}")
-    fs, p = _fs(folder.spark, f"{folder.path}/{_segment(values)}")
+    fs, p = _fs(folder.spark, f"{folder.path}/{segment(values)}")
     return bool(fs.delete(p, True))
 
 
@@ -219,27 +249,59 @@ def replace_partition(folder: Folder, values: dict[str, Any], source: DataFrame)
     if rows.isEmpty():
         drop_partition(folder, values)
         return
-    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in folder.schema])
-    write_partitioned(rows, folder.path, list(folder.by), "replace_partitions")
+    write_partitioned(_checked(folder, rows), folder.path, list(folder.by), "replace_partitions")
 
 
-def attach_all(folder: Folder, source: DataFrame) -> None:
-    """Add every partition of another table of the same shape."""
-    append(folder, source)
+def attach_all(folder: Folder, source: Folder) -> None:
+    """Add every partition of another folder of the same shape. Its files hold one partition each, so no row is moved
+    between tasks."""
+    missing = set(folder.schema.fieldNames()) - set(source.schema.fieldNames())
+    if missing or folder.by != source.by:
+        raise ValueError(f"columns {sorted(missing)} are missing, or {source.by} is not {folder.by}")
+    _checked(folder, source.read()).write.mode("append").partitionBy(*folder.by).parquet(folder.path)
+
+
+def partition_names(folder: Folder) -> list[dict[str, str | None]]:
+    """Partition values as text, from the folder names alone."""
+    found: list[dict[str, str | None]] = [{}]
+    for column in folder.by:
+        deeper = []
+        for values in found:
+            fs, p = _fs(folder.spark, "/".join([folder.path, *([segment(values)] if values else [])]))
+            for status in fs.listStatus(p) if fs.exists(p) else []:
+                name, _, text = status.getPath().getName().partition("=")
+                if status.isDirectory() and name == column:
+                    deeper.append({**values, column: None if text == _NO_VALUE else unquote(text)})
+        found = deeper
+    return found
 
 
 def list_partitions(folder: Folder) -> DataFrame:
-    """Partition values present; answered from folder names where Spark can."""
-    return folder.read().select(*folder.by).distinct()
+    """Partition values present, from the folder names; no file is read."""
+    kinds = {f.name: f.dataType for f in folder.schema}
+    rows = [tuple(p[c] for c in folder.by) for p in partition_names(folder)]
+    texts = folder.spark.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in folder.by]))
+    return texts.select(*[F.col(c).cast(kinds[c]).alias(c) for c in folder.by])
 
 
-def expire(folder: Folder, ts: str, days: int, as_of: dt.datetime) -> int:
+def expire(folder: Folder, ts: str, days: int, as_of: dt.datetime, day_number: str | None = None) -> int:
     """Remove rows older than ``as_of - days``. A row exactly on the cutoff stays.
 
-    Whole old partitions are dropped, only the one on the boundary is rewritten.
+    ``day_number`` names the partition column that holds the day of ``ts`` as
+    yyyymmdd: then folders of earlier days are dropped by name, unread, and only
+    the folder of the cutoff's day is read and rewritten. Without it all rows
+    are looked at. Returns how many partitions changed.
     """
     cutoff = as_of - dt.timedelta(days=days)
-    return delete_where(folder, F.col(ts) < F.lit(cutoff))
+    old = F.col(ts) < F.lit(cutoff)
+    if day_number is None:
+        return delete_where(folder, old)
+    last = cutoff.year * 10_000 + cutoff.month * 100 + cutoff.day
+    dropped = 0
+    for values in partition_names(folder):
+        if values[day_number] is not None and int(values[day_number]) < last:
+            dropped += drop_partition(folder, values)
+    return dropped + delete_where(folder, (F.col(day_number) == last) & old)
 
 
 # ---- schema changes ---------------------------------------------------------

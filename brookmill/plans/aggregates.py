@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from brookmill.operators.aggregates import collect_parts, part_sql
 from brookmill.functions.dates import yyyymm
 from brookmill.functions.types import hundredths, int_div, ratio, round_to
 from brookmill.operators.aggregates import coverage
@@ -74,14 +75,27 @@ def agg_distinct_exact(t):
     return t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_partkey").alias("parts"))
 
 
-@query("agg_distinct_approx", "AG-04", None)
-def agg_distinct_approx(t):
-    """Approximate next to exact; tests bound the error."""
+def _close(approx: str, exact: str, share: float):
+    return F.abs(F.col(approx) - F.col(exact)) <= F.greatest(F.lit(1.0), share * F.col(exact))
+
+
+def distinct_parts(t):
+    """Approximate next to exact."""
     return t.lineitem.groupBy("l_returnflag").agg(
         F.approx_count_distinct("l_partkey", 0.02).alias("approx_parts"), F.countDistinct("l_partkey").alias("parts")
     )
 
 
+@query(
+    "agg_distinct_approx",
+    "AG-04",
+    "SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, TRUE AS close FROM lineitem GROUP BY 1",
+)
+def agg_distinct_approx(t):
+    """Exact count, and whether the approximate one lies within three standard errors."""
+    return distinct_parts(t).select("l_returnflag", "parts", _close("approx_parts", "parts", 0.06).alias("close"))
+
+
 @query(
     "q_category_stats",
     "AG-05",
@@ -137,13 +151,11 @@ def agg_having_alias(t):
 @query(
     "agg_collect_orders",
     "AG-11",
-    """
-SELECT o_custkey, CAST(0 AS INTEGER) AS part, array_to_string(list_sort(list(o_orderkey)), ',') AS order_keys
-FROM orders GROUP BY o_custkey""",
+    f"""
+SELECT o_custkey, part, array_to_string(list_sort(list(o_orderkey)), ',') AS order_keys
+FROM (SELECT o_custkey, o_orderkey, {part_sql("o_custkey", "o_orderkey")} AS part FROM orders) GROUP BY o_custkey, part""",
 )
 def agg_collect_orders(t):
-    from brookmill.operators.aggregates import collect_parts
-
     parts = collect_parts(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey", ["o_orderkey"], out="k")
     return parts.select("o_custkey", "part", F.array_join(F.col("k").cast("array<string>"), ",").alias("order_keys"))
 
@@ -199,14 +211,35 @@ def agg_quantiles(t):
     return q.select("l_suppkey", round_to("m", 4).alias("median_price"), round_to("p", 4).alias("p90_price"))
 
 
-@query("agg_quantiles_approx", "AG-15", None)
-def agg_quantiles_approx(t):
-    """Approximate quantiles; tests bound the rank error."""
+_RANKS_SQL = "SELECT l_returnflag, count(*) AS n, TRUE AS median_close, TRUE AS p90_close FROM lineitem GROUP BY 1"
+
+
+def _with_ranks(t, quantiles):
+    """Rows per flag, and whether each approximate quantile's rank is within 0.02 of the wanted one."""
+    found = quantiles.select(F.col("l_returnflag").alias("flag"), "median_price", "p90_price")
+    both = t.lineitem.join(found, F.col("l_returnflag").eqNullSafe(F.col("flag")))
+
+    def close(c: str, q: float):
+        upto = F.avg((F.col("l_extendedprice") <= F.col(c)).cast("int"))
+        below = F.avg((F.col("l_extendedprice") < F.col(c)).cast("int"))
+        return (upto >= q - 0.02) & (below <= q + 0.02)
+
+    return both.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), close("median_price", 0.5).alias("median_close"), close("p90_price", 0.9).alias("p90_close")
+    )
+
+
+def approx_price_quantiles(t):
     return t.lineitem.groupBy("l_returnflag").agg(
         F.percentile_approx("l_extendedprice", [0.5, 0.9], 10_000).alias("q")
     ).select("l_returnflag", F.col("q")[0].alias("median_price"), F.col("q")[1].alias("p90_price"))
 
 
+@query("agg_quantiles_approx", "AG-15", _RANKS_SQL)
+def agg_quantiles_approx(t):
+    return _with_ranks(t, approx_price_quantiles(t))
+
+
 @query(
     "agg_corr_pair",
     "AG-16",
@@ -278,8 +311,7 @@ def agg_merge_states(t):
     )
 
 
-@query("agg_uniq_states", "AG-22 AG-25", None)
-def agg_uniq_states(t):
+def merged_ids(t):
     """Distinct-count sketches per month merged per product, next to the exact count."""
     s = sales(t)
     states = s.groupBy("product_id", "month").agg(distinct_state("id").alias("id_uniq"))
@@ -288,8 +320,17 @@ def agg_uniq_states(t):
     return merged.join(exact, "product_id")
 
 
-@query("agg_quantile_states", "AG-23 AG-26", None)
-def agg_quantile_states(t):
+@query(
+    "agg_uniq_states",
+    "AG-22 AG-25",
+    f"WITH {SALES} SELECT product_id, count(DISTINCT id) AS ids, TRUE AS close FROM sales GROUP BY 1",
+)
+def agg_uniq_states(t):
+    """Exact count per product, and whether the merged sketches come within 3 % of it."""
+    return merged_ids(t).select("product_id", "ids", _close("approx_ids", "ids", 0.03).alias("close"))
+
+
+def merged_price_quantiles(t):
     """Quantile sketches per month merged per flag."""
     states = (
         t.lineitem.withColumn("month", yyyymm("l_shipdate"))
@@ -306,6 +347,11 @@ def agg_quantile_states(t):
     )
 
 
+@query("agg_quantile_states", "AG-23 AG-26", _RANKS_SQL)
+def agg_quantile_states(t):
+    return _with_ranks(t, merged_price_quantiles(t))
+
+
 @query(
     "agg_ratio_of_sums",
     "AG-27",
@@ -363,7 +409,7 @@ def agg_value_modulo(t):
     return t.lineitem.groupBy((q % 10).alias("bucket"), int_div(q, F.lit(10)).alias("tens")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("agg_paths_agree", "AG-35", None)
+@query("agg_paths_agree", "AG-35", "SELECT CAST(0 AS BIGINT) AS differing_rows")
 def agg_paths_agree(t):
     """Base aggregate, merged rollup and a stored copy must agree: rows that differ (none expected)."""
     from brookmill.operators.checks import differing_rows

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brookmill.functions.hashing import stable_sql
 from brookmill.functions.dates import in_range, yyyymmdd
 from brookmill.operators import tables as W
 from brookmill.plans.registry import query
@@ -142,7 +143,7 @@ def activity_insert(t):
 def activity_attach_all(t):
     source = _stored(t, "activity")
     clone = W.Folder(t.spark, new_path(t.spark, "clone"), SCHEMA, ("day",))
-    W.attach_all(clone, source.read())
+    W.attach_all(clone, source)
     return clone.read()
 
 
@@ -153,7 +154,7 @@ def activity_attach_all(t):
 )
 def activity_expire(t):
     folder = _stored(t, "activity")
-    W.expire(folder, "activity_date", 16, AS_OF + dt.timedelta(hours=6))
+    W.expire(folder, "activity_date", 16, AS_OF + dt.timedelta(hours=6), day_number="day")
     return folder.read()
 
 
@@ -178,14 +179,18 @@ def activity_new_columns(t):
 @query(
     "partition_report",
     "IN-01 SK-02",
-    f"WITH {_ACTIVITY} SELECT day, count(*) AS total_rows FROM activity GROUP BY 1",
+    f"WITH {_ACTIVITY} SELECT day, count(*) AS total_rows, TRUE AS parts_known FROM activity GROUP BY 1",
 )
 def partition_report(t):
     from brookmill.operators.reports import partition_report as report
 
     folder = _stored(t, "activity")
     stored = t.spark.read.schema(SCHEMA).parquet(folder.path)
-    return report(stored, ["day"]).filter("parts_count > 0").select("day", "total_rows")
+    found = report(stored, ["day"])
+    parts = {r["day"]: r["parts_count"] for r in found.collect()}
+    files = stored.select("day", F.col("_metadata.file_path").alias("f")).distinct().groupBy("day").count().collect()
+    known = all(parts[r["day"]] == r["count"] > 0 for r in files)
+    return found.select("day", "total_rows", F.lit(known).alias("parts_known"))
 
 
 @query("partition_list", "IN-02", f"WITH {_ACTIVITY} SELECT DISTINCT day FROM activity")
@@ -193,17 +198,32 @@ def partition_list(t):
     return W.list_partitions(_stored(t, "activity"))
 
 
-@query("table_sizes", "IN-05", None)
+_SIZED = ("orders", "lineitem", "events", "customer")
+
+
+@query(
+    "table_sizes",
+    "IN-05",
+    "\nUNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS total_rows, TRUE AS stored FROM {n}" for n in _SIZED),
+)
 def table_sizes(t):
-    """Rows, files and bytes per table."""
+    """Rows per table, and whether its files and bytes are known."""
     from brookmill.operators.reports import table_sizes as sizes
 
-    return sizes({"orders": t.orders, "lineitem": t.lineitem, "events": t.events, "customer": t.customer})
+    found = sizes({name: getattr(t, name) for name in _SIZED})
+    return found.select("table", "total_rows", ((F.col("files") > 0) & (F.col("total_bytes") > 0)).alias("stored"))
 
 
-@query("shard_skew", "IN-03", None)
+@query(
+    "shard_skew",
+    "IN-03",
+    f"""
+WITH k AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
+SELECT CAST({stable_sql("o_custkey")} % 16 AS INTEGER) AS shard, CAST(sum(n) AS BIGINT) AS records, count(*) AS keys,
+       max(n) AS heaviest_key FROM k GROUP BY 1""",
+)
 def shard_skew(t):
-    """Rows, keys and heaviest key per hash shard; no SQL twin, hashes differ by engine."""
+    """Rows, keys and heaviest key per hash shard."""
     from brookmill.operators.reports import shard_report
 
     return shard_report(t.orders, "o_custkey", 16)

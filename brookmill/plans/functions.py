@@ -202,29 +202,29 @@ def pf_point_lookup(t):
     "q_type_functions",
     "PF-02 FN-01 FN-02 FN-03 FN-09 FN-19",
     """
-SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_str, substring(strftime(o_orderdate, '%Y-%m-%d'), 1, 4) AS year_substring,
-       substring(strftime(o_orderdate, '%Y-%m-%d'), 6, 2) AS month_substring,
-       split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 1) AS year_by_split,
-       split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 2) AS month_by_split,
-       CAST(year(o_orderdate) AS INTEGER) AS year_func, CAST(month(o_orderdate) AS INTEGER) AS month_func,
-       o_totalprice AS price, round(o_totalprice) AS rounded_price, CAST(o_orderkey AS VARCHAR) AS order_id_str
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_text, substring(strftime(o_orderdate, '%Y-%m-%d'), 1, 4) AS year_cut,
+       substring(strftime(o_orderdate, '%Y-%m-%d'), 6, 2) AS month_cut,
+       split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 1) AS year_part,
+       split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 2) AS month_part,
+       CAST(year(o_orderdate) AS INTEGER) AS year_number, CAST(month(o_orderdate) AS INTEGER) AS month_number,
+       o_totalprice AS price, round(o_totalprice) AS whole_price, CAST(o_orderkey AS VARCHAR) AS order_text
 FROM orders""",
 )
 def type_functions(t):
     return t.orders.select(
-        "o_orderkey", F.to_date("o_orderdate").cast("string").alias("date_str"), "o_orderdate", "o_totalprice"
+        "o_orderkey", F.to_date("o_orderdate").cast("string").alias("day_text"), "o_orderdate", "o_totalprice"
     ).select(
         "o_orderkey",
-        "date_str",
-        F.substring("date_str", 1, 4).alias("year_substring"),
-        F.substring("date_str", 6, 2).alias("month_substring"),
-        X.split_at("date_str", "-", 1).alias("year_by_split"),
-        X.split_at("date_str", "-", 2).alias("month_by_split"),
-        F.year("o_orderdate").alias("year_func"),
-        F.month("o_orderdate").alias("month_func"),
+        "day_text",
+        F.substring("day_text", 1, 4).alias("year_cut"),
+        F.substring("day_text", 6, 2).alias("month_cut"),
+        X.split_at("day_text", "-", 1).alias("year_part"),
+        X.split_at("day_text", "-", 2).alias("month_part"),
+        F.year("o_orderdate").alias("year_number"),
+        F.month("o_orderdate").alias("month_number"),
         F.col("o_totalprice").alias("price"),
-        F.round("o_totalprice").alias("rounded_price"),
-        F.col("o_orderkey").cast("string").alias("order_id_str"),
+        F.round("o_totalprice").alias("whole_price"),
+        F.col("o_orderkey").cast("string").alias("order_text"),
     )
 
 
@@ -471,30 +471,48 @@ def fn_repeatable_text(t):
     return t.orders.select("o_orderkey", H.repeatable_text("o_orderkey", 10).alias("s"))
 
 
-@query("fn_shards", "FN-27 FN-26", None)
+@query(
+    "fn_shards",
+    "FN-27 FN-26",
+    f"""
+SELECT CAST({H.stable_sql("o_orderkey")} % 8 AS INTEGER) AS shard, count(*) AS n,
+       CAST(sum({H.stable_sql("7", "o_orderkey")} % 1000) AS BIGINT) AS drawn, TRUE AS hash_in_range, TRUE AS unit_in_range
+FROM orders GROUP BY 1""",
+)
 def fn_shards(t):
-    """Rows per hash shard and the mean of the repeatable random value; no SQL twin, hashes differ by engine."""
-    return (
-        t.orders.select(H.shard_of(8, "o_orderkey").alias("shard"), H.repeatable_unit(7, "o_orderkey").alias("u"))
-        .groupBy("shard")
-        .agg(F.count(F.lit(1)).alias("n"), round_to(F.avg("u"), 4).alias("mean_u"))
+    """Rows per shard by a hash every engine has, the sum of repeatable draws, and the ranges of the faster Spark hash."""
+    shard, unit = H.shard_of(8, "o_orderkey"), H.repeatable_unit(7, "o_orderkey")
+    return t.orders.groupBy((H.stable_number("o_orderkey") % 8).cast("int").alias("shard")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(H.stable_number(F.lit(7), "o_orderkey") % 1000).alias("drawn"),
+        F.bool_and((shard >= 0) & (shard < 8)).alias("hash_in_range"),
+        F.bool_and((unit >= 0) & (unit < 1)).alias("unit_in_range"),
     )
 
 
-@query("fn_uuid", "FN-29", None)
+@query("fn_uuid", "FN-29", "SELECT count(*) AS n, count(*) AS distinct_ids, TRUE AS well_formed FROM orders")
 def fn_uuid(t):
-    """A new identifier per row; random by design."""
-    return t.orders.select("o_orderkey", H.new_uuid().alias("query_id"))
+    """A new identifier per row: as many as rows, all different, all of the usual form."""
+    form = F.regexp_like("query_id", F.lit("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"))
+    return t.orders.select(H.new_uuid().alias("query_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("query_id").alias("distinct_ids"), F.bool_and(form).alias("well_formed")
+    )
 
 
-@query("fn_placement", "FN-36", None)
+@query(
+    "fn_placement",
+    "FN-36",
+    "\nUNION ALL ".join(f"SELECT '{n}' AS source, count(*) AS n, TRUE AS placed FROM {n}" for n in ("lineitem", "orders")),
+)
 def fn_placement(t):
-    """Where rows are: file and task."""
-    return (
-        t.lineitem.select(F.col("_metadata.file_name").alias("file"), F.spark_partition_id().alias("task"))
-        .groupBy("file", "task")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Where rows are: per file and task, summed per table."""
+    placed = [
+        df.select(F.lit(name).alias("source"), F.col("_metadata.file_path").alias("file"), F.spark_partition_id().alias("task"))
+        for name, df in (("lineitem", t.lineitem), ("orders", t.orders))
+    ]
+    by_place = placed[0].unionByName(placed[1]).groupBy("source", "file", "task").agg(F.count(F.lit(1)).alias("n"))
+    known = F.bool_and(F.col("file").isNotNull() & (F.col("task") >= 0))
+    return by_place.groupBy("source").agg(F.sum("n").alias("n"), known.alias("placed"))
 
 
 # ---- user-defined functions -------------------------------------------------
@@ -503,9 +521,9 @@ def fn_placement(t):
 @query(
     "q_udf_simple",
     "UD-01 UD-02 UD-03",
-    """
+    f"""
 SELECT l_orderkey, l_linenumber, l_discount * l_quantity * 100 AS total_transaction_cost,
-       CASE WHEN l_discount * l_quantity * 100 >= 100 THEN 'high_value' ELSE 'low_value' END AS transaction_category
+       {B.simple_sql("l_discount * l_quantity * 100")} AS transaction_category
 FROM lineitem""",
 )
 def udf_simple(t):
@@ -527,12 +545,10 @@ def udf_total(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", B.total_cost("l_extendedprice", "l_quantity").alias("total_price"))
 
 
-_CLASSIFY_SQL = """
+_CLASSIFY_SQL = f"""
 SELECT l_orderkey, l_extendedprice / 100 AS price, l_linenumber AS quantity, 500 + l_partkey % 101 AS product_id,
        100 + l_suppkey % 101 AS user_id,
-       CASE WHEN l_extendedprice / 100 * l_linenumber > 1000 THEN 'large_purchase'
-            WHEN 500 + l_partkey % 101 > 510 THEN 'rare_product'
-            WHEN 100 + l_suppkey % 101 <= 120 THEN 'frequent_buyer' ELSE 'regular' END AS transaction_category
+       {B.class_sql("l_extendedprice / 100 * l_linenumber", "500 + l_partkey % 101", "100 + l_suppkey % 101")} AS transaction_category
 FROM lineitem"""
 
 
@@ -560,10 +576,9 @@ def udf_classify_batch(t):
     )
 
 
-_FRAUD_SQL = """
+_FRAUD_SQL = f"""
 SELECT l_orderkey, l_linenumber, l_extendedprice AS price, l_partkey AS product_id,
-       CASE WHEN l_extendedprice > 2000 AND l_partkey > 590 AND isodow(l_shipdate) >= 6 THEN 'potential_fraud' ELSE 'ok' END
-         AS fraud_status FROM lineitem"""
+       {B.fraud_sql("l_extendedprice", "l_partkey", "isodow(l_shipdate) >= 6")} AS fraud_status FROM lineitem"""
 
 
 @query("q_udf_fraud", "UD-06", _FRAUD_SQL)
@@ -585,9 +600,9 @@ def udf_labelled_value(t):
 @query(
     "udf_missing_arguments",
     "UD-08",
-    """
-SELECT d.doc_id, CASE WHEN l.quality IS NULL THEN NULL WHEN d.n_chars * (l.quality + 1) > 1000 THEN 'large_purchase'
-       WHEN d.doc_id > 510 THEN 'rare_product' WHEN d.doc_id <= 120 THEN 'frequent_buyer' ELSE 'regular' END AS category
+    f"""
+SELECT d.doc_id, CASE WHEN l.quality IS NOT NULL
+       THEN {B.class_sql("d.n_chars * (l.quality + 1)", "d.doc_id", "d.doc_id")} END AS category
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def udf_missing_arguments(t):
@@ -600,11 +615,10 @@ def udf_missing_arguments(t):
 @query(
     "udf_in_sql",
     "UD-01 UD-02 UD-04 UD-05 UD-06 UD-07",
-    """
+    f"""
 SELECT l_orderkey, l_linenumber, round(l_extendedprice * l_quantity, 2) AS total, 'Value ' || l_partkey AS v,
-       CASE WHEN l_extendedprice > 2000 AND l_partkey > 590 AND isodow(l_shipdate) >= 6 THEN 'potential_fraud' ELSE 'ok' END
-         AS fraud,
-       CASE WHEN l_extendedprice * 0.001 >= 100 THEN 'high_value' ELSE 'low_value' END AS category,
+       {B.fraud_sql("l_extendedprice", "l_partkey", "isodow(l_shipdate) >= 6")} AS fraud,
+       {B.simple_sql("l_extendedprice * 0.001")} AS category,
        CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS month
 FROM lineitem""",
 )

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from brookmill.functions.types import round_to
 
 from brookmill.functions.dates import in_year
-from brookmill.operators.aggregates import collect_parts
+from brookmill.functions.hashing import stable_sql
+from brookmill.operators.aggregates import collect_parts, part_sql
 from brookmill.operators.joins import (
     left_distinct,
     left_where_empty,
@@ -20,7 +21,7 @@ from brookmill.operators.joins import (
 from brookmill.operators.prefix import running_sum
 from brookmill.operators.tables import create_as
 from brookmill.plans.registry import query
-from brookmill.scratch import new_path
+from brookmill.scratch import cut, new_path
 from brookmill.sources.generate import spread_days
 
 
@@ -84,27 +85,38 @@ def cross(t):
     )
 
 
-@query("q_cross_sample", "J06 SL-04", None)
+@query(
+    "q_cross_sample",
+    "J06 SL-04",
+    f"""
+WITH m AS (SELECT c_name AS movie FROM customer ORDER BY {stable_sql("1", "c_custkey")}, c_custkey LIMIT 10),
+     g AS (SELECT p_name AS genre FROM part ORDER BY {stable_sql("2", "p_partkey")}, p_partkey LIMIT 5)
+SELECT movie, genre FROM m, g ORDER BY movie, genre LIMIT 20""",
+)
 def cross_sample(t):
-    """Product of two random samples; no SQL twin, the samples differ by engine."""
-    movies = sample_rows(_movies(t), 10, salt=1).select("movie")
-    genres = sample_rows(t.part.select("p_partkey", F.col("p_name").alias("genre")), 5, salt=2).select("genre")
+    """Product of two random samples, drawn in a repeatable order."""
+    movies = sample_rows(_movies(t), 10, salt=1, by=["id"]).select("movie")
+    parts = t.part.select("p_partkey", F.col("p_name").alias("genre"))
+    genres = sample_rows(parts, 5, salt=2, by=["p_partkey"]).select("genre")
     return product_top(movies, genres, ["movie"], ["genre"], 20)
 
 
 def _first_groups(rows, keys, n):
-    """Rows of the first ``n`` groups. The groups are picked before anything is collected."""
-    first = rows.select(*keys).distinct().orderBy(*keys).limit(n)
-    return rows.join(first, keys)
+    """Rows of the first ``n`` groups, stored, as they are read more than once. The groups are picked before anything is
+    collected and stored by themselves, so the joins behind ``rows`` run twice: for the keys, and for the rows of these."""
+    first = cut(rows.select(*keys).distinct().orderBy(*keys).limit(n), "first-groups")
+    return cut(rows.join(first, keys, "left_semi"), "rows-of-groups")
 
 
 @query(
     "q_comma_join",
     "J07 AG-11",
-    """
-SELECT c_name AS movie, CAST(0 AS INTEGER) AS part, array_to_string(list_sort(list(o_orderpriority)), ',') AS genres
-FROM customer, orders WHERE c_custkey = o_custkey
-GROUP BY c_custkey, c_name ORDER BY c_name LIMIT 10""",
+    f"""
+WITH pairs AS (SELECT c_custkey AS id, c_name AS movie, o_orderkey, o_orderpriority FROM customer, orders WHERE c_custkey = o_custkey),
+picked AS (SELECT DISTINCT movie, id FROM pairs ORDER BY movie, id LIMIT 10),
+parts AS (SELECT movie, id, o_orderpriority, {part_sql("id, movie", "o_orderpriority, o_orderkey")} AS part
+          FROM pairs JOIN picked USING (movie, id))
+SELECT movie, part, array_to_string(list_sort(list(o_orderpriority)), ',') AS genres FROM parts GROUP BY movie, id, part""",
 )
 def comma_join(t):
     o = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("genre"))
@@ -137,8 +149,13 @@ WHERE year(l_shipdate) = 1997 GROUP BY c_mktsegment, c_name ORDER BY c_name, c_m
     "q_actors_year_prewhere",
     "J01 PF-04 AG-11",
     f"""
-SELECT c_mktsegment AS first_name, c_name AS last_name, CAST(0 AS INTEGER) AS part,
-       array_to_string(list_sort(list('film' || CAST(l_partkey AS VARCHAR))), ',') AS movies {_ROLES_SQL}""",
+WITH roles AS (
+    SELECT c_mktsegment AS first_name, c_name AS last_name, 'film' || CAST(l_partkey AS VARCHAR) AS film, o_orderkey
+    FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE year(l_shipdate) = 1997),
+picked AS (SELECT DISTINCT last_name, first_name FROM roles ORDER BY ALL LIMIT 20),
+parts AS (SELECT last_name, first_name, film, {part_sql("last_name, first_name", "film, o_orderkey")} AS part
+          FROM roles JOIN picked USING (last_name, first_name))
+SELECT first_name, last_name, part, array_to_string(list_sort(list(film)), ',') AS movies FROM parts GROUP BY 1, 2, 3""",
 )
 def actors_year_prewhere(t):
     rows = _first_groups(_roles(t), ["last_name", "first_name"], 20)
@@ -242,8 +259,15 @@ def menu_denorm(t):
     return create_as(wide, new_path(t.spark, "menu-denorm"))
 
 
-@query("menu_spread_days", "WN-02 SO-05 FN-26", None)
+@query(
+    "menu_spread_days",
+    "WN-02 SO-05 FN-26",
+    f"""
+SELECT DATE '2024-01-01' + CAST({stable_sql("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")} % 564 AS INTEGER) AS date,
+       count(*) AS items
+FROM lineitem GROUP BY 1""",
+)
 def menu_spread_days(t):
-    """Line items spread evenly over 564 days by hash: rows per day. No SQL twin, hashes differ by engine."""
+    """Line items spread evenly over 564 days by hash: rows per day."""
     spread = spread_days(t.lineitem, "2024-01-01", 564, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return spread.groupBy("date").agg(F.count(F.lit(1)).alias("items")).orderBy("date")

@@ -23,8 +23,9 @@ def expand_round_to(sql: str) -> str:
             if depth == 0:
                 break
         inner, digits = sql[start + len("round_to(") : comma], int(sql[comma + 1 : end])
-        step = f"1e{digits}"
-        sql = f"{sql[:start]}(floor(CAST({inner} AS DOUBLE) * {step} + 0.500001) / {step}){sql[end + 1:]}"
+        value, step = f"CAST({inner} AS DOUBLE)", f"1e{digits}"
+        rounded = f"sign({value}) * floor(abs({value}) * {step} + 0.500001) / {step} + 0.0"
+        sql = f"{sql[:start]}(CASE WHEN abs({value}) * {step} < 4503599627370496 THEN {rounded} ELSE {value} END){sql[end + 1:]}"
     return sql
 
 

@@ -13,6 +13,7 @@ from brookmill.operators.sketches import read_stat_states, stat_states
 from brookmill.plans.registry import query
 from brookmill.plans.views import SALES, sales
 from brookmill.scratch import new_path
+from brookmill.streaming import ingest
 
 def _amount():
     return F.col("quantity") * F.col("price")
@@ -60,10 +61,21 @@ def build_rollup(t) -> R.Rollup:
     """Rollup of all sales, arriving in three batches."""
     rollup = _rollup(t)
     for flag in ("A", "N", "R"):
-        rollup.add_batch(_with_flag(t).filter(F.col("flag") == flag), flag)
+        rollup.add_batch(_batch(t, flag), flag)
     return rollup
 
 
+def _batch(t, flag):
+    """Rows of one flag; those with another one or none come with 'R'."""
+    known = F.coalesce(F.col("flag"), F.lit("R"))
+    return _with_flag(t).filter(F.when(known.isin("A", "N"), known).otherwise("R") == flag)
+
+
+def _months(t):
+    found = t.lineitem.select((F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("m")).distinct()
+    return sorted(r["m"] for r in found.filter("m IS NOT NULL").collect())
+
+
 def populated_rollup(t) -> R.Rollup:
     """Rollup of all sales, created and filled in one step."""
     rollup = _rollup(t)
@@ -80,7 +92,7 @@ def sales_rollup(t):
 def rollup_replay(t):
     """The last batch comes twice; nothing counts twice."""
     rollup = build_rollup(t)
-    rollup.add_batch(_with_flag(t).filter("flag = 'R'"), "R")
+    rollup.add_batch(_batch(t, "R"), "R")
     return _final(rollup.read())
 
 
@@ -88,7 +100,7 @@ def rollup_replay(t):
 def rollup_backfill(t):
     """The view starts with 'R' rows; the rows before it are filled in by hand."""
     rollup = _rollup(t)
-    rollup.add_batch(_with_flag(t).filter("flag = 'R'"), "live")
+    rollup.add_batch(_batch(t, "R"), "live")
     rollup.backfill(_with_flag(t), F.col("flag").isin("A", "N"))
     return _final(rollup.read())
 
@@ -110,9 +122,46 @@ def rollup_without_backfill(t):
 
 @query("rollup_compacted", "MV-01", _BASE_SQL)
 def rollup_compacted(t):
+    """All months merged into one set of state rows."""
     rollup = build_rollup(t)
-    months = [y * 100 + m for y in range(1995, 1999) for m in range(1, 13)]
-    rollup.compact(months)
+    rollup.compact(_months(t))
+    return _final(rollup.read())
+
+
+@query("rollup_compact_replay", "MV-01", _BASE_SQL)
+def rollup_compact_replay(t):
+    """Two batches are compacted, come again, and only then the third one comes: nothing counts twice or is lost."""
+    rollup = _rollup(t)
+    for flag in ("A", "N"):
+        rollup.add_batch(_batch(t, flag), flag)
+    rollup.compact(_months(t))
+    for flag in ("A", "N", "R"):
+        rollup.add_batch(_batch(t, flag), flag)
+    return _final(rollup.read())
+
+
+@query("rollup_corrected_batch", "MV-01", _BASE_SQL)
+def rollup_corrected_batch(t):
+    """A batch came with rows of another one and wrong prices; coming again, it replaces itself in all periods."""
+    rollup = _rollup(t)
+    rollup.add_batch(_with_flag(t).withColumn("price", F.col("price") * 3), "R")
+    for flag in ("A", "N", "R"):
+        rollup.add_batch(_batch(t, flag), flag)
+    return _final(rollup.read())
+
+
+@query("rollup_populate_then_stream", "MV-03", _BASE_SQL)
+def rollup_populate_then_stream(t):
+    """The view is filled with all rows up to an offset and then follows the stream from that offset on."""
+    rows = _with_flag(t).withColumn("offset", F.col("id"))
+    half = rows.agg(F.percentile_approx("offset", 0.5).alias("o")).first()["o"] or 0
+    rollup = _rollup(t)
+    rollup.add_batch(rows.filter(F.col("offset") <= half), "populate")
+    topic = new_path(t.spark, "sales-topic")
+    rows.repartitionByRange(6, "offset").write.parquet(topic)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(topic)
+    later = stream.filter(F.col("offset") > half)
+    ingest.run_available(later, new_path(t.spark, "cp"), lambda df, batch: rollup.add_batch(df, f"stream-{batch}"))
     return _final(rollup.read())
 
 
@@ -235,10 +284,8 @@ def stats_base(t):
     return stats.join(rounded, "product_id", "left")
 
 
-@query("q_stats_rollup", "MV-04 MV-05 MV-03 AG-22 AG-23 AG-25 AG-26", None)
-def stats_rollup(t):
-    """Wide statistics from stored states per product and month. The distinct count and
-    the quantiles are sketches, so tests bound their error instead of comparing values."""
+def stats_from_states(t):
+    """Wide statistics from stored states per product and month; the distinct count and the quantiles are sketches."""
     s = sales(t)
     states = stat_states(s, ["product_id", "month"], F.col("quantity") * F.col("price"), "id", F.col("quantity"))
     path = new_path(t.spark, "stats-rollup")
@@ -247,6 +294,36 @@ def stats_rollup(t):
     return read_stat_states(stored, ["product_id"], {"median_quantity": 0.5, "quantile_90_quantity": 0.9})
 
 
+@query(
+    "q_stats_rollup",
+    "MV-04 MV-05 MV-03 AG-22 AG-23 AG-25 AG-26",
+    f"""
+WITH {SALES}
+SELECT product_id, count(*) AS n, round_to(avg(quantity * price), 2) AS avg_value, round_to(min(quantity * price), 2) AS min_value,
+       round_to(max(quantity * price), 2) AS max_value, TRUE AS ids_close, TRUE AS median_close, TRUE AS p90_close
+FROM sales GROUP BY product_id""",
+)
+def stats_rollup(t):
+    """Exact columns of the rollup, and whether its sketches hold their bounds: 3 % of the distinct ids, 0.02 of the rank
+    plus one row."""
+    r = stats_from_states(t).withColumnRenamed("product_id", "product")
+    both = sales(t).join(r, F.col("product_id") == F.col("product"))
+
+    def close(c: str, q: float):
+        rows = F.count(F.lit(1))
+        upto, below = F.count_if(F.col("quantity") <= F.col(c)), F.count_if(F.col("quantity") < F.col(c))
+        return (upto >= (q - 0.02) * rows - 1) & (below <= (q + 0.02) * rows + 1)
+
+    ids = F.countDistinct("id")
+    return both.groupBy("product_id").agg(
+        *[F.max(c).alias(c) for c in ("n",)],
+        *[round_to(F.max(c), 2).alias(c) for c in ("avg_value", "min_value", "max_value")],
+        (F.abs(F.max("unique_ids") - ids) <= F.greatest(F.lit(1.0), 0.03 * ids)).alias("ids_close"),
+        close("median_quantity", 0.5).alias("median_close"),
+        close("quantile_90_quantity", 0.9).alias("p90_close"),
+    )
+
+
 @query(
     "stats_rollup_exact_part",
     "MV-04 AG-19 AG-20 AG-21",
@@ -256,7 +333,7 @@ SELECT product_id, count(*) AS n, round_to(avg(quantity * price), 2) AS avg_valu
        round_to(max(quantity * price), 2) AS max_value FROM sales GROUP BY product_id""",
 )
 def stats_rollup_exact_part(t):
-    r = stats_rollup(t)
+    r = stats_from_states(t)
     return r.select("product_id", "n", *[round_to(c, 2).alias(c) for c in ("avg_value", "min_value", "max_value")])
 
 

@@ -26,6 +26,52 @@ def scan_csv(t):
     return S.read_csv(t.spark, f"{folder}/OrderFacts.csv", t.orders.schema)
 
 
+def _single_csv(t, df, path):
+    """One CSV file of this very name, as an export from elsewhere would bring it."""
+    folder = new_path(t.spark, "single")
+    S.write_csv(df.coalesce(1), folder)
+    jvm = t.spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    written = next(f.getPath() for f in fs.listStatus(jvm.Path(folder)) if f.getPath().getName().endswith(".csv"))
+    fs.mkdirs(jvm.Path(path).getParent())
+    fs.rename(written, jvm.Path(path))
+
+
+@query(
+    "scan_folder_tables",
+    "SC-01",
+    """
+SELECT 'nation_list' AS "table", n_nationkey AS id, n_name AS name FROM nation
+UNION ALL SELECT 'region', r_regionkey, r_name FROM region""",
+)
+def scan_folder_tables(t):
+    """A folder of exports becomes one table per file name; two files of one name make one table."""
+    folder = new_path(t.spark, "exports")
+    _single_csv(t, t.nation, f"{folder}/a/NationList.csv")
+    _single_csv(t, t.region.filter("r_regionkey < 2"), f"{folder}/a/Region.csv")
+    _single_csv(t, t.region.filter("NOT coalesce(r_regionkey < 2, FALSE)"), f"{folder}/b/Region.csv")
+    found = S.read_csv_tables(t.spark, folder, {"nation_list": t.nation.schema, "region": t.region.schema})
+    shown = [
+        found[name].select(F.lit(name).alias("table"), F.col(key).alias("id"), F.col(label).alias("name"))
+        for name, key, label in (("nation_list", "n_nationkey", "n_name"), ("region", "r_regionkey", "r_name"))
+    ]
+    return shown[0].unionByName(shown[1])
+
+
+@query("scan_new_files", "SC-16", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def scan_new_files(t):
+    """Files are taken two at a time by the mark (time, path) until none is left; every row comes once."""
+    folder = new_path(t.spark, "arrivals")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    S.write_csv(rows.repartition(5, "o_orderkey"), folder)
+    out, mark = None, None
+    while mark_next := S.last_file(found := S.new_files(t.spark, folder, ".csv", after=mark, limit=2)):
+        part = S.read_csv(t.spark, [r["path"] for r in found.collect()], rows.schema)
+        out = part if out is None else out.unionByName(part)
+        mark = mark_next
+    return out
+
+
 @query(
     "scan_daily_cases",
     "SC-03 PF-08 FN-24",
@@ -89,8 +135,9 @@ def scan_tsv_gz(t):
 @query("scan_numbered_files", "SC-06", "SELECT * FROM orders")
 def scan_numbered_files(t):
     folder = new_path(t.spark, "trips")
-    for i, status in enumerate(("F", "O", "P")):
-        S.write_csv(t.orders.filter(F.col("o_orderstatus") == status), f"{folder}/trips_{i}.gz", sep="\t", compression="gzip")
+    for i in range(3):
+        part = t.orders.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == i)
+        S.write_csv(part, f"{folder}/trips_{i}.gz", sep="\t", compression="gzip")
     return S.read_tsv(t.spark, S.numbered(f"{folder}/trips_{{0..2}}.gz"), t.orders.schema)
 
 
@@ -177,8 +224,9 @@ def scan_table_union(t):
 )
 def sink_append(t):
     path = new_path(t.spark, "append")
-    t.orders.filter("o_orderstatus = 'F'").write.mode("append").parquet(path)
-    t.orders.filter("o_orderstatus <> 'F'").write.mode("append").parquet(path)
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    t.orders.filter(finished).write.mode("append").parquet(path)
+    t.orders.filter(~finished).write.mode("append").parquet(path)
     return t.spark.read.schema(t.orders.schema).parquet(path)
 
 
@@ -210,13 +258,28 @@ def sink_clustered(t):
     return stored.filter(in_range("l_shipdate", dt.date(1999, 1, 1), dt.date(1999, 3, 1)))
 
 
-@query("sink_partition_guard", "SK-04", None)
+@query(
+    "sink_partition_guard",
+    "SK-04",
+    """
+SELECT 'l_returnflag' AS key, count(DISTINCT l_returnflag) <= 100 AS written, count(*) AS total_rows FROM lineitem
+UNION ALL SELECT 'l_orderkey', count(DISTINCT l_orderkey) <= 100, CASE WHEN count(DISTINCT l_orderkey) <= 100 THEN count(*) ELSE 0 END
+FROM lineitem""",
+)
 def sink_partition_guard(t):
-    """Approximate number of partitions each candidate key would make, and whether it passes the guard."""
-    keys = ["l_returnflag", "l_orderkey"]
-    counts = t.lineitem.agg(*[F.approx_count_distinct(k, 0.02).alias(k) for k in keys])
-    rows = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("partitions")) for k in keys])
-    return counts.select(F.inline(rows)).withColumn("allowed", F.col("partitions") <= 1000)
+    """A partitioned write by two keys: the guard lets one pass and refuses the other before anything is written."""
+    out = []
+    rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber")
+    for key in ("l_returnflag", "l_orderkey"):
+        path = new_path(t.spark, "guarded")
+        try:
+            W.require_few_partitions(rows, [key], limit=100)
+        except ValueError:
+            out.append((key, False, 0))
+            continue
+        W.write_partitioned(rows, path, [key])
+        out.append((key, True, t.spark.read.schema(rows.schema).parquet(path).count()))
+    return t.spark.createDataFrame(out, "key string, written boolean, total_rows long")
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from brookmill.functions.hashing import stable_sql
 from brookmill.functions.dates import epoch_bucket
 from brookmill.functions.types import rank_of, round_to
 from brookmill.operators.gapfill import fill_gaps
@@ -37,13 +38,22 @@ def sort_top_k(t):
     )
 
 
-@query("limit_any", "SL-03", None)
+@query(
+    "limit_any",
+    "SL-03",
+    "SELECT least(10, count(*)) AS n, TRUE AS all_match FROM lineitem WHERE l_returnflag = 'N'",
+)
 def limit_any(t):
-    """Any ten rows that match; which ones is not defined."""
-    return t.lineitem.filter("l_returnflag = 'N'").select("l_orderkey").limit(10)
+    """Any ten rows that match; which ones is not defined, so their number and whether all match."""
+    rows = t.lineitem.filter("l_returnflag = 'N'").select("l_returnflag").limit(10)
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("l_returnflag") == "N").alias("all_match"))
 
 
-@query("limit_random", "SL-04", None)
+@query(
+    "limit_random",
+    "SL-04",
+    f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {stable_sql('3', 'o_orderkey')}, o_orderkey LIMIT 10",
+)
 def limit_random(t):
     """Ten rows in repeatable random order."""
     return sample_rows(t.orders.select("o_orderkey", "o_totalprice"), 10, salt=3, by=["o_orderkey"])

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from brookmill.functions.dates import in_year
-from brookmill.functions.types import POPULARITY_ABOVE, POPULARITY_BANDS, popularity, rank_of, ratio, round_to
+from brookmill.functions.types import POPULARITY_ABOVE, POPULARITY_BANDS, band_sql, popularity, rank_of, ratio, round_to
 from brookmill.operators.filters import limit_then_filter
 from brookmill.operators.prefix import exact_quantiles
 from brookmill.operators.tables import create_as
@@ -30,6 +31,9 @@ def _external(t) -> Database:
     return Database(t.spark, "jdbc:example", reader=lambda url, table, **_: tables[table]())
 
 
+#: Fixed value: the view count of the filtered report.
+MANY_VIEWS = 50_000_000
+_SHORT = ["view_count AS views", "title AS name", "uploader AS channel", "like_count AS likes", "dislike_count AS dislikes"]
 _CATEGORIES = "categories AS (SELECT c_custkey AS uploader_id, c_mktsegment AS main_category, c_nationkey AS country FROM customer)"
 
 
@@ -87,8 +91,7 @@ def years(t):
     "PF-14 SL-05 AG-28",
     f"""
 WITH {VIDEOS}
-SELECT CASE WHEN view_count < 1000000 THEN 'Low (< 1M)' WHEN view_count < 10000000 THEN 'Medium (1M-10M)'
-            WHEN view_count < 100000000 THEN 'High (10M-100M)' ELSE 'Viral (100M+)' END AS popularity_category,
+SELECT {band_sql("view_count", POPULARITY_BANDS, POPULARITY_ABOVE, closed=False)} AS popularity_category,
        count(*) AS video_count, round_to(avg(CAST(like_count AS DOUBLE) / dislike_count), 2) AS avg_like_ratio
 FROM videos WHERE dislike_count > 0 GROUP BY 1""",
 )
@@ -140,17 +143,23 @@ def federated_join(t):
     "J11",
     f"""
 WITH {VIDEOS}, {_CATEGORIES}
-SELECT v.title, v.uploader, c.main_category, c.country, v.view_count, v.like_count
-FROM videos v JOIN categories c ON v.uploader_id = c.uploader_id
-ORDER BY v.view_count DESC, v.title LIMIT 10""",
+SELECT title AS name, uploader AS channel, main_category AS topic, country AS land, view_count AS views, like_count AS likes
+FROM categories NATURAL JOIN videos ORDER BY views DESC, name LIMIT 10""",
 )
 def ext_join(t):
     db = _external(t)
     return (
         db.table("videos")
         .join(db.table("categories"), "uploader_id")
-        .select("title", "uploader", "main_category", "country", "view_count", "like_count")
-        .orderBy(F.desc("view_count"), "title")
+        .select(
+            F.col("title").alias("name"),
+            F.col("uploader").alias("channel"),
+            F.col("main_category").alias("topic"),
+            F.col("country").alias("land"),
+            F.col("view_count").alias("views"),
+            F.col("like_count").alias("likes"),
+        )
+        .orderBy(F.desc("views"), "name")
         .limit(10)
     )
 
@@ -159,25 +168,22 @@ def ext_join(t):
     "q_ext_view",
     "SO-06 AG-27 AG-10",
     f"""
-WITH {VIDEOS}
-SELECT uploader, count(*) AS video_count, CAST(sum(view_count) AS BIGINT) AS total_views,
-       round_to(CAST(sum(like_count) AS DOUBLE) / sum(dislike_count), 2) AS overall_like_ratio,
-       max(view_count) AS most_popular_video_views
-FROM videos WHERE dislike_count > 0 GROUP BY uploader HAVING count(*) > 0
-ORDER BY total_views DESC""",
+WITH {VIDEOS}, disliked AS (SELECT * FROM videos WHERE dislike_count >= 1)
+SELECT uploader AS channel, CAST(sum(1) AS BIGINT) AS n, CAST(sum(view_count) AS BIGINT) AS views,
+       round_to(CAST(sum(like_count) AS DOUBLE) / sum(dislike_count), 2) AS likes_per_dislike, max(view_count) AS best
+FROM disliked GROUP BY channel""",
 )
 def ext_view(t):
-    _external(t).table("videos").createOrReplaceTempView("external_videos")
+    view = f"channels_{uuid.uuid4().hex}"
     t.spark.sql(
-        """
-        SELECT uploader, count(*) AS video_count, sum(view_count) AS total_views,
-               try_divide(CAST(sum(like_count) AS DOUBLE), sum(dislike_count)) AS overall_like_ratio,
-               max(view_count) AS most_popular_video_views
-        FROM external_videos WHERE dislike_count > 0 GROUP BY uploader HAVING video_count > 0
-        """
-    ).createOrReplaceTempView("top_channels")
-    top = t.spark.table("top_channels").withColumn("overall_like_ratio", round_to("overall_like_ratio", 2))
-    return top.orderBy(F.desc("total_views"))
+        """SELECT uploader AS channel, count(*) AS n, sum(view_count) AS views, max(view_count) AS best,
+                  try_divide(CAST(sum(like_count) AS DOUBLE), sum(dislike_count)) AS likes_per_dislike
+           FROM {source} WHERE dislike_count > 0 GROUP BY channel HAVING n > 0""",
+        source=_external(t).table("videos"),
+    ).createTempView(view)
+    top = t.spark.table(view).withColumn("likes_per_dislike", round_to("likes_per_dislike", 2))
+    t.spark.catalog.dropTempView(view)
+    return top.orderBy(F.desc("views"))
 
 
 @query(
@@ -259,16 +265,16 @@ def ext_by_channel(t):
     "PF-03 SL-02",
     f"""
 WITH {VIDEOS}
-SELECT uploader, title, view_count, like_count, dislike_count
-FROM videos WHERE view_count > 50000000 ORDER BY view_count DESC, title LIMIT 10""",
+SELECT view_count AS views, title AS name, uploader AS channel, like_count AS likes, dislike_count AS dislikes
+FROM videos WHERE NOT view_count <= {MANY_VIEWS} ORDER BY 1 DESC, 2 LIMIT 10""",
 )
 def ext_filtered(t):
     return (
         _external(t)
         .table("videos")
-        .filter("view_count > 50000000")
-        .select("uploader", "title", "view_count", "like_count", "dislike_count")
-        .orderBy(F.desc("view_count"), "title")
+        .filter(F.col("view_count") > MANY_VIEWS)
+        .selectExpr(*_SHORT)
+        .orderBy(F.desc("views"), "name")
         .limit(10)
     )
 
@@ -335,13 +341,14 @@ def pg_summary(t):
     "SL-02",
     f"""
 WITH {VIDEOS}
-SELECT title, uploader, view_count, like_count, dislike_count FROM videos ORDER BY view_count DESC, title LIMIT 5""",
+SELECT view_count AS views, title AS name, uploader AS channel, like_count AS likes, dislike_count AS dislikes
+FROM videos ORDER BY views DESC, name LIMIT 5""",
 )
 def pg_top5(t):
     return (
         videos(t)
-        .select("title", "uploader", "view_count", "like_count", "dislike_count")
-        .orderBy(F.desc("view_count"), "title")
+        .selectExpr(*_SHORT)
+        .orderBy(F.desc("views"), "name")
         .limit(5)
     )
 

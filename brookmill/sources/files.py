@@ -25,10 +25,21 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, *
 
 
 def read_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
-    """One table per CSV file of a folder, named after the file."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").load(folder).select("path")
-    found = {table_name(r["path"]): r["path"] for r in listed.toLocalIterator()}
-    return {name: read_csv(spark, found[name], schema) for name, schema in schemas.items() if name in found}
+    """One table per CSV file name below a folder, as declared in ``schemas``.
+
+    Files of one name in several subfolders are one table. A declared table
+    without a file is an error, so that an import never leaves one out unseen.
+    Only names of declared tables reach the driver.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").option("recursiveFileLookup", "true")
+    listed = reader.load(folder).select("path")
+    found: dict[str, list[str]] = {}
+    for row in listed.toLocalIterator():
+        if (name := table_name(row["path"])) in schemas:
+            found.setdefault(name, []).append(row["path"])
+    if missing := sorted(set(schemas) - set(found)):
+        raise FileNotFoundError(f"no CSV file for {', '.join(missing)} below {folder}")
+    return {name: read_csv(spark, sorted(found[name]), schema) for name, schema in schemas.items()}
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
@@ -126,19 +137,23 @@ def new_files(
     folder: str,
     suffix: str,
     names: list[str] | None = None,
-    after: dt.datetime | None = None,
+    after: tuple[dt.datetime, str] | None = None,
     limit: int | None = 10,
 ) -> DataFrame:
-    """Files that changed after a time, oldest first, at most ``limit`` (None: all).
+    """Files after the mark (time, path), oldest first, at most ``limit`` (None: all).
 
     Only the listing is read. ``names`` keeps files ending in ``_<name><suffix>``
-    in any case. The caller moves its mark to the newest time returned and calls
-    again until nothing comes, so the limit sets the size of a run and loses nothing.
+    in any case. The caller moves its mark to the last row returned
+    (:func:`last_file`) and calls again until nothing comes. Files of one time
+    are told apart by their path, so the limit sets the size of a run and loses
+    nothing.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
-    if after is not None:
-        reader = reader.option("modifiedAfter", after.strftime("%Y-%m-%dT%H:%M:%S"))
     files = reader.option("recursiveFileLookup", "true").load(folder).select("path", "modificationTime", "length")
+    if after is not None:
+        time, path = F.lit(after[0]), F.lit(after[1])
+        changed = F.col("modificationTime")
+        files = files.filter((changed > time) | ((changed == time) & (F.col("path") > path)))
     if names:
         test = F.lit(False)
         for n in names:
@@ -148,6 +163,12 @@ def new_files(
     return files if limit is None else files.limit(limit)
 
 
+def last_file(files: DataFrame) -> tuple[dt.datetime, str] | None:
+    """The mark to go on from after these files; None if there are none."""
+    row = files.agg(F.max(F.struct("modificationTime", "path")).alias("m")).first()["m"]
+    return (row["modificationTime"], row["path"]) if row else None
+
+
 def write_csv(df: DataFrame, path: str, **options: Any) -> None:
     df.write.options(header=True, **options).csv(path)
 

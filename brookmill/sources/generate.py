@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brookmill.functions.hashing import stable_number
+
 
 def numbers(spark: SparkSession, n: int, columns: dict[str, Column] | None = None) -> DataFrame:
     """Rows 0..n-1, made by the executors; ``columns`` are expressions over ``number``."""
@@ -26,7 +28,6 @@ def spread_days(df: DataFrame, first: str, days: int, *by: str) -> DataFrame:
     A hash takes the place of a global row number, which would pull all rows
     through one task. The second column is a time inside that day.
     """
-    h = F.xxhash64(*by)
-    day = F.date_add(F.to_date(F.lit(first)), F.pmod(h, F.lit(days)).cast("int"))
-    moment = F.unix_timestamp(day.cast("timestamp")) + F.pmod(F.xxhash64(F.lit(1), *by), F.lit(86400))
+    day = F.date_add(F.to_date(F.lit(first)), (stable_number(*by) % days).cast("int"))
+    moment = F.unix_timestamp(day.cast("timestamp")) + stable_number(F.lit(1), *by) % 86400
     return df.withColumns({"date": day, "partition_state": moment})

@@ -34,6 +34,11 @@ def rows_after(src: DataFrame, mark: str, row_id: str, last: tuple[Any, Any] | N
     return src.filter(F.col(mark) >= F.lit(value)).filter(later)
 
 
+def rows_without_mark(src: DataFrame, mark: str) -> DataFrame:
+    """Rows that no high-water mark can ever reach, for a side table."""
+    return src.filter(F.col(mark).isNull())
+
+
 def load_step(
     src: DataFrame,
     mark: str,
@@ -48,6 +53,8 @@ def load_step(
     ``limit`` is the wished size of a step. A step ends at a mark value found by
     an approximate quantile and takes that value whole, so nothing is sorted or
     counted off in one task; a value with very many rows makes a larger step.
+    Rows without a mark have no place in the order: no step takes them, at any
+    limit; :func:`rows_without_mark` gives them.
     ``manual`` overrides the stored mark. Each step writes its own folder and the
     mark goes last, so a step that failed is repeated in full. With nothing new
     the mark stays. ``mark`` is a number, date or timestamp.
@@ -55,7 +62,7 @@ def load_step(
     spark = src.sparkSession
     stored = read_mark(spark, mark_path)
     last = (manual, None) if manual is not None else stored
-    rows = rows_after(src, mark, row_id, last)
+    rows = rows_after(src.filter(F.col(mark).isNotNull()), mark, row_id, last)
     if limit is not None:
         waiting = rows.count()
         if waiting > limit:

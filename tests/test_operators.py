@@ -66,7 +66,7 @@ def test_collect_parts_is_whole_and_bounded(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 700, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     parts = A.collect_parts(df, ["k"], "id", ["id"], part_rows=100, out="v").collect()
     hot = [p for p in parts if p["k"] == "hot"]
-    assert len(hot) == 7 and max(len(p["v"]) for p in hot) < 200
+    assert sorted(p["part"] for p in hot) == list(range(7)) and all(len(p["v"]) == 100 for p in hot)
     assert sorted(x for p in hot for x in p["v"]) == list(range(700))
     assert all(p["part"] == 0 for p in parts if p["k"] != "hot") and len(parts) == 307
 
@@ -125,12 +125,12 @@ def test_checks(spark):
     with pytest.raises(ValueError):
         C.require_flow(spark.createDataFrame([], "x int"), "x")
     with pytest.raises(ValueError):
-        C.require_loaded(C.validate_load(spark.createDataFrame([], "c string, p double"), "c", "p", 2, F.lit("all")))
+        C.require_loaded(C.validate_load(spark.createDataFrame([], "c string, p double"), "c", "p", 2, F.lit("all"), "c"))
 
 
 def test_load_report(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "c string, p double")
-    got = C.validate_load(df, "c", "p", 2, F.lit("m1"))
+    got = C.validate_load(df, "c", "p", 2, F.lit("m1"), "c")
     assert rows(got.filter("section = 'category'")) == Counter([("category", "a", 2, 2.0), ("category", "b", 1, None)])
     assert rows(got.filter("section = 'total'")) == Counter([("total", "", 3, 2.0)])
     assert got.filter("section = 'shard'").agg(F.sum("records").alias("n")).first()["n"] == 3

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from brookmill.plans import load_all
+from brookmill.plans import aggregates, load_all, rollups
 
 ALL = load_all()
 
 
 def test_approx_distinct(middle):
-    for r in ALL["agg_distinct_approx"].build(middle).collect():
+    for r in aggregates.distinct_parts(middle).collect():
         assert abs(r["approx_parts"] - r["parts"]) <= 0.05 * r["parts"]
-    for r in ALL["agg_uniq_states"].build(middle).collect():
+    for r in aggregates.merged_ids(middle).collect():
         assert abs(r["approx_ids"] - r["ids"]) <= max(1, 0.05 * r["ids"])
 
 
@@ -22,26 +22,29 @@ def test_quantile_sketches(middle):
     prices = {}
     for r in middle.lineitem.select("l_returnflag", "l_extendedprice").collect():
         prices.setdefault(r[0], []).append(r[1])
-    for name in ("agg_quantile_states", "agg_quantiles_approx"):
-        for r in ALL[name].build(middle).collect():
+    for sketch in (aggregates.merged_price_quantiles, aggregates.approx_price_quantiles):
+        for r in sketch(middle).collect():
             assert abs(_rank(prices[r["l_returnflag"]], r["median_price"]) - 0.5) < 0.02
             assert abs(_rank(prices[r["l_returnflag"]], r["p90_price"]) - 0.9) < 0.02
 
 
 def test_wide_statistics(middle):
     exact = {r["product_id"]: r for r in ALL["q_stats_base"].build(middle).collect()}
-    got = ALL["q_stats_rollup"].build(middle).collect()
+    got = rollups.stats_from_states(middle).collect()
     assert len(got) == len(exact)
     for r in got:
         want = exact[r["product_id"]]
         assert r["n"] == want["sales_count"]
         assert abs(r["unique_ids"] - want["unique_sales"]) <= max(1, 0.05 * want["unique_sales"])
         assert abs(r["avg_value"] - want["avg_sales"]) < 0.01
+        # Quantities are whole numbers from 1 to 50; a rank error of 0.02 moves them by a few.
+        assert abs(r["median_quantity"] - want["median_quantity"]) <= 4
+        assert abs(r["quantile_90_quantity"] - want["quantile_90_quantity"]) <= 4
 
 
 def test_manual_stats(middle):
     r = ALL["q_manual_stats"].build(middle).first()
-    assert r["total_records"] == 10_000 and abs(r["unique_locations"] - 150) <= 5
+    assert r["total_records"] == 10_000 and r["locations_close"] and r["batches_close"]
 
 
 def test_paths_agree(middle):
@@ -53,6 +56,6 @@ def test_shard_reports(middle):
     assert sum(r["records"] for r in skew) == middle.orders.count()
     sizes = ALL["table_sizes"].build(middle).collect()
     assert {r["table"]: r["total_rows"] for r in sizes}["lineitem"] == 60_000
-    assert all(r["total_bytes"] > 0 for r in sizes)
+    assert all(r["stored"] for r in sizes)
     days = ALL["menu_spread_days"].build(middle).collect()
     assert len(days) == 564 and sum(r["items"] for r in days) == 60_000

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections import Counter
 
 import pytest
@@ -30,6 +31,17 @@ def test_tables_of_a_folder(spark, path):
     assert len(found) == 1 and next(iter(found.values())).count() == 3
 
 
+def test_folder_tables_merge_names_and_miss_none(spark, tmp_path):
+    for place in ("a", "b"):
+        (tmp_path / place).mkdir()
+        (tmp_path / place / "MenuItem.csv").write_text(f"id\n{ord(place)}\n")
+    schema = T.StructType.fromDDL("id long")
+    found = S.read_csv_tables(spark, str(tmp_path), {"menu_item": schema})
+    assert rows(found["menu_item"]) == Counter([(97,), (98,)])
+    with pytest.raises(FileNotFoundError, match="dish"):
+        S.read_csv_tables(spark, str(tmp_path), {"menu_item": schema, "dish": schema})
+
+
 def test_sensor_files_of_two_headers(spark, path):
     head = "sensor_id;sensor_type;timestamp;P1"
     wide = spark.createDataFrame([(head,), ("1;a;2024-01-01;bad",), ("2;a;;5.0",), ("3;a;2024-01-02;7.5",)], "value string")
@@ -45,13 +57,20 @@ def test_sensor_files_of_two_headers(spark, path):
     assert rows(got) == Counter(want)
 
 
-def test_new_files(spark, path):
-    for n in ("one_BME280", "two_DHT22"):
-        spark.range(1).coalesce(1).write.csv(f"{path}/{n}")
-    every = S.new_files(spark, path, ".csv", limit=1)
-    assert every.count() == 1
-    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=1)
-    assert S.new_files(spark, path, ".csv", after=later.replace(tzinfo=None)).count() == 0
+def test_new_files(spark, tmp_path):
+    """Rounds of two take every file once, though all changed in one second."""
+    times = [1_700_000_000.5] * 3 + [1_700_000_000.0, 1_700_000_000.5, 1_700_000_001.25, 1_700_000_001.25]
+    for i, t in enumerate(times):
+        file = tmp_path / f"x{i}_BME280.csv"
+        file.write_text("a")
+        os.utime(file, (t, t))
+    (tmp_path / "other_DHT22.csv").write_text("b")
+    seen, mark = [], None
+    while mark_next := S.last_file(found := S.new_files(spark, str(tmp_path), ".csv", ["bme280"], mark, 2)):
+        seen.append([r["path"][-13:] for r in found.collect()])
+        mark = mark_next
+    assert [len(s) for s in seen] == [2, 2, 2, 1]
+    assert sorted(p for s in seen for p in s) == [f"/x{i}_BME280.csv"[-13:] for i in range(7)]
 
 
 def test_daily_cases(spark):

@@ -71,6 +71,17 @@ def test_marks_lose_nothing(spark):
     assert rows(got) == Counter(data + [(45, data[-1][1])])
 
 
+@pytest.mark.parametrize("limit", [None, 1, 100])
+def test_rows_without_mark_stay_out_at_any_limit(spark, limit):
+    src = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, None), (3, dt.date(2024, 1, 2))], "id int, d date")
+    out, mark = new_path(spark, "out"), new_path(spark, "mark")
+    total = 0
+    while n := marks.load_step(src, "d", "id", out, mark, limit=limit):
+        total += n
+    assert total == 2
+    assert [r["id"] for r in marks.rows_without_mark(src, "d").collect()] == [2]
+
+
 def test_manual_mark(spark):
     src = spark.createDataFrame([(i, dt.date(2024, 1, 1 + i)) for i in range(5)], "id int, d date")
     out, mark = new_path(spark, "out"), new_path(spark, "mark")

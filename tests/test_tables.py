@@ -77,10 +77,17 @@ def test_partition_column_is_not_updatable(menu):
         W.update_where(menu, F.col("id") == 1, {"category": F.lit("x")})
 
 
-def test_change_over_too_many_partitions_is_refused(menu):
-    with pytest.raises(ValueError):
-        W.delete_where(menu, F.lit(True), partition_limit=2)
-    assert menu.read().count() == 5
+@pytest.mark.parametrize("named", [0, 1_000])
+def test_changes_are_the_same_named_or_joined(menu, spark, monkeypatch, named):
+    monkeypatch.setattr(W, "NAMED", named)
+    assert W.update_where(menu, F.col("price") > 300, {"price": F.col("price") + 1}) == 3
+    assert W.delete_where(menu, F.lit(True)) == 5
+    assert menu.read().count() == 0
+
+
+def test_empty_text_as_partition_value_is_refused(menu, spark):
+    with pytest.raises(Exception, match="empty text in partition column"):
+        W.append(menu, spark.createDataFrame([(9, "x", 1.0, 1, "")], MENU))
 
 
 @pytest.mark.parametrize("name", ["Salad", "Drinks/hot", "Main: grill"])
@@ -143,6 +150,29 @@ def test_expire_keeps_the_cutoff(spark, path):
     assert rows(W.list_partitions(folder)) == Counter([(2,), (3,)])
 
 
+def test_expire_by_day_reads_only_the_cutoff_day(spark, path):
+    days = [dt.datetime(2024, 1, d, h) for d in (1, 2, 3) for h in (6, 18)]
+    data = spark.createDataFrame([(i, d, 20240100 + d.day) for i, d in enumerate(days)], "id int, ts timestamp_ntz, day int")
+    folder = W.Folder(spark, path, data.schema, ("day",))
+    W.append(folder, data)
+    for file in spark.read.format("binaryFile").load(f"{path}/day=20240101/*").select("path").collect():
+        local = file["path"].removeprefix("file:")
+        open(local, "wb").write(b"unreadable")
+    assert W.expire(folder, "ts", 7, dt.datetime(2024, 1, 9, 12), day_number="day") == 2
+    assert sorted(r["id"] for r in folder.read().collect()) == [3, 4, 5]
+    assert sorted(r["day"] for r in W.list_partitions(folder).collect()) == [20240102, 20240103]
+
+
+def test_attach_moves_no_rows(spark, path):
+    data = spark.range(100).selectExpr("id", "CAST(id % 5 AS INT) AS k")
+    source = W.Folder(spark, f"{path}/a", data.schema, ("k",))
+    W.append(source, data)
+    clone = W.Folder(spark, f"{path}/b", data.schema, ("k",))
+    assert "Exchange" not in W._checked(clone, source.read())._jdf.queryExecution().executedPlan().toString()
+    W.attach_all(clone, source)
+    assert rows(clone.read()) == rows(source.read())
+
+
 def test_partition_guard(spark):
     df = spark.range(5000).selectExpr("id", "id % 7 AS k")
     assert W.require_few_partitions(df, ["k"]) == 7
@@ -166,6 +196,60 @@ def test_clustered_write_splits_a_hot_key(spark, path):
     assert len(sizes) >= 7 and max(r["count"] for r in sizes) < 6000
 
 
+def _sales_rollup(spark, path):
+    rollup = R.Rollup(spark, path, "month", ["product"], {"quantity": F.col("quantity")})
+    frame = lambda *data: spark.createDataFrame(list(data), "product int, quantity int, month int")
+    return rollup, frame, lambda: {r["product"]: r["quantity"] for r in rollup.read().collect()}
+
+
+def test_rollup_replay_after_compaction(spark, path):
+    rollup, frame, totals = _sales_rollup(spark, path)
+    a = frame((1, 10, 202401), (2, 5, 202402))
+    rollup.add_batch(a, "A")
+    rollup.add_batch(frame((1, 1, 202401)), "B")
+    rollup.compact([202401, 202402])
+    assert totals() == {1: 11, 2: 5}
+    rollup.add_batch(a, "A")
+    assert totals() == {1: 11, 2: 5}
+    rollup.add_batch(frame((1, 100, 202401), (3, 7, 202403)), "C")
+    assert totals() == {1: 111, 2: 5, 3: 7}
+    rollup.compact([202401])
+    rollup.add_batch(frame((1, 1, 202401)), "B")
+    assert totals() == {1: 111, 2: 5, 3: 7}
+    rollup.rebuild(frame((1, 50, 202401)), [202401])
+    assert totals() == {1: 50, 2: 5, 3: 7}
+    again, _, _ = _sales_rollup(spark, path)
+    assert {r["product"]: r["quantity"] for r in again.read(periods=[202401]).collect()} == {1: 50}
+
+
+def test_corrected_batch_leaves_nothing_behind(spark, path):
+    rollup, frame, totals = _sales_rollup(spark, path)
+    rollup.add_batch(frame((1, 10, 202401), (2, 5, 202402)), "A")
+    rollup.add_batch(frame((1, 10, 202401)), "A")
+    assert totals() == {1: 10}
+
+
+def test_failed_compaction_changes_nothing(spark, path, monkeypatch):
+    rollup, frame, totals = _sales_rollup(spark, path)
+    rollup.add_batch(frame((1, 10, 202401)), "A")
+    rollup.add_batch(frame((1, 3, 202401)), "B")
+    write = W.write_partitioned
+
+    def half(df, target, *args):
+        write(df, target, *args)
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(W, "write_partitioned", half)
+    with pytest.raises(RuntimeError):
+        rollup.compact([202401])
+    with pytest.raises(RuntimeError):
+        rollup.rebuild(frame((1, 99, 202401)), [202401])
+    monkeypatch.setattr(W, "write_partitioned", write)
+    assert totals() == {1: 13}
+    rollup.compact([202401])
+    assert totals() == {1: 13}
+
+
 def test_rollup_replay_backfill_drift(spark, path):
     sums = {"total": F.col("quantity"), "amount": F.col("quantity") * F.col("price")}
     rollup = R.Rollup(spark, path, "month", ["product"], sums)
