@@ -7,12 +7,12 @@ agree in all samples of a band meet in a bucket. Equal texts count once, by
 digest. Candidates are verified by the weighted Jaccard similarity of the whole
 texts, and verified links are joined to classes.
 
-Buckets are not expanded into all pairs. Every member is compared with its
-bucket's leader (a star), the member that meets most others over all its
-buckets, so the centre of a group of copies. Afterwards only buckets that still
+Buckets are not expanded into all pairs. A bucket's leader is the member that
+meets most others over all its buckets, so the centre of a group of copies, and
+every text is compared with the most central of its leaders (a star). Afterwards only buckets that still
 hold more than one class go on: small ones compare the classes' members across,
-large ones take their next most central members as leaders of the rest, until a
-round finds no link. So a bucket with a third of all rows costs a few rows per
+large ones take their next most central members as leaders of the rest, until
+hardly any pair of a round is a link. So a bucket with a third of all rows costs a few rows per
 member.
 
 Document frequencies are counted over all texts in a count-min sketch of fixed
@@ -34,8 +34,8 @@ from brookmill.llm.tallies import tally
 from brookmill.llm.windows import SLICE_BYTES, Sums, _BYTE_HASH, mix, pack, slices, texts_of, unpack, words_of
 from brookmill.scratch import cut
 
-#: Rounds of further leaders that are tried in any case, and how many of a bucket each brings.
-LEAST_TURNS, HEADS = 2, 8
+#: Further leaders of a large bucket per round; rounds end when fewer than this share of the pairs compared are links.
+HEADS, LEAST_GAIN = 2, 0.01
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -152,23 +152,25 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of all nodes of the undirected ``links`` (a, b): the smallest node of their component.
+    """(node, label) of all nodes of the undirected ``links`` (a, b) but the smallest of each component, which is the label.
 
-    Labels move to neighbours and jump to their label's label; every step is
-    written, and one number reaches the driver per step.
+    Large and small stars in turn: every edge (high, low) moves its high end to
+    the smallest neighbour of its low end, then every node moves its other low
+    neighbours to the smallest. There is one row per link throughout, the
+    smallest neighbour is a pre-aggregated minimum, and each round is written.
     """
-    edges = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    edges = cut(edges, "near-edges")
-    labels = cut(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "near-labels")
+    edges = cut(links.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).filter("high <> low").distinct(), "near-edges")
     while True:
-        near = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        moved = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        jumped = moved.join(jump, "label").select("node", F.least("label", "further").alias("label"), "old")
-        step = cut(jumped, "near-labels")
-        labels = step.select("node", "label")
-        if step.filter("label <> old").isEmpty():
-            return labels
+        least = edges.select(F.col("high").alias("low"), F.col("low").alias("near")).groupBy("low").agg(F.min("near").alias("near"))
+        large = edges.join(least, "low", "left").select("high", F.coalesce("near", "low").alias("low"), F.col("near").isNotNull().alias("moved"))
+        large = cut(large, "near-large-stars")
+        best = large.groupBy("high").agg(F.min("low").alias("best"))
+        other = F.col("low") != F.col("best")
+        small = large.join(best, "high").select(F.when(other, F.col("low")).otherwise(F.col("high")).alias("high"), F.col("best").alias("low"), (F.col("moved") | other).alias("moved"))
+        step = cut(small, "near-small-stars")
+        edges = step.select("high", "low")
+        if step.filter("moved").isEmpty():
+            return edges.distinct().select(F.col("high").alias("node"), F.col("low").alias("label"))
 
 
 def near_duplicates(
@@ -181,7 +183,7 @@ def near_duplicates(
     rows: int = 3,
     damping: float = 0.2,
     df_buckets: int = 1 << 20,
-    small: int = 48,
+    small: int = 8,
 ) -> DataFrame:
     """Return per row of ``df``: key, class_id (smallest key of its class), class_size, kept, text_md5.
 
@@ -218,7 +220,7 @@ def near_duplicates(
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     entries = cut(entries.join(shared, "bucket"), "near-entries")
     met = cut(entries.join(entries.groupBy("digest").agg(F.sum("n").alias("central")), "digest"), "near-buckets")
-    leaders = met.groupBy("bucket").agg(F.max(F.struct("central", "digest"))["digest"].alias("leader"))
+    leaders = met.groupBy("bucket").agg(F.max(F.struct("central", "digest")).alias("leader"))
 
     wanted = met.select("doc", "digest").distinct()
     packed = docs.mapInArrow(_pack_last, "doc long, digest binary, text binary")
@@ -237,29 +239,31 @@ def near_duplicates(
             for i in range(batch.num_rows):
                 name = batch.column(0)[i].as_py()
                 if last[0] != name:
-                    last = (name, vector(batch.column(2)[i].as_py()))
-                keep.append(similarity(last[1], vector(batch.column(3)[i].as_py())) >= threshold)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                    last = (name, vector(batch.column(3)[i].as_py()))
+                keep.append(similarity(last[1], vector(batch.column(4)[i].as_py())) >= threshold)
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], ["a", "b", "label"]).filter(pa.array(keep, pa.bool_()))
 
     def verified(pairs: DataFrame) -> DataFrame:
         right = pairs.join(bodies.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
         both = right.join(bodies.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
-        return cut(both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary"), "near-links")
+        return cut(both.select("a", "b", "label", "text_a", "text_b").mapInArrow(verify, "a binary, b binary, label binary"), "near-links")
 
-    first = met.join(leaders, "bucket").filter("digest <> leader").select(F.col("leader").alias("a"), F.col("digest").alias("b"))
-    tried = [cut(first.distinct(), "near-pairs")]
+    first = met.join(leaders, "bucket").filter("digest <> leader.digest").groupBy(F.col("digest").alias("b")).agg(F.max("leader")["digest"].alias("a"))
+    tried = [cut(first.select("a", "b", F.col("b").alias("label")), "near-pairs")]
     links = [verified(tried[0])]
-    labels = None
+    going = _open_buckets(met, _roots(links[0]))
     turn = 0
-    while not links[-1].isEmpty() or turn < LEAST_TURNS:
+    while True:
         turn += 1
-        if not links[-1].isEmpty() or labels is None:
-            labels = components(reduce(DataFrame.unionByName, links))
-        more = _next_pairs(met, labels, tried, turn, small)
-        if more is None:
+        more = cut(_next_pairs(going, links[1:], tried, turn, small), "near-pairs")
+        count = more.count()
+        if not count:
             break
         tried.append(more)
         links.append(verified(more))
+        if links[-1].count() < LEAST_GAIN * count:
+            break
+    labels = components(reduce(DataFrame.unionByName, links))
 
     label = F.coalesce("label", "digest")
     named = signed.select("doc", "digest").join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("doc", "digest", label.alias("label"))
@@ -282,29 +286,51 @@ def _pack_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([pack(t.as_py()) for t in some.column(2)], pa.binary())], ["doc", "digest", "text"])
 
 
-def _next_pairs(met: DataFrame, labels: DataFrame, tried: list[DataFrame], turn: int, small: int) -> DataFrame | None:
-    """Pairs of different classes in buckets that hold several, without those tried; None if there are none.
+def _roots(links: DataFrame) -> DataFrame:
+    """(digest, label) of the texts of the first links: the end of the chain of leaders.
 
-    In a large bucket the next ``HEADS`` most central members meet the members
-    of classes no larger than their own. That these heads are the first by row
-    number lets Spark cut each task's rows down to them before the shuffle.
+    Every text has one leader at most, and a leader is more central than its
+    members, so the links are chains without circles; they halve with each step.
     """
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    named = labels.join(sizes, "label").withColumnRenamed("node", "digest")
-    classed = met.join(named, "digest", "left").select("bucket", "digest", "n", "central", F.coalesce("label", "digest").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+    pointers = cut(links.select(F.col("b").alias("digest"), F.col("a").alias("label")), "near-roots")
+    while True:
+        above = pointers.select(F.col("digest").alias("label"), F.col("label").alias("further"))
+        step = cut(pointers.join(above, "label", "left").select("digest", F.coalesce("further", "label").alias("label"), F.col("further").isNotNull().alias("moved")), "near-roots")
+        pointers = step.select("digest", "label")
+        if step.filter("moved").isEmpty():
+            return pointers
+
+
+def _open_buckets(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries of the buckets that hold several classes after the first links, with label and size of the class."""
+    sizes = roots.groupBy("label").agg((F.count(F.lit(1)) + 1).alias("size"))
+    classed = met.join(roots, "digest", "left").withColumn("label", F.coalesce("label", "digest")).join(sizes, "label", "left")
+    classed = classed.select("bucket", "digest", "n", "central", "label", F.coalesce("size", F.lit(1)).alias("size"))
     mixed = classed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    going = cut(classed.join(mixed, "bucket"), "near-open")
+    return cut(classed.join(mixed, "bucket"), "near-open")
+
+
+def _next_pairs(going: DataFrame, links: list[DataFrame], tried: list[DataFrame], turn: int, small: int) -> DataFrame:
+    """Fresh pairs (a, b, label of b) of different classes.
+
+    In a large bucket the next ``HEADS`` most central members meet the members
+    of classes no larger than their own that no link has joined to another class
+    yet. That these heads are the first by row number lets Spark cut each task's
+    rows down to them before the shuffle. In a small bucket, all members of
+    different classes meet in the first turn.
+    """
     large = going.filter(F.col("n") > small)
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("central"), "digest"))
     heads = large.withColumn("place", place).filter(F.col("place") <= HEADS * turn).filter(F.col("place") > HEADS * (turn - 1))
     heads = heads.select("bucket", F.col("digest").alias("a"), F.col("label").alias("label_a"), F.col("size").alias("size_a"))
-    pairs = large.join(heads, "bucket").filter("label <> label_a AND size <= size_a").select("a", F.col("digest").alias("b"))
+    if links:
+        large = large.join(reduce(DataFrame.unionByName, links).select("label").distinct(), "label", "left_anti")
+    pairs = large.join(heads, "bucket").filter("label <> label_a AND size <= size_a").select("a", F.col("digest").alias("b"), "label")
     if turn == 1:
         few = going.filter(F.col("n") <= small)
-        other = few.select("bucket", F.col("digest").alias("b"), F.col("label").alias("label_b"))
-        across = few.join(other, "bucket").filter((F.col("digest") < F.col("b")) & (F.col("label") != F.col("label_b")))
-        pairs = pairs.unionByName(across.select(F.col("digest").alias("a"), "b"))
-    ordered: list[Column] = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    done = reduce(DataFrame.unionByName, (t.select(*ordered) for t in tried))
-    fresh = cut(pairs.select(*ordered).distinct().join(done, ["a", "b"], "left_anti"), "near-pairs")
-    return None if fresh.isEmpty() else fresh
+        other = few.select("bucket", F.col("digest").alias("a"), F.col("label").alias("label_a"))
+        across = few.join(other, "bucket").filter((F.col("a") < F.col("digest")) & (F.col("label") != F.col("label_a")))
+        pairs = pairs.unionByName(across.select("a", F.col("digest").alias("b"), "label"))
+    done = reduce(DataFrame.unionByName, tried)
+    done = done.select("a", "b").unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.dropDuplicates(["a", "b"]).join(done, ["a", "b"], "left_anti")

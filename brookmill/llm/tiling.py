@@ -152,10 +152,10 @@ def contaminated(
     sizes = [r["size"] for r in seeds.select("size").distinct().collect()]  # at most ``seed`` numbers
 
     def plant(batch: pa.RecordBatch, cells: np.ndarray) -> None:
-        cells[(batch.column(0).to_numpy().view(np.uint64) % np.uint64(bits)).astype(np.int64)] = 1
+        cells[(batch.column(0).to_numpy().view(np.uint64) % np.uint64(bits)).astype(np.int64)] = True
 
-    cells, _ = tally(seeds.select("seed"), plant, bits)
-    bitmap = df.sparkSession.sparkContext.broadcast(np.packbits(cells > 0))
+    cells, _ = tally(seeds.select("seed"), plant, bits, np.bool_)
+    bitmap = df.sparkSession.sparkContext.broadcast(np.packbits(cells))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sown = bitmap.value
