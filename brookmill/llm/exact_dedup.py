@@ -28,33 +28,53 @@ def normalise(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
+#: Tasks that the rows of one repeated text are dealt to when they get their group's result; texts met once are not moved.
+SALTS = 8
+
+
 def _compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare each sorted row with the one before it, over batch borders too.
 
     ``variant`` counts the different texts met so far under one digest, so that
     even a digest collision keeps texts apart; ``repeat`` marks a row whose text
-    and id equal those of the row before.
+    and id equal those of the row before; ``alone`` one whose text differs from
+    both neighbours. The first and last row of the partition are not alone: the
+    same text may go on in the next one.
     """
-    last = None
-    variant = 0
+    last: pa.Table | None = None
+    held: tuple[int, bool, bool] | None = None  # variant and repeat of the last row, and whether it equals the one before
+    first = True
+
+    def rows(some: pa.Table, variants: list[int], repeats: list[bool], alone: list[bool]) -> pa.RecordBatch:
+        columns = [some["id"].combine_chunks(), some["digest"].combine_chunks()]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(variants, pa.int32()), pa.array(repeats, pa.bool_()), pa.array(alone, pa.bool_())], ["id", "digest", "variant", "repeat", "alone"])
+
     for batch in batches:
-        rows = pa.table(batch).rename_columns(["id", "norm", "digest"])
-        if not rows.num_rows:
+        if not batch.num_rows:
             continue
-        with_last = pa.concat_tables([last, rows]) if last is not None else rows
-        before, after = with_last.slice(0, with_last.num_rows - 1), with_last.slice(1)
-        same = {c: pc.equal(after[c], before[c]).fill_null(False).to_pylist() for c in ("id", "norm", "digest")}
+        table = pa.table(batch).rename_columns(["id", "norm", "digest"])
+        table = pa.concat_tables([last, table]) if last is not None else table
+        before, after = table.slice(0, table.num_rows - 1), table.slice(1)
+        same_text = [d and t for d, t in zip(*(pc.equal(after[c], before[c]).to_pylist() for c in ("digest", "norm")), strict=True)]
+        same_digest = pc.equal(after["digest"], before["digest"]).to_pylist()
         both_null = pc.and_(pc.is_null(after["id"]), pc.is_null(before["id"])).to_pylist()
-        variants, repeats = ([], []) if last is not None else ([0], [False])
-        for text, digest, key, null in zip(same["norm"], same["digest"], same["id"], both_null, strict=True):
-            variant = 0 if not digest else variant + (not text)
+        same_id = pc.equal(after["id"], before["id"]).fill_null(False).to_pylist()
+        variant, repeat, joined = held or (0, False, True)
+        variants, repeats, linked = [variant], [repeat], [joined]
+        for text, digest, key, null in zip(same_text, same_digest, same_id, both_null, strict=True):
+            variant = variant + (not text) if digest else 0
             variants.append(variant)
             repeats.append(text and (key or null))
-        yield pa.RecordBatch.from_arrays(
-            [rows["id"].combine_chunks(), rows["digest"].combine_chunks(), pa.array(variants, pa.int32()), pa.array(repeats, pa.bool_())],
-            ["id", "digest", "variant", "repeat"],
-        )
-        last = rows.slice(rows.num_rows - 1)
+            linked.append(text)
+        alone = [not (x or y) for x, y in zip(linked[:-1], linked[1:], strict=True)]
+        if first:
+            alone[:1] = [False] * len(alone[:1])
+        if alone:
+            first = False
+            yield rows(before, variants[:-1], repeats[:-1], alone)
+        last, held = table.slice(table.num_rows - 1), (variants[-1], repeats[-1], linked[-1])
+    if last is not None:
+        yield rows(last, [held[0]], [held[1]], [False])
 
 
 def content_sort(df: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest") -> DataFrame:
@@ -73,12 +93,17 @@ def content_sort(df: DataFrame, text: str = "text", key: str = "doc_id", keep: s
     keyed = norm.withColumn("digest", F.sha2(F.col("norm").cast("binary"), 256)).withColumn("head", F.substring("norm", 1, 32))
     ordered = keyed.repartitionByRange("head", "digest", "id").sortWithinPartitions("head", "digest", "norm", "id")
     compared = ordered.select("id", "norm", F.unhex("digest").alias("digest")).mapInArrow(
-        _compare_neighbours, "id long, digest binary, variant int, repeat boolean"
+        _compare_neighbours, "id long, digest binary, variant int, repeat boolean, alone boolean"
     )
     rows = cut(compared, "content-sort")
     best = F.max("id") if keep == "largest" else F.min("id")
-    groups = rows.groupBy("digest", "variant").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, ["digest", "variant"]).select(
+    groups = rows.filter("NOT alone").groupBy("digest", "variant").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own_salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    joined = rows.filter("NOT alone").withColumn("salt", own_salt).join(groups, ["digest", "variant", "salt"])
+    columns = ["id", "digest", "repeat", "keep_id", "group_size"]
+    single = rows.filter("alone").select("id", "digest", "repeat", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+    return single.unionByName(joined.select(*columns)).select(
         F.col("id").alias(key),
         "keep_id",
         "group_size",
