@@ -137,7 +137,7 @@ def test_arithmetic(spark):
     assert col(spark, [big], "long", lambda c: Y.int_div(c, F.lit(1))) == [big]
     assert col(spark, [1.0], "double", lambda c: Y.ratio(c, F.lit(0))) == [None]
     assert col(spark, [float("nan"), None, 2.0], "double", lambda c: Y.nan_to(c, 0.0)) == [0.0, 0.0, 2.0]
-    assert col(spark, [2.5, 0.125, -1.25], "double", lambda c: Y.round_to(c, 1)) == [2.5, 0.1, -1.2]
+    assert col(spark, [2.5, 0.125, -1.25], "double", lambda c: Y.round_to(c, 1)) == [2.5, 0.1, -1.3]
 
 
 def test_enum(spark):
