@@ -31,7 +31,9 @@ LONG = 48
 NONE = np.int32(2**31 - 1)
 #: Characters that are no piece have this plus their code point as symbol.
 CHAR = 1 << 21
-SLICE = 1 << 20
+SLICE = 1 << 19
+#: Units worked on at once; the arrays of a step stay small.
+UNITS = 1 << 14
 
 
 class Model:
@@ -216,8 +218,8 @@ def encode_texts(model: Model, texts: list[str], keys: np.ndarray, dropout: floa
     for width in (1, 2, 4, 6, 8, 12, 16, 24, LONG):
         chosen = np.flatnonzero((length > low) & (length <= width))
         low = width
-        for at in range(0, len(chosen), 1 << 16):
-            some = chosen[at : at + (1 << 16)]
+        for at in range(0, len(chosen), UNITS):
+            some = chosen[at : at + UNITS]
             grid = np.full((len(some), width), -1, np.int32)
             inside = np.arange(width)[None] < length[some][:, None]
             grid[inside] = symbols[spread(starts[some], length[some])]
