@@ -32,6 +32,7 @@ NONE = np.int32(2**31 - 1)
 #: Characters that are no piece have this plus their code point as symbol.
 CHAR = 1 << 21
 SLICE = 1 << 19
+_PAIR_HASH = 0x9E3779B97F4A7C15
 #: Units worked on at once; the arrays of a step stay small.
 UNITS = 1 << 14
 
@@ -61,10 +62,7 @@ class Model:
                 left, right = self._symbol(pieces[i][:cut]), self._symbol(pieces[i][cut:])
                 if left is not None and right is not None:
                     pairs[left << 22 | right] = (place[i], i)
-        keys = sorted(pairs)
-        self.pair_keys = np.array(keys, np.int64)
-        self.pair_rank = np.array([pairs[k][0] for k in keys] + [NONE], np.int32)
-        self.pair_piece = np.array([pairs[k][1] for k in keys] + [0], np.int32)
+        self._hash_pairs(pairs)
         self.char_symbol = (np.arange(0x110000) + CHAR).astype(np.int32)
         for piece, i in self.symbol.items():
             if len(piece) == 1:
@@ -83,12 +81,31 @@ class Model:
         found = self.symbol.get(part)
         return CHAR + ord(part) if found is None and len(part) == 1 else found
 
+    def _hash_pairs(self, pairs: dict[int, tuple[int, int]]) -> None:
+        """Open addressing with at least seven free slots to one pair; arrays go one slot further than the mask."""
+        bits = max(4, (8 * len(pairs)).bit_length())
+        self.pair_shift = np.uint64(64 - bits)
+        size = (1 << bits) + len(pairs) + 1
+        self.pair_keys = np.full(size, -1, np.int64)
+        self.pair_rank = np.full(size, NONE, np.int32)
+        self.pair_piece = np.zeros(size, np.int32)
+        for key, (rank, piece) in pairs.items():
+            slot = (key * _PAIR_HASH % 2**64) >> (64 - bits)
+            while self.pair_keys[slot] != -1:
+                slot += 1
+            self.pair_keys[slot], self.pair_rank[slot], self.pair_piece[slot] = key, rank, piece
+
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Agenda rank (lower is first, NONE: no piece) and piece of each pair."""
         key = (left.astype(np.int64) << 22) | right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        at = np.where(self.pair_keys[at] == key, at, len(self.pair_keys))
-        return self.pair_rank[at], self.pair_piece[at]
+        slot = ((key.astype(np.uint64) * np.uint64(_PAIR_HASH)) >> self.pair_shift).astype(np.int64)
+        held = self.pair_keys[slot]
+        other = np.nonzero((held != key) & (held != -1))
+        while len(other[0]):
+            slot[other] += 1
+            held = self.pair_keys[slot[other]]
+            other = tuple(i[(held != key[other]) & (held != -1)] for i in other)
+        return self.pair_rank[slot], self.pair_piece[slot]
 
 
 @lru_cache(maxsize=2)
