@@ -12,8 +12,10 @@ meets most others over all its buckets, so the centre of a group of copies, and
 every text is compared with the most central of its leaders (a star). Afterwards only buckets that still
 hold more than one class go on: small ones compare the classes' members across,
 large ones take their next most central members as leaders of the rest, until
-hardly any pair of a round is a link. So a bucket with a third of all rows costs a few rows per
-member.
+hardly any pair of a round is a link. These rounds only make classes grow cheaply: whatever members of
+different classes a large bucket still holds are then all compared, block by
+block. So a bucket costs a few rows per member while it is one class, and all
+pairs across its classes otherwise.
 
 Document frequencies are counted over all texts in a count-min sketch of fixed
 size, the only thing that is broadcast (``2 * df_buckets * 4`` bytes).
@@ -34,8 +36,10 @@ from brookmill.llm.tallies import tally
 from brookmill.llm.windows import SLICE_BYTES, Sums, _BYTE_HASH, mix, pack, slices, texts_of, unpack, words_of
 from brookmill.scratch import cut
 
-#: Further leaders of a large bucket per round; rounds end when fewer than this share of the pairs compared are links.
+#: Further leaders of a large bucket per round; when fewer than this share of the pairs compared are links, all others are compared.
 HEADS, LEAST_GAIN = 2, 0.01
+#: About so many members of a bucket meet as many others in one group.
+BLOCK = 64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -263,7 +267,38 @@ def near_duplicates(
         links.append(verified(more))
         if links[-1].count() < LEAST_GAIN * count:
             break
-    labels = components(reduce(DataFrame.unionByName, links))
+    labels = cut(components(reduce(DataFrame.unionByName, links)), "near-labels")
+
+    def compare(cell: pa.Table) -> pa.Table:
+        """Links among the members of one cell; a pair of several shared buckets is compared in the smallest."""
+        bucket = cell["bucket"][0].as_py()
+        side, names, classes = (cell[c].to_pylist() for c in ("side", "digest", "label"))
+        shared = [set(b) for b in cell["buckets"].to_pylist()]
+        vectors = []
+        for body in cell["text"]:
+            data = np.frombuffer(unpack(body.as_py()), np.uint8)
+            _, found, counts = shingles(data, np.array([0, len(data)]), size)
+            vectors.append((found, weights.value.of(found, counts)))
+        sums = [float(v[1].sum(dtype=np.float64)) for v in vectors]
+        left = [i for i, s in enumerate(side) if s == 0]
+        right = [i for i, s in enumerate(side) if s == 1]
+        inner = cell["inner"][0].as_py()
+        found = []
+        for at, i in enumerate(left):
+            for j in left[at + 1 :] if inner else right:
+                if classes[i] == classes[j] or min(sums[i], sums[j]) < threshold * max(sums[i], sums[j]) * (1 - 1e-9):
+                    continue
+                if min(shared[i] & shared[j]) == bucket and similarity(vectors[i], vectors[j]) >= threshold:
+                    found.append((names[i], names[j]))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+    rest = _rest(met, labels, small)
+    if not rest.isEmpty():
+        buckets = met.join(rest.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.collect_list("bucket").alias("buckets"))
+        members = _cells(rest.join(buckets, "digest").join(bodies, "digest"))
+        last = cut(members.groupBy("bucket", "inner", "i", "j").applyInArrow(compare, "a binary, b binary"), "near-links")
+        if not last.isEmpty():
+            labels = components(reduce(DataFrame.unionByName, [x.select("a", "b") for x in [*links, last]]))
 
     label = F.coalesce("label", "digest")
     named = signed.select("doc", "digest").join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("doc", "digest", label.alias("label"))
@@ -334,3 +369,36 @@ def _next_pairs(going: DataFrame, links: list[DataFrame], tried: list[DataFrame]
     done = reduce(DataFrame.unionByName, tried)
     done = done.select("a", "b").unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return pairs.dropDuplicates(["a", "b"]).join(done, ["a", "b"], "left_anti")
+
+
+def _rest(met: DataFrame, labels: DataFrame, small: int) -> DataFrame:
+    """Entries of the large buckets that hold several classes, with label, the largest class, and the blocks of it and of the others."""
+    classed = met.filter(F.col("n") > small).join(labels.withColumnRenamed("node", "digest"), "digest", "left")
+    classed = classed.select("bucket", "digest", F.coalesce("label", "digest").alias("label"))
+    counts = classed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy("bucket").agg(F.sum("n").alias("total"), F.max(F.struct("n", "label")).alias("most")).filter("most.n < total")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("long")
+    mixed = mixed.select("bucket", F.col("most.label").alias("major"), blocks(F.col("most.n")).alias("majors"), blocks(F.col("total") - F.col("most.n")).alias("minors"))
+    return cut(classed.join(mixed, "bucket"), "near-rest")
+
+
+def _cells(rest: DataFrame) -> DataFrame:
+    """Entries dealt to cells (bucket, inner, i, j), so that any two of different classes meet in one.
+
+    The largest class of a bucket meets the others in cells of (-1 - its block,
+    their block); the others meet one another in cells of two of their blocks,
+    and within one block in ``inner`` cells.
+    """
+    zero = F.lit(0).cast("long")
+    of_major = F.col("label") == F.col("major")
+    own = F.pmod(F.xxhash64("digest"), F.when(of_major, F.col("majors")).otherwise(F.col("minors")))
+
+    def cell(inner: bool, i: Column, j: Column, side: Column) -> Column:
+        return F.struct((F.lit(inner) & (i == j)).alias("inner"), F.when(F.lit(inner), i).otherwise(-1 - i).alias("i"), j.alias("j"), side.cast("int").alias("side"))
+
+    minors, majors = F.sequence(zero, F.col("minors") - 1), F.sequence(zero, F.col("majors") - 1)
+    to_minors = F.transform(minors, lambda j: cell(False, own, j, zero))
+    to_majors = F.transform(majors, lambda i: cell(False, i, own, zero + 1))
+    to_others = F.transform(minors, lambda j: cell(True, F.least(own, j), F.greatest(own, j), (own > j).cast("long")))
+    dealt = rest.withColumn("cell", F.explode(F.when(of_major, to_minors).otherwise(F.concat(to_majors, to_others))))
+    return dealt.select("bucket", "cell.*", "digest", "label", "buckets", "text")

@@ -89,6 +89,31 @@ def test_star_of_copies(spark, copies):
     assert kept.count() == len(set(want.values()))
 
 
+def families(pairs, rng):
+    """Pages of one template, similar to each other below the threshold, in pairs that are above it."""
+    word = lambda: f"f{rng.randrange(10**6)}"
+    template = [word() for _ in range(144)]
+    rows = []
+    for i in range(pairs):
+        both = [word() for _ in range(12)]
+        rows += [(k, " ".join(template + both + [word() for _ in range(9)])) for k in (1000 + 2 * i, 1001 + 2 * i)]
+    return rows
+
+
+def classes_of(spark, rows, **parameters):
+    df = spark.createDataFrame([(*r, "d", 1, "l", 2) for r in rows], SCHEMA).repartition(6)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(df, **parameters).collect()}
+    return [got[k] for k, _ in rows]
+
+
+def test_pairs_within_a_template_are_all_found(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rows = families(60, random.Random(5))
+    want = brute(spark, rows)
+    assert len(set(want)) == 60
+    assert classes_of(spark, rows) == want
+
+
 def minhash_md5(text):
     import hashlib
 
