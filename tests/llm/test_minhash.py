@@ -114,6 +114,21 @@ def test_pairs_within_a_template_are_all_found(spark, monkeypatch):
     assert classes_of(spark, rows) == want
 
 
+def test_linked_classes_go_on_to_their_further_links(spark):
+    """Chains of four pages within a template, only neighbours above the threshold, none of them a centre."""
+    rng = random.Random(8)
+    word = lambda: f"c{rng.randrange(10**6)}"
+    template = [word() for _ in range(144)]
+    rows = []
+    for i in range(15):
+        joints = [[word() for _ in range(12)] for _ in range(5)]
+        rows += [(2000 + 4 * i + k, " ".join([*template, *joints[k], *joints[k + 1]])) for k in range(4)]
+    rng.shuffle(rows)
+    want = brute(spark, rows)
+    assert len(set(want)) == 15
+    assert classes_of(spark, rows) == want
+
+
 def minhash_md5(text):
     import hashlib
 
