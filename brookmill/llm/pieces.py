@@ -2,15 +2,16 @@
 
 A model of merge type is applied by its agenda: of all neighbouring symbols
 whose concatenation is a piece the best-scored (then leftmost) pair merges
-next. Each candidate is skipped where a keyed hash of seed, unit, variant and
+next. Each candidate is skipped where a keyed hash of seed, unit, occurrence and
 place falls below ``dropout``; a skipped candidate does not come back unless a
 neighbour changes. With dropout 0 the pieces are those of the library.
 
 No piece reaches over the border before a space that follows another character,
 nor over a line break, so texts fall into units there. A slice of texts is
-worked on at once: equal units of one variant are encoded once, all of one
-length class in step, one agenda entry each. Units over ``LONG`` characters go
-through a heap.
+worked on at once: equal units are encoded once without dropout, and an
+occurrence that would skip a candidate on the way is encoded by itself. All
+units of one length class go in step, one agenda entry each. Units over ``LONG``
+characters go through a heap, one by one.
 """
 
 from __future__ import annotations
@@ -156,8 +157,11 @@ def encode_long(model: Model, symbols: list[int], unit_key: int, dropout: float)
     return [s for s, a in zip(symbols, alive, strict=True) if a]
 
 
-def encode_level(model: Model, symbols: np.ndarray, sizes: np.ndarray, unit_keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Units of one length class, in step. ``symbols`` is (units, width), filled up with -1; returns symbols and their counts."""
+def encode_level(model: Model, symbols: np.ndarray, sizes: np.ndarray, unit_keys: np.ndarray, dropout: float, visits: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Units of one length class, in step. ``symbols`` is (units, width), filled up with -1; returns symbols and their counts.
+
+    ``visits`` gets (unit, start, end) of the candidates in turn, as arrays.
+    """
     symbols = symbols.copy()
     units, width = symbols.shape
     left = np.tile(np.arange(width + 1, dtype=np.int32), (units, 1))  # where each symbol begins; the next one's is its end
@@ -181,6 +185,8 @@ def encode_level(model: Model, symbols: np.ndarray, sizes: np.ndarray, unit_keys
             here = np.arange(len(row))
             if not len(row):
                 break
+        if visits is not None:
+            visits.append((row, left[here, best], left[here, best + 2]))
         skip = skipped(unit_keys, left[here, best], left[here, best + 2], dropout) if dropout else np.zeros(len(row), bool)
         rank[here[skip], best[skip]] = NONE
         go = here[~skip]
@@ -208,30 +214,10 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
-def encode_texts(model: Model, texts: list[str], keys: np.ndarray, dropout: float, seed: int, variants: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts and the edges between texts. ``keys`` vary the choice of variants, one per text."""
-    full = [("\n" if not t else " " + t) for t in texts]
-    points = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.array([len(t) for t in full], np.int64)
-    first = np.cumsum(sizes) - sizes
-    symbols = model.char_symbol[points]
-    blank, line = symbols == model.space, points == 0x0A
-    begin = line.copy()
-    begin[1:] |= line[:-1] | (blank[1:] & ~blank[:-1])
-    begin[first] = True
-    starts = np.flatnonzero(begin)
-    length = np.diff(np.append(starts, len(points)))
-    owner = np.searchsorted(first, starts, "right") - 1
-    content = mix(Sums(mix(symbols.astype(np.uint64) + np.uint64(1))).ranges(starts, starts + length) + length.astype(np.uint64))
-    if dropout:
-        ordinal = np.arange(len(starts)) - np.searchsorted(starts, first)[owner]
-        draw = mix(keys.astype(np.uint64)[owner] + ordinal.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-        content = mix(content + np.uint64(seed)) + draw % np.uint64(variants)
-    unit_key, one, back = np.unique(content, return_index=True, return_inverse=True)
-    starts, length = starts[one], length[one]
-
-    tokens, counts = [], np.zeros(len(one), np.int64)
-    order, low = [], 0
+def encode_units(model: Model, symbols: np.ndarray, starts: np.ndarray, length: np.ndarray, unit_key: np.ndarray, dropout: float, visits: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all units, where each unit's begin, and how many they are. ``visits`` is as in :func:`encode_level`."""
+    tokens, counts = [np.zeros(0, np.int32)], np.zeros(len(starts), np.int64)
+    order, low = [np.zeros(0, np.int64)], 0
     for width in (1, 2, 4, 6, 8, 12, 16, 24, LONG):
         chosen = np.flatnonzero((length > low) & (length <= width))
         low = width
@@ -240,7 +226,10 @@ def encode_texts(model: Model, texts: list[str], keys: np.ndarray, dropout: floa
             grid = np.full((len(some), width), -1, np.int32)
             inside = np.arange(width)[None] < length[some][:, None]
             grid[inside] = symbols[spread(starts[some], length[some])]
-            grid, found = encode_level(model, grid, length[some], unit_key[some], dropout)
+            met = None if visits is None else []
+            grid, found = encode_level(model, grid, length[some], unit_key[some], dropout, met)
+            if met:
+                visits += [(some[row], start, end) for row, start, end in met]
             tokens.append(grid[np.arange(width)[None] < found[:, None]])
             counts[some] = found
             order.append(some)
@@ -250,9 +239,66 @@ def encode_texts(model: Model, texts: list[str], keys: np.ndarray, dropout: floa
         counts[i] = len(out)
         order.append(np.array([i]))
     order = np.concatenate(order)
-    flat = np.concatenate(tokens)
-    place = np.empty(len(one), np.int64)
+    place = np.empty(len(starts), np.int64)
     place[order] = np.cumsum(counts[order]) - counts[order]
+    return np.concatenate(tokens), place, counts
+
+
+def apart(kinds: int, visits: list, back: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether an occurrence skips a candidate its unit (``back``) meets without dropout."""
+    out = np.zeros(len(back), bool)
+    if not visits:
+        return out
+    unit, start, end = (np.concatenate([v[i] for v in visits]) for i in range(3))
+    order = np.argsort(unit, kind="stable")
+    start, end = start[order], end[order]
+    many = np.bincount(unit, minlength=kinds)
+    first = np.cumsum(many) - many
+    for at in range(0, len(back), 4 * UNITS):
+        some = slice(at, at + 4 * UNITS)
+        sizes = many[back[some]]
+        where = spread(first[back[some]], sizes)
+        who = np.repeat(np.arange(len(sizes)), sizes)
+        skip = skipped(keys[some][who], start[where], end[where], dropout)
+        out[at + who[skip]] = True
+    return out
+
+
+def encode_texts(model: Model, texts: list[str], keys: np.ndarray, dropout: float, seed: int, variants: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts and the edges between texts.
+
+    Dropout is drawn by ``keys``, one per text, and place; ``variants`` other
+    than 0 bounds how many segmentations a unit has.
+    """
+    full = [("\n" if not t else " " + t) for t in texts]
+    points = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.array([len(t) for t in full], np.int64)
+    first = np.cumsum(sizes) - sizes
+    symbols = model.char_symbol[points]
+    blank, line = symbols == model.space, points == 0x0A
+    begin = line.copy()
+    begin[1:] |= line[:-1] | (blank[1:] & ~blank[:-1])
+    begin[first] = True
+    starts = np.flatnonzero(begin)
+    length = np.diff(np.append(starts, len(points)))
+    owner = np.searchsorted(first, starts, "right") - 1
+    content = mix(Sums(mix(symbols.astype(np.uint64) + np.uint64(1))).ranges(starts, starts + length) + length.astype(np.uint64))
+    _, one, back = np.unique(content, return_index=True, return_inverse=True)
+    if dropout:
+        ordinal = np.arange(len(starts)) - np.searchsorted(starts, first)[owner]
+        draw = mix(keys.astype(np.uint64)[owner] + ordinal.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+        unit_key = mix(content + np.uint64(seed)) + (draw % np.uint64(variants) if variants else draw)
+        visits: list = []
+        plain = np.where(length[one] > LONG, 0, length[one])  # long ones are encoded apart in any case
+        flat, place, counts = encode_units(model, symbols, starts[one], plain, content[one], 0.0, visits)
+        alone = np.flatnonzero((length > LONG) | apart(len(one), visits, back, unit_key, dropout))
+        _, once, again = np.unique(unit_key[alone], return_index=True, return_inverse=True)
+        chosen = alone[once]
+        more, further, sizes = encode_units(model, symbols, starts[chosen], length[chosen], unit_key[chosen], dropout)
+        back[alone] = len(one) + again
+        flat, place, counts = np.concatenate([flat, more]), np.concatenate([place, further + len(flat)]), np.concatenate([counts, sizes])
+    else:
+        flat, place, counts = encode_units(model, symbols, starts[one], length[one], content[one], 0.0)
     ids = flat[spread(place[back], counts[back])]
     per_text = np.bincount(owner, weights=counts[back], minlength=len(texts)).astype(np.int64)
     ids, per_text = fall_back(model, ids, per_text)
@@ -296,13 +342,13 @@ def decode_ids(model: Model, ids: np.ndarray, edges: np.ndarray) -> tuple[np.nda
     return data[keep], reach
 
 
-def piece_ids(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0, variants: int = 16, compare: bool = False) -> DataFrame:
+def piece_ids(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0, variants: int = 0, compare: bool = False) -> DataFrame:
     """Return per row of ``df``: key, ids (array of int), and decoded (binary) or, with ``compare``, lossless (boolean).
 
     ``model`` is the path of a merge-type SentencePiece model, readable on every
-    executor. Each unit of a text takes one of ``variants`` segmentations, drawn
-    by a hash of seed, text and place; equal inputs give equal ids on every
-    run. ``decoded`` is made from the ids alone and equals the text's UTF-8
+    executor. Dropout is drawn for each occurrence of a unit, by a hash of seed,
+    text and place, or with ``variants`` other than 0 from so many segmentations
+    of a unit; equal inputs give equal ids on every run. ``decoded`` is made from the ids alone and equals the text's UTF-8
     bytes, literal U+2581 included; ``lossless`` says whether it does. Null text counts as empty and has no ids;
     keys are passed on; repeated rows get equal ids; other columns are not read.
     """

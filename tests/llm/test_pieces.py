@@ -71,3 +71,30 @@ def test_query_decodes_every_text(spark):
     texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", F.sha2("text", 256).alias("sha"))
     bad = QUERIES["op5_sentencepiece"](spark, SMALL).join(texts, "doc_id").filter("sha <> decoded_sha256 OR n_pieces = 0")
     assert bad.count() == 0
+
+
+def test_every_occurrence_draws_its_own_dropout(model, spark):
+    texts = [f"{i} internationalization of communication" for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    ids = [r["ids"] for r in pieces.piece_ids(df, PATH, dropout=0.3, seed=5).collect()]
+    wanted = " internationalization"
+    found = set()
+    for row in ids:
+        at, word = 0, []
+        for i in row:
+            piece = model.raw[model.raw_start[i] : model.raw_start[i] + model.raw_size[i]].tobytes().decode()
+            at += len(piece)
+            word.append((at, piece))
+        text = "".join(p for _, p in word)
+        begin = text.index(wanted)
+        found.add(tuple(p for end, p in word if begin < end <= begin + len(wanted)))
+    assert len(found) > 16
+
+
+def test_shared_units_equal_units_encoded_one_by_one(model, monkeypatch):
+    texts = ODD + [f"the cat {i} sat on the internationalization mat" for i in range(200)]
+    keys = np.arange(len(texts))
+    ids, edges = pieces.encode_texts(model, texts, keys, 0.1, 5)
+    monkeypatch.setattr(pieces, "apart", lambda kinds, visits, back, keys, dropout: np.ones(len(back), bool))
+    one_by_one, other = pieces.encode_texts(model, texts, keys, 0.1, 5)
+    assert (edges == other).all() and (ids == one_by_one).all()
