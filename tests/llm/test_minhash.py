@@ -107,7 +107,7 @@ def classes_of(spark, rows, **parameters):
 
 
 def test_pairs_within_a_template_are_all_found(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK", 16, raising=False)
     rows = families(60, random.Random(5))
     want = brute(spark, rows)
     assert len(set(want)) == 60
