@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brookmill.llm import exact_dedup, minhash, pieces, quality, quotes, substring_dedup, suffix_dedup, tiling, token_counts, url_filter
+from brookmill.llm import curriculum, exact_dedup, infilling, minhash, pieces, quality, quotes, spelling, substring_dedup, suffix_dedup, tiling, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -88,6 +88,26 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", F.col("n_symbols").alias("n_bytes"), "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query("op11_spelling")
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    done = spelling.spelling_variants(_table(spark, folder, "documents"))
+    return done.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@_query("op12_infilling", infilling.SQL)
+def op12_infilling(spark: SparkSession, folder: str) -> DataFrame:
+    done = infilling.fill_in_middle(_table(spark, folder, "documents")).withColumn("output_sha256", F.sha2("output", 256))
+    done = infilling.restored(done)
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@_query("op13_curriculum", curriculum.SQL)
+def op13_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    done = curriculum.curriculum(_table(spark, folder, "documents"))
+    first = F.get("passes", F.lit(0))["position"]
+    return done.select("doc_id", "size", "source_size", "target", "taken", first.alias("position"))
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
