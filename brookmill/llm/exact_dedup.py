@@ -115,11 +115,13 @@ def content_sort(df: DataFrame, text: str = "text", key: str = "doc_id", keep: s
 def keep_first_copies(df: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest") -> DataFrame:
     """The kept rows of :func:`content_sort` with all columns of ``df``.
 
-    Rows that repeat both text and key become one.
+    Rows that repeat both key and normalised text become one: the one whose text
+    is first in code point order, of equal texts that of the smallest row hash.
+    Extra columns may have any names.
     """
     kept = content_sort(df, text, key, keep).filter("kept")
     digest = F.sha2(normalise(F.col(text)).cast("binary"), 256)
-    return one_row_where(df, kept, key, digest, F.col("text_sha256"))
+    return one_row_where(df, kept, key, digest, F.col("text_sha256"), F.col(text))
 
 
 SQL = """

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from brookmill.llm.rows import one_row_where
 from brookmill.llm.tallies import tally
-from brookmill.llm.windows import SLICE_BYTES, Sums, _BYTE_HASH, mix, pack, slices, texts_of, unpack, words_of
+from brookmill.llm.windows import SLICE_BYTES, Sums, mix, pack, slices, texts_of, unpack, word_symbols, words_of
 from brookmill.scratch import cut
 
 #: Further leaders of a large bucket per round; when fewer than this share of the pairs compared are links, all others are compared.
@@ -54,7 +54,7 @@ def shingles(data: np.ndarray, edges: np.ndarray, size: int) -> tuple[np.ndarray
     starts, ends, word_edges = words_of(data, edges)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    sums = Sums(mix(Sums(_BYTE_HASH[data]).ranges(starts, ends)) | np.uint64(1))
+    sums = Sums(word_symbols(data, starts, ends))
     words = np.diff(word_edges)
     counts = np.where(words > 0, np.maximum(words - size + 1, 1), 0)
     text = np.repeat(np.arange(len(counts)), counts)
@@ -310,9 +310,13 @@ def near_duplicates(
 
 
 def keep_one_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", **parameters) -> DataFrame:
-    """One row with all columns of ``df`` for each class of :func:`near_duplicates`."""
+    """One row with all columns of ``df`` for each class of :func:`near_duplicates`.
+
+    Of rows that repeat key and text the one with the smallest row hash stays.
+    Extra columns may have any names.
+    """
     kept = near_duplicates(df, text, key, **parameters).filter("kept")
-    return one_row_where(df, kept, key, F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.col("text_md5"))
+    return one_row_where(df, kept, key, F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.col("text_md5"), F.col(text))
 
 
 def _pack_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookmill.llm.windows import Sums, mix, slices, texts_of
+from brookmill.llm.windows import Content, mix, slices, texts_of
 
 SPACE = "▁"
 LONG = 48
@@ -160,53 +160,61 @@ def encode_long(model: Model, symbols: list[int], unit_key: int, dropout: float)
 def encode_level(model: Model, symbols: np.ndarray, sizes: np.ndarray, unit_keys: np.ndarray, dropout: float, visits: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Units of one length class, in step. ``symbols`` is (units, width), filled up with -1; returns symbols and their counts.
 
-    ``visits`` gets (unit, start, end) of the candidates in turn, as arrays.
+    A merge leaves its symbol in the left cell; ``behind`` and ``ahead`` link the
+    cells that hold one. ``visits`` gets (unit, start, end) of the candidates in
+    turn, as arrays.
     """
-    symbols = symbols.copy()
     units, width = symbols.shape
-    left = np.tile(np.arange(width + 1, dtype=np.int32), (units, 1))  # where each symbol begins; the next one's is its end
+    done = symbols.copy()
     rank = np.full((units, width), NONE, np.int32)
     piece = np.zeros((units, width), np.int32)
-    if width > 1:
-        rank[:, :-1], piece[:, :-1] = model.lookup(symbols[:, :-1], symbols[:, 1:])
-        rank[:, :-1][symbols[:, 1:] < 0] = NONE
-    counts = sizes.astype(np.int32)
-    done_symbols, done_counts = symbols.copy(), counts.copy()
-    row = np.arange(units)
-    columns = np.arange(width)
+    rank[:, :-1], piece[:, :-1] = model.lookup(symbols[:, :-1], symbols[:, 1:])
+    rank[:, :-1][symbols[:, 1:] < 0] = NONE
+    row = np.flatnonzero(rank.min(axis=1) != NONE)
+    held = [symbols[row], rank[row], piece[row], np.tile(np.arange(1, width + 1, dtype=np.int32), (len(row), 1)), np.tile(np.arange(-1, width - 1, dtype=np.int32), (len(row), 1))]
+    sizes, unit_keys = sizes[row].astype(np.int32), unit_keys[row]
     while len(row):
-        best = rank.argmin(axis=1)
-        here = np.arange(len(row))
-        live = rank[here, best] != NONE
-        if not live.all():
-            ended = ~live
-            done_symbols[row[ended]], done_counts[row[ended]] = symbols[ended], counts[ended]
-            row, best, symbols, left, rank, piece, counts, unit_keys = (a[live] for a in (row, best, symbols, left, rank, piece, counts, unit_keys))
-            here = np.arange(len(row))
-            if not len(row):
+        symbol, rank, piece, behind, ahead = (h.reshape(-1) for h in held)
+        base = np.arange(len(row)) * width
+        while True:
+            best = held[1].argmin(axis=1)
+            here = np.flatnonzero(rank[base + best] != NONE)
+            if 4 * len(here) < 3 * len(row):
                 break
-        if visits is not None:
-            visits.append((row, left[here, best], left[here, best + 2]))
-        skip = skipped(unit_keys, left[here, best], left[here, best + 2], dropout) if dropout else np.zeros(len(row), bool)
-        rank[here[skip], best[skip]] = NONE
-        go = here[~skip]
-        at = best[~skip]
-        if not len(go):
-            continue
-        symbols[go, at] = piece[go, at]
-        source = np.minimum(columns[None] + (columns[None] > at[:, None]), width - 1)
-        symbols[go] = np.take_along_axis(symbols[go], source, 1)
-        symbols[go, counts[go] - 1] = -1
-        wide = np.arange(width + 1)[None]
-        left[go] = np.take_along_axis(left[go], np.minimum(wide + (wide > at[:, None]), width), 1)
-        rank[go] = np.take_along_axis(rank[go], source, 1)
-        piece[go] = np.take_along_axis(piece[go], source, 1)
-        counts[go] -= 1
-        rank[go, counts[go] - 1] = NONE
-        for place, ok in ((at, at + 1 < counts[go]), (at - 1, at > 0)):
-            rows, spots = go[ok], place[ok]
-            rank[rows, spots], piece[rows, spots] = model.lookup(symbols[rows, spots], symbols[rows, spots + 1])
-    return done_symbols, done_counts
+            begin, at = base[here], best[here].astype(np.int32)
+            cell = begin + at
+            middle = behind[cell]
+            stop = behind[begin + middle]
+            if visits is not None:
+                visits.append((row[here], at, stop))
+            if dropout:
+                skip = skipped(unit_keys[here], at, stop, dropout)
+                rank[cell[skip]] = NONE
+                go = ~skip
+                here, begin, at, cell, middle, stop = (a[go] for a in (here, begin, at, cell, middle, stop))
+            symbol[cell] = piece[cell]
+            symbol[begin + middle] = -1
+            rank[begin + middle] = NONE
+            behind[cell] = stop
+            inner = stop < sizes[here]
+            after = (begin + stop)[inner]
+            ahead[after] = at[inner]
+            rank[cell[~inner]] = NONE
+            before = ahead[cell]
+            first = before >= 0
+            before = (begin + before)[first]
+            changed = np.concatenate([cell[inner], before])
+            rank[changed], piece[changed] = model.lookup(symbol[changed], symbol[np.concatenate([after, cell[first]])])
+        ended = np.ones(len(row), bool)
+        ended[here] = False
+        done[row[ended]] = held[0][ended]
+        row, sizes, unit_keys = row[here], sizes[here], unit_keys[here]
+        held = [h[here] for h in held]
+    full = done >= 0
+    counts = full.sum(axis=1)
+    packed = np.full_like(done, -1)
+    packed[np.arange(width)[None] < counts[:, None]] = done[full]
+    return packed, counts
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -282,7 +290,7 @@ def encode_texts(model: Model, texts: list[str], keys: np.ndarray, dropout: floa
     starts = np.flatnonzero(begin)
     length = np.diff(np.append(starts, len(points)))
     owner = np.searchsorted(first, starts, "right") - 1
-    content = mix(Sums(mix(symbols.astype(np.uint64) + np.uint64(1))).ranges(starts, starts + length) + length.astype(np.uint64))
+    content = mix(Content(symbols.astype(np.uint64) + np.uint64(1)).ranges(starts, starts + length) + (length.astype(np.uint64) << np.uint64(61)))
     _, one, back = np.unique(content, return_index=True, return_inverse=True)
     if dropout:
         ordinal = np.arange(len(starts)) - np.searchsorted(starts, first)[owner]

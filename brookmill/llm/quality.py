@@ -171,7 +171,8 @@ def train(df: DataFrame, labels: DataFrame, text: str, key: str, label: str, mos
 
     At most ``most_rows`` of them (those with the smallest key hash) and of each
     at most ``most_chunks`` chunks, evenly spaced over the whole text, are
-    gathered: a few MB at any size of ``df``. Labels of one key are averaged,
+    gathered: a few MB at any size of ``df``. Of several rows with one key the
+    one with the smallest text hash is taken. Labels of one key are averaged,
     null keys and labels do not count. With labels of one kind only the score
     is that label, with none it is 1.
     """
@@ -189,11 +190,13 @@ def train(df: DataFrame, labels: DataFrame, text: str, key: str, label: str, mos
                 count = (size // BLOCK - BLOCKS) // HOP + 1
                 chosen = np.unique(np.linspace(0, count - 1, min(count, most_chunks)).round().astype(int)) * HOP * BLOCK
                 out.append(b"".join(padded[c : c + CHUNK + shape.width - 1].tobytes() for c in chosen))
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(out, pa.binary())], ["id", "y", "chunks"])
+            yield pa.RecordBatch.from_arrays([*rows.columns[:2], rows.column(3), pa.array(out, pa.binary())], ["id", "y", "draw", "chunks"])
 
     texts = df.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    found = texts.join(F.broadcast(known), "id").select("id", "y", "text").mapInArrow(gather, f"id {kind}, y double, chunks binary").collect()
+    drawn = texts.join(F.broadcast(known), "id").select("id", "y", "text", F.xxhash64("text").alias("draw"))
+    chosen = drawn.mapInArrow(gather, f"id {kind}, y double, draw long, chunks binary").groupBy("id", "y")
+    found = chosen.agg(F.min_by("chunks", F.struct("draw", "chunks")).alias("chunks")).collect()
     found.sort(key=lambda r: (r["id"], r["chunks"]))
     y = np.array([r["y"] for r in found], np.float32)
     if not len(y) or y.min() == y.max():

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from brookmill.llm.rows import rows_where
 from brookmill.llm.tallies import tally
-from brookmill.llm.windows import _BYTE_HASH, Sums, mix, pack, slices, texts_of, unpack, words_of
+from brookmill.llm.windows import Sums, mix, pack, slices, texts_of, unpack, word_symbols, words_of
 from brookmill.scratch import cut
 
 #: Letters A-Z in lower case; ASCII other than letters and digits separates words.
@@ -34,7 +34,7 @@ def words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of concatenated texts, and the edges of the texts in words."""
     data = _FOLD[data]
     starts, ends, word_edges = words_of(data, edges)
-    return mix(Sums(_BYTE_HASH[data]).ranges(starts, ends)) | np.uint64(1), word_edges
+    return word_symbols(data, starts, ends), word_edges
 
 
 def grams(found: np.ndarray, edges: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,6 +211,6 @@ def contaminated(
 
 
 def without_contaminated(df: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **parameters) -> DataFrame:
-    """The rows of ``df`` that :func:`contaminated` does not mark, with all columns."""
+    """The rows of ``df`` that :func:`contaminated` does not mark, with all columns, which may have any names."""
     marked = contaminated(df, benchmark, text, key, **parameters).filter("contaminated")
     return rows_where(df, marked, key, F.xxhash64(text), F.col("text_mark"), "left_anti")

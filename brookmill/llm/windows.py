@@ -75,8 +75,72 @@ class _Powers:
 _POWERS = _Powers()
 
 
+#: The modulus of content hashes, a Mersenne prime.
+_P = 2**61 - 1
+_PRIME, _HALF, _REST = np.uint64(_P), np.uint64(2**31 - 1), np.uint64(2**30 - 1)
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo 2**61 - 1."""
+    x = (x & _PRIME) + (x >> np.uint64(61))
+    return np.minimum(x, x - _PRIME)  # the difference wraps around to a large number where x is smaller
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2**61 - 1 of numbers below it."""
+    a1, a0, b1, b0 = a >> np.uint64(31), a & _HALF, b >> np.uint64(31), b & _HALF
+    middle = a1 * b0 + a0 * b1
+    return _fold((a1 * b1 << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & _REST) << np.uint64(31)) + a0 * b0)
+
+
+class _PrimePowers:
+    """Powers of a base and of its inverse modulo 2**61 - 1."""
+
+    def __init__(self) -> None:
+        self.base = int(np.random.default_rng(20240301).integers(2**40, _P - 1))
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            for name, base in (("up", self.base), ("down", pow(self.base, -1, _P))):
+                known = getattr(self, name)
+                setattr(self, name, np.concatenate([known, _times(known, np.full(len(known), pow(base, len(known), _P), np.uint64))]))
+        return self.up[:n], self.down[:n]
+
+
+_PRIME_POWERS = _PrimePowers()
+
+
+class Content:
+    """Hashes of ranges of any length of a symbol array, modulo 2**61 - 1.
+
+    Symbols are 1 to 2**61 - 2. Modulo a prime, unequal ranges of n symbols have
+    equal hashes for n bases of 2**61 at most; modulo a power of two some do for
+    every base (:class:`Sums`).
+    """
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        up, self.down = _PRIME_POWERS.get(len(symbols) + 1)
+        up = up[:-1]
+        if len(symbols) and int(symbols.max()) * len(symbols) < 2**33:
+            low, high = symbols * (up & _HALF), symbols * (up >> np.uint64(31))
+        else:
+            terms = _times(symbols, up)
+            low, high = terms & _HALF, terms >> np.uint64(31)
+        self.low, self.high = (np.append(np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)) for x in (low, high))
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        low, high = _fold(self.low[end] - self.low[start]), _fold(self.high[end] - self.high[start])
+        high = ((high & _REST) << np.uint64(31)) + (high >> np.uint64(30))
+        return _times(_fold(low + high), self.down[start])
+
+
 class Sums:
-    """Hashes of any range of a symbol array, from running sums modulo 2**64."""
+    """Keys of short ranges of a symbol array, from running sums modulo 2**64.
+
+    Quick, but long ranges with equal sums can be made for any base; what must
+    not mistake one content for another takes :class:`Content`.
+    """
 
     def __init__(self, symbols: np.ndarray) -> None:
         up, self.down = _POWERS.get(len(symbols) + 1)
@@ -119,6 +183,11 @@ def words_of(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, edges)
 
 
+def word_symbols(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Odd 64-bit hashes of the words between ``starts`` and ``ends``."""
+    return mix(Content(data.astype(np.uint64) + np.uint64(1)).ranges(starts, ends)) | np.uint64(1)
+
+
 @dataclass(frozen=True)
 class Unit:
     """What a window counts: bytes, or words between white space."""
@@ -132,7 +201,7 @@ class Unit:
         if not self.words:
             return _BYTE_HASH[data], edges
         starts, ends, word_edges = words_of(data, edges)
-        return mix(Sums(_BYTE_HASH[data]).ranges(starts, ends)) | np.uint64(1), word_edges
+        return word_symbols(data, starts, ends), word_edges
 
     def content(self, text: bytes, places: list[tuple[int, int]]) -> list[bytes]:
         """The symbols from each (start, windows), words joined by one space."""
@@ -190,7 +259,8 @@ def segments(unit: Unit, data: np.ndarray, edges: np.ndarray) -> dict[str, np.nd
         starts, ends, text = np.repeat(starts, pieces) + number * MOST_WINDOWS, np.repeat(ends, pieces), np.repeat(text, pieces)
         ends = np.minimum(ends, starts + MOST_WINDOWS)
     runs = ends - starts
-    hashes = mix(sums.ranges(starts, ends + unit.width - 1) + runs.astype(np.uint64))
+    content = Content(_fold((symbols >> np.uint64(3)) | np.uint64(1)) if unit.words else data.astype(np.uint64) + np.uint64(1))
+    hashes = mix(content.ranges(starts, ends + unit.width - 1) + (runs.astype(np.uint64) << np.uint64(61)))
     again = repeats_key(sums.grams(unit.gram), keys, starts, ends)
     return {"key": keys[starts], "hash": hashes, "text": text, "start": starts - edges[text], "n": runs, "again": again}
 
@@ -226,12 +296,12 @@ def unpack(data: bytes) -> bytes:
     return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
 
-#: Bits of ``place``: first window, number of windows, whether the row stays in any case, and the text hash.
-_START, _COUNT, _STAY = 33, 25, 24
+#: Bits of ``place``: first window, number of windows, and whether the row stays in any case.
+_START, _COUNT, _STAY = 9, 1, 0
 
 
 def _deal(unit: Unit):
-    """Arrow function from (doc, mark, text) to segment rows (grp, key, hash, doc, place).
+    """Arrow function from (doc, mark, text) to segment rows (grp, key, hash, doc, mark, place).
 
     ``key`` is set where ``grp`` is not the key itself, on occurrences of a
     content that is frequent in the slice; the first occurrence speaks for them.
@@ -244,7 +314,7 @@ def _deal(unit: Unit):
                 if not len(found["key"]):
                     continue
                 doc, mark = (part.column(i).to_numpy()[found["text"]] for i in (0, 1))
-                order = np.lexsort((found["start"], doc, found["hash"], found["key"]))
+                order = np.lexsort((mark, found["start"], doc, found["hash"], found["key"]))
                 key, content = found["key"][order], found["hash"][order]
                 fresh = np.ones(len(order), bool)
                 fresh[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
@@ -254,11 +324,11 @@ def _deal(unit: Unit):
                 often[order] = np.bincount(group)[group] >= OFTEN
                 extra[order] = ~fresh
                 extra &= often
-                place = found["start"] << _START | found["n"] << _COUNT | (often | found["again"]).astype(np.int64) << _STAY | mark
-                apart = np.where(extra, mix(found["hash"] + mix(doc.astype(np.uint64) + mix(place.astype(np.uint64)))), found["key"])
+                place = found["start"] << _START | found["n"] << _COUNT | (often | found["again"]).astype(np.int64) << _STAY
+                apart = np.where(extra, mix(found["hash"] + mix(doc.astype(np.uint64) + mix(place.astype(np.uint64) + mix(mark.astype(np.uint64))))), found["key"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(apart.view(np.int64)), pa.array(found["key"].view(np.int64), mask=~extra), pa.array(found["hash"].view(np.int64)), pa.array(doc), pa.array(place)],
-                    ["grp", "key", "hash", "doc", "place"],
+                    [pa.array(apart.view(np.int64)), pa.array(found["key"].view(np.int64), mask=~extra), pa.array(found["hash"].view(np.int64)), pa.array(doc), pa.array(mark), pa.array(place)],
+                    ["grp", "key", "hash", "doc", "mark", "place"],
                 )
 
     return cut_texts
@@ -353,7 +423,7 @@ def _runs(index: Index):
 
 
 def packed_texts(df: DataFrame, text: str, key: str) -> DataFrame:
-    """Return (doc, mark, key, packed): the order of a text, 24 bits of its hash, its key and its packed bytes.
+    """Return (doc, mark, key, packed): the order of a text, its hash, its key and its packed bytes.
 
     Rows that repeat key and text share (doc, mark) and are judged alike; the
     mark tells texts of one key apart.
@@ -366,7 +436,7 @@ def packed_texts(df: DataFrame, text: str, key: str) -> DataFrame:
 def _rows(df: DataFrame, text: str, key: str) -> DataFrame:
     return df.select(
         F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("doc"),
-        F.xxhash64(F.col(text)).bitwiseAND(F.lit(2**24 - 1)).alias("mark"),
+        F.xxhash64(F.col(text)).alias("mark"),
         F.col(key).alias("key"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
     )
@@ -380,19 +450,18 @@ def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index,
     covered windows have no row. ``packed`` is :func:`packed_texts`; the caller
     joins the result to it, and Spark moves it once for both.
     """
-    refs = _rows(df, text, key).select("doc", "mark", "text").mapInArrow(_deal(unit), "grp long, key long, hash long, doc long, place long")
-    same_key = Window.partitionBy("grp").orderBy("hash", "doc", "place")
+    refs = _rows(df, text, key).select("doc", "mark", "text").mapInArrow(_deal(unit), "grp long, key long, hash long, doc long, mark long, place long")
+    same_key = Window.partitionBy("grp").orderBy("hash", "doc", "place", "mark")
     marked = refs.withColumn("before", F.lag("hash").over(same_key)).withColumn("after", F.lead("hash").over(same_key))
     extra, stay = F.col("key").isNotNull(), F.col("place").bitwiseAND(F.lit(1 << _STAY)) != 0
     marked = marked.filter(extra | stay | F.col("before").isNotNull() | F.col("after").isNotNull())
     first = ~extra & (F.col("before").isNull() | (F.col("before") != F.col("hash")))
-    shared = cut(marked.select(F.coalesce("key", "grp").alias("key"), "hash", "doc", "place", first.alias("first")), "shared-windows")
+    shared = cut(marked.select(F.coalesce("key", "grp").alias("key"), "hash", "doc", "mark", "place", first.alias("first")), "shared-windows")
 
-    mark = F.col("place").bitwiseAND(F.lit(2**24 - 1)).alias("mark")
     start, n = F.shiftright("place", _START), F.shiftright("place", _COUNT).bitwiseAND(F.lit(0xFF))
     symbols = shared.filter("first").agg(F.sum(n + unit.width)).first()[0] or 0
     shards = max(1, math.ceil(symbols * (8 if unit.words else 1) / SHARD_BYTES))
-    places = shared.filter("first").groupBy("doc", mark).agg(F.collect_list(F.struct("key", "hash", "place")).alias("places"))
+    places = shared.filter("first").groupBy("doc", "mark").agg(F.collect_list(F.struct("key", "hash", "place")).alias("places"))
     # The same left side, columns and join as in without_parts: one exchange of the texts serves both.
     parcels = packed.join(places, ["doc", "mark"], "left").select("doc", "places", "packed", "key").mapInArrow(_fetch(unit, shards), "shard long, parcel binary")
     found = parcels.groupBy("shard").applyInArrow(_runs(index), "key long, hash long, runs array<struct<at:int,n:int,doc:long,start:long>>")
@@ -406,7 +475,7 @@ def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index,
         begin = F.col("from") + run["at"]
         return F.struct(begin.alias("start"), (begin + run["n"] + F.lit(unit.width - 1)).alias("end"))
 
-    met = shared.select("key", "hash", "doc", mark, start.alias("from")).join(found, ["key", "hash"])
+    met = shared.select("key", "hash", "doc", "mark", start.alias("from")).join(found, ["key", "hash"])
     covered = met.select("doc", "mark", F.transform(F.filter("runs", earlier), part).alias("parts")).filter("size(parts) > 0")
     return covered.groupBy("doc", "mark").agg(F.flatten(F.collect_list("parts")).alias("parts"))
 

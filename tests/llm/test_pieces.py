@@ -98,3 +98,13 @@ def test_shared_units_equal_units_encoded_one_by_one(model, monkeypatch):
     monkeypatch.setattr(pieces, "apart", lambda kinds, visits, back, keys, dropout: np.ones(len(back), bool))
     one_by_one, other = pieces.encode_texts(model, texts, keys, 0.1, 5)
     assert (edges == other).all() and (ids == one_by_one).all()
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1])
+def test_units_that_sums_modulo_two_to_64_mistake(spark, dropout):
+    """Units with equal hashes modulo 2**64 keep their own ids."""
+    made = lambda n, a, b: "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+    texts = [made(n, *pair) for n in (1024, 2048, 4096) for pair in ("ab", "ba", "xq", "qx")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = pieces.piece_ids(df, PATH, dropout=dropout, seed=3).collect()
+    assert {r["doc_id"]: bytes(r["decoded"]).decode() for r in rows} == dict(enumerate(texts))

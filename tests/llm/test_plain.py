@@ -77,3 +77,32 @@ def test_exact_dedup_edges(spark, keep):
     whole = exact_dedup.keep_first_copies(df, keep=keep)
     assert whole.columns == df.columns and whole.count() == 8
     assert exact_dedup.content_sort(df.limit(0), keep=keep).count() == 0
+
+
+def test_selected_rows_keep_columns_of_any_name(spark):
+    from brookmill.llm import minhash, tiling
+
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words, 10, "x", 1.5, "a"), (2, words, 11, "y", 2.5, "b"), (3, "other words stand here now and on", 12, None, 3.5, "c"), (3, "other words stand here now and on", 13, None, 3.5, "c")]
+    odd = ["doc_id", "text", "__row_id", "a.b", "row_hash", "back`tick"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, c1 long, c2 string, c3 double, c4 string").toDF(*odd)
+    benchmark = spark.createDataFrame([(5, " ".join(f"b{i}" for i in range(30)))], "item_id long, text string")
+    for done, want in (
+        (exact_dedup.keep_first_copies(df), {1, 3}),
+        (minhash.keep_one_of_each(df), {1, 3}),
+        (tiling.without_contaminated(df, benchmark), {1, 2, 3}),
+    ):
+        got = [tuple(r) for r in done.collect()]
+        assert done.columns == odd and {r[0] for r in got} == want and set(got) <= set(rows)
+    assert len(tiling.without_contaminated(df, benchmark).collect()) == 4
+
+
+def test_ties_of_one_key_go_by_text_then_row_hash(spark):
+    rows = [(1, "aA b", "p"), (1, "Aa b", "q"), (1, "Aa b", "r"), (2, None, "s"), (2, "", "t")]
+    got = set()
+    for parts in (1, 2, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, extra string").repartition(parts)
+        got.add(tuple(sorted(((r[0], r[1], r[2]) for r in exact_dedup.keep_first_copies(df).collect()), key=str)))
+    assert len(got) == 1
+    (only,) = got
+    assert [(r[0], r[1]) for r in only] == [(1, "Aa b"), (2, None)]

@@ -86,3 +86,49 @@ def test_backward_search_counts():
             low, high = index.extend(np.array([symbol]), low, high)
         want = sum((text[i : i + 4] == text[start : start + 4]).all() for i in range(len(text) - 4))
         assert high[0] - low[0] == want
+
+
+def _thue_morse(length, letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(length))
+
+
+@pytest.mark.parametrize("letters", ["ab", "xq", "09"])
+def test_words_that_sums_modulo_two_to_64_mistake(spark, letters):
+    """Such words have equal hashes modulo 2**64 for every base, yet repeat nowhere."""
+    one, two = _thue_morse(1024, letters), _thue_morse(1024, letters[::-1])
+    rows = [(1, " ".join([f"w{i}" for i in range(49)] + [one])), (2, " ".join([f"w{i}" for i in range(49)] + [two])), (3, one * 4), (4, two * 4), (5, one + two)]
+    df = spark.createDataFrame([(k, t, "u", 1, "h") for k, t in rows], SCHEMA)
+    got = substring_dedup.repeated_words(df).selectExpr("doc_id", "n_symbols", "n_removed", "sha2(kept, 256)").collect()
+    assert _sorted(got) == _sorted(brute.substring(rows, 50)) and all(r["n_removed"] == 0 for r in got)
+    got = suffix_dedup.repeated_bytes(df).selectExpr("doc_id", "n_symbols", "n_removed", "size(spans)", "sha2(kept, 256)").collect()
+    assert _sorted(got) == _sorted(brute.suffix(rows, 100))
+
+
+def test_content_hashes_equal_big_integers():
+    rng = np.random.default_rng(9)
+    prime, base = 2**61 - 1, windows._PRIME_POWERS.base
+    for symbols in (rng.integers(1, 257, 3000).astype(np.uint64), rng.integers(1, prime - 1, 700).astype(np.uint64), rng.integers(1, 2**22, 9000).astype(np.uint64)):
+        start = rng.integers(0, len(symbols), 60)
+        end = np.minimum(start + rng.integers(0, len(symbols), 60), len(symbols))
+        want = [sum(int(s) * pow(base, i, prime) for i, s in enumerate(symbols[a:b].tolist())) % prime for a, b in zip(start.tolist(), end.tolist())]
+        assert windows.Content(symbols).ranges(start, end).tolist() == want
+
+
+def test_texts_of_one_key_with_equal_low_hash_bits(spark):
+    """Two texts under one key whose 64-bit hashes share the lower 24 bits, and thousands of rows without a key."""
+    rng = random.Random(11)
+    words = [f"v{i}" for i in range(3000)]
+    shared = " ".join(words[:60])
+    made = [shared + " " + " ".join(rng.choices(words, k=8)) if i % 2 else " ".join(rng.choices(words, k=70)) for i in range(16000)]
+    hashed = spark.createDataFrame([(t,) for t in made], "text string").selectExpr("text", "xxhash64(text) & 16777215 AS low").collect()
+    seen, pair = {}, None
+    for t, low in hashed:
+        other = seen.setdefault(low, t)
+        if other != t and other.startswith(shared) != t.startswith(shared):
+            pair = (other, t)
+    assert pair is not None
+    rows = [(1, shared)] + [(7, t) for t in pair] + [(None, t) for t in made[:5000:5] if t not in pair] + [(None, None)]
+    df = spark.createDataFrame([(k, t, "u", 1, "h") for k, t in rows], SCHEMA)
+    got = substring_dedup.repeated_words(df).selectExpr("doc_id", "n_symbols", "n_removed", "sha2(kept, 256)").collect()
+    assert _sorted(got) == _sorted(brute.substring(rows, 50))
+    assert sorted(r["n_removed"] > 0 for r in got if r["doc_id"] == 7) == [False, True]
