@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,23 +130,3 @@ def drift(base: DataFrame, view: DataFrame, keys: list[str], values: list[str],
     for v in values:
         same = same & F.round(f"base_{v}", digits).eqNullSafe(F.round(f"view_{v}", digits))
     return b.join(w, keys, "full_outer").filter(~same)
-
-
-def consistent_summary(df: DataFrame, keys: list[str], aggregates: dict[str, Column]) -> DataFrame:
-    """A summary declared with the table: aggregates per key, exact."""
-    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
-
-
-def refresh_partitions(
-    folder: tables.Folder, base: DataFrame, keys: list[str], aggregates: dict[str, Column], touched: list[dict[str, Any]]
-) -> None:
-    """Recompute a stored summary for the partitions a write touched, in the same job."""
-    by = list(folder.by)
-    pick = F.lit(False)
-    for p in touched:
-        one = F.lit(True)
-        for c in by:
-            one = one & F.col(c).eqNullSafe(F.lit(p[c]))
-        pick = pick | one
-    fresh = consistent_summary(base.filter(pick), [*keys, *by], aggregates)
-    tables.write_partitioned(fresh.select(*folder.schema.fieldNames()), folder.path, by, "replace_partitions")

@@ -46,7 +46,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 #: Folder name of a missing partition value, as Spark writes it.
-_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def segment(values: dict[str, Any]) -> str:
@@ -55,7 +55,7 @@ def segment(values: dict[str, Any]) -> str:
 
     def text(v: Any) -> str:
         if v is None or v == "":
-            return _NO_VALUE
+            return NO_VALUE
         s = str(v).lower() if isinstance(v, bool) else str(v)
         return "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in s)
 
@@ -154,7 +154,7 @@ def _touched(folder: Folder, condition: Column) -> list[dict[str, Any]]:
     return [r.asDict() for r in found.toLocalIterator()]
 
 
-def _rows_of(folder: Folder, parts: list[dict[str, Any]]) -> DataFrame:
+def rows_of(folder: Folder, parts: list[dict[str, Any]]) -> DataFrame:
     """All rows of the partitions."""
     rows = folder.read()
     if len(parts) <= NAMED:
@@ -170,7 +170,7 @@ def _rows_of(folder: Folder, parts: list[dict[str, Any]]) -> DataFrame:
 def _emptied(folder: Folder, condition: Column, parts: list[dict[str, Any]]) -> list[dict[str, Any]]:
     """Those of ``parts`` in which every row matches."""
     rest = F.count_if(~F.coalesce(condition, F.lit(False)))
-    rows = _rows_of(folder, parts).groupBy(*folder.by).agg(rest.alias("__rest"))
+    rows = rows_of(folder, parts).groupBy(*folder.by).agg(rest.alias("__rest"))
     return [{c: r[c] for c in folder.by} for r in rows.filter("__rest = 0").toLocalIterator()]
 
 
@@ -199,7 +199,7 @@ def update_where(folder: Folder, condition: Column, changes: dict[str, Column])
         return 0
     hit = F.coalesce(condition, F.lit(False))
     kinds = {f.name: f.dataType for f in folder.schema}
-    rows = _rows_of(folder, parts)
+    rows = rows_of(folder, parts)
     changed = rows.select(
         *[
             F.when(hit, changes[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in changes else F.col(c)
@@ -223,7 +223,7 @@ def delete_where(folder: Folder, condition: Column) -> int:
     gone = {tuple(p.values()) for p in empty}
     partly = [p for p in parts if tuple(p[c] for c in folder.by) not in gone]
     if partly:
-        kept = _rows_of(folder, partly).filter(~F.coalesce(condition, F.lit(False)))
+        kept = rows_of(folder, partly).filter(~F.coalesce(condition, F.lit(False)))
         write_partitioned(kept, folder.path, list(folder.by), "replace_partitions")
     for p in empty:
         drop_partition(folder, p)
@@ -271,7 +271,7 @@ def partition_names(folder: Folder) -> list[dict[str, str | None]]:
             for status in fs.listStatus(p) if fs.exists(p) else []:
                 name, _, text = status.getPath().getName().partition("=")
                 if status.isDirectory() and name == column:
-                    deeper.append({**values, column: None if text == _NO_VALUE else unquote(text)})
+                    deeper.append({**values, column: None if text == NO_VALUE else unquote(text)})
         found = deeper
     return found
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from brookmill.functions.types import round_to
 from brookmill.operators import rollups as R
 from brookmill.operators import tables as W
+from brookmill.operators.projections import Projection
 from brookmill.operators.prefix import exact_quantiles
 from brookmill.operators.sketches import read_stat_states, stat_states
 from brookmill.plans.registry import query
@@ -223,35 +224,57 @@ def rollup_rebuilt(t):
     return _final(rollup.read())
 
 
+def _projected(t):
+    """Stored sales and totals per product kept beside them."""
+    base = W.Folder(t.spark, new_path(t.spark, "sales"), SALE_SCHEMA, ("month",))
+    W.append(base, sales(t))
+    measures = {"total_quantity": ("sum", F.col("quantity")), "total_sales": ("sum", _amount()), "sales_count": ("count", F.lit(1)), "highest": ("max", _amount())}
+    kept = Projection(base, new_path(t.spark, "sales-projection"), ["product_id"], measures)
+    kept.refresh()
+    return base, kept
+
+
+def _projected_final(df):
+    return df.select("product_id", "total_quantity", round_to("total_sales", 2).alias("total_sales"), "sales_count", round_to("highest", 2).alias("highest"))
+
+
+def _projected_sql(rows: str) -> str:
+    return f"""
+WITH {SALES}, changed AS ({rows})
+SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, round_to(sum(quantity * price), 2) AS total_sales,
+       count(*) AS sales_count, round_to(max(quantity * price), 2) AS highest FROM changed GROUP BY 1"""
+
+
 @query(
     "summary_follows_base",
     "MV-08",
     _DRIFTED + " SELECT product_id, q AS total_quantity, s AS total_sales FROM b",
 )
 def summary_follows_base(t):
-    """A summary refreshed by the same job that changes the base."""
-    base = W.Folder(t.spark, new_path(t.spark, "sales"), SALE_SCHEMA, ("month",))
-    W.append(base, sales(t))
-    aggregates = {
-        "total_quantity": F.sum("quantity"),
-        "total_sales": F.sum(_amount()),
-    }
-    schema = T.StructType(
-        [
-            T.StructField("product_id", T.LongType()),
-            T.StructField("total_quantity", T.LongType()),
-            T.StructField("total_sales", T.DoubleType()),
-            T.StructField("month", T.IntegerType()),
-        ]
-    )
-    summary = W.Folder(t.spark, new_path(t.spark, "sales-summary"), schema, ("month",))
-    W.append(summary, R.consistent_summary(base.read(), ["product_id", "month"], aggregates))
+    """The base changes in one month; nobody tells the projection, and its next read agrees."""
+    base, kept = _projected(t)
     W.update_where(base, F.col("month") == 199705, {"price": F.col("price") * 2})
-    R.refresh_partitions(summary, base.read(), ["product_id"], aggregates, [{"month": 199705}])
-    merged = summary.read().groupBy("product_id").agg(
-        F.sum("total_quantity").alias("total_quantity"), F.sum("total_sales").alias("total_sales")
-    )
-    return _final(merged)
+    return _final(kept.read())
+
+
+@query("projection_after_delete", "MV-08", _projected_sql("SELECT * FROM sales WHERE NOT coalesce(month = 199603 OR quantity > 45, FALSE)"))
+def projection_after_delete(t):
+    """One month goes as a whole and some rows of all others."""
+    base, kept = _projected(t)
+    W.delete_where(base, (F.col("month") == 199603) | (F.col("quantity") > 45))
+    return _projected_final(kept.read())
+
+
+@query("projection_after_append", "MV-08", _projected_sql("SELECT * FROM sales UNION ALL SELECT id, product_id + 1, quantity, price, 199705 FROM sales WHERE month = 199704"))
+def projection_after_append(t):
+    """Rows come in after the projection was stored; it is refreshed, and a second refresh finds nothing to do."""
+    base, kept = _projected(t)
+    more = sales(t).filter("month = 199704").withColumn("product_id", F.col("product_id") + 1).withColumn("month", F.lit(199705))
+    W.append(base, more)
+    kept.refresh()
+    if kept.refresh():
+        raise RuntimeError("partitions changed without a write")
+    return _projected_final(kept.read())
 
 
 @query(

@@ -14,7 +14,7 @@ from brookmill.plans.views import CASES, EVENT_K, cases, event_k
 from brookmill.scratch import new_path
 from brookmill.sources import files as S
 from brookmill.sources.generate import numbers, values
-from brookmill.sources.jdbc import append_jdbc
+from brookmill.sources.external import append_external, read_external
 from brookmill.sources.tables import union_matching
 from brookmill.sources.topics import message_key, to_messages
 
@@ -304,10 +304,13 @@ def sink_table_as_select(t):
 
 @query("sink_external_append", "SK-08", "SELECT o_orderkey, o_totalprice FROM orders")
 def sink_external_append(t):
+    """Two commits to an external table, each of them once, and the table read back."""
     path = new_path(t.spark, "external")
     rows = t.orders.select("o_orderkey", "o_totalprice")
-    append_jdbc(rows, "jdbc:example", "orders", writer=lambda url, table, mode, properties: rows.write.mode(mode).parquet(path))
-    return t.spark.read.schema(rows.schema).parquet(path)
+    odd = F.coalesce(F.col("o_orderkey") % 2 == 1, F.lit(False))
+    append_external(rows.filter(odd), path, "orders")
+    append_external(rows.filter(~odd), path, "orders")
+    return read_external(t.spark, path, "orders")
 
 
 @query("sink_json_rows", "SK-10", "SELECT c_custkey, c_name, c_acctbal FROM customer")

@@ -15,20 +15,26 @@ from brookmill.operators.tables import create_as
 from brookmill.plans.registry import query
 from brookmill.plans.views import VIDEOS, videos
 from brookmill.scratch import new_path
-from brookmill.sources.jdbc import Database, read_jdbc
+from brookmill.sources.external import Store, append_external, read_external
 
 
-def _external(t) -> Database:
-    """Stand-in for an external database: the reader serves the shared tables."""
-    tables = {
-        "videos": lambda: videos(t),
-        "categories": lambda: t.customer.select(
+_STORES: dict[tuple[str, str], Store] = {}
+
+
+def _external(t) -> Store:
+    """An external store that holds the shared tables; filled once per session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _STORES:
+        path = new_path(t.spark, "external-store")
+        categories = t.customer.select(
             F.col("c_custkey").alias("uploader_id"),
             F.col("c_mktsegment").alias("main_category"),
             F.col("c_nationkey").alias("country"),
-        ),
-    }
-    return Database(t.spark, "jdbc:example", reader=lambda url, table, **_: tables[table]())
+        )
+        append_external(videos(t), path, "videos")
+        append_external(categories, path, "categories")
+        _STORES[key] = Store(t.spark, path, taskBytes=8 << 20)
+    return _STORES[key]
 
 
 #: Fixed value: the view count of the filtered report.
@@ -308,7 +314,7 @@ SELECT 'function' AS method, records FROM n UNION ALL SELECT 'table', records FR
 UNION ALL SELECT 'database', records FROM n""",
 )
 def ext_three_ways(t):
-    by_function = read_jdbc(t.spark, "jdbc:example", "videos", reader=lambda **_: videos(t))
+    by_function = read_external(t.spark, _external(t).path, "videos")
     by_function.createOrReplaceTempView("videos_by_name")
     ways = {"function": by_function, "table": t.spark.table("videos_by_name"), "database": _external(t).table("videos")}
     out = None

@@ -21,6 +21,10 @@ SETTINGS = {
     # Stream state on disk and not in the heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Batches for Python functions end at so many bytes, whatever their rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
+    # Filters reach data sources written in Python.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
