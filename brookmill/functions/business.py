@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -70,26 +69,6 @@ def classify_transaction(
     )
 
 
-def classify_transaction_batch(
-    price: Column | str, quantity: Column | str, product_id: Column | str, user_id: Column | str
-) -> Column:
-    """The same rules over Arrow batches, for callers that extend them in Python.
-
-    The function is made here and travels by value, so executors need not have
-    this package installed.
-    """
-
-    def classify(price: pd.Series, quantity: pd.Series, product_id: pd.Series, user_id: pd.Series) -> pd.Series:
-        out = pd.Series(REGULAR, index=price.index, dtype="object")
-        out[user_id <= FREQUENT_UPTO] = FREQUENT
-        out[product_id > RARE_FROM] = RARE
-        out[price * quantity > LARGE_SUM] = LARGE
-        out[price.isna() | quantity.isna() | product_id.isna() | user_id.isna()] = None
-        return out
-
-    return F.pandas_udf(classify, StringType())(price, quantity, product_id, user_id)
-
-
 def detect_fraud(price: Column | str, product_id: Column | str, date: Column | str) -> Column:
     """High price, rare product and a weekend day together."""
     price, product_id, date = map(as_col, (price, product_id, date))

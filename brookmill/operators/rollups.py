@@ -82,7 +82,10 @@ class Rollup:
         self.add_batch(base.filter(before), batch_id)
 
     def _current(self, periods: list[int] | None = None) -> DataFrame:
-        """The state rows that count."""
+        """The state rows that count. Without any version these are the batches: one look at the folder, no join."""
+        if not tables.exists(self.spark, f"{self.path}/taken"):
+            batches = self._read("batches", T.StructField("batch_id", T.StringType())).drop("batch_id")
+            return batches if periods is None else batches.filter(F.col(self.period).isin(periods))
         merged = self._read("merged", T.StructField("version", T.IntegerType()))
         batches = self._read("batches", T.StructField("batch_id", T.StringType()))
         if periods is not None:

@@ -158,7 +158,7 @@ def rows_of(folder: Folder, parts: list[dict[str, Any]]) -> DataFrame:
     """All rows of the partitions."""
     rows = folder.read()
     if len(parts) <= NAMED:
-        return rows.filter(_in_partitions(folder, parts))
+        return rows.filter(in_partitions(folder, parts))
     kinds = T.StructType([f for f in folder.schema if f.name in folder.by])
     names = folder.spark.createDataFrame([tuple(p[f.name] for f in kinds) for p in parts], kinds)
     same = F.lit(True)
@@ -174,7 +174,7 @@ def _emptied(folder: Folder, condition: Column, parts: list[dict[str, Any]]) ->
     return [{c: r[c] for c in folder.by} for r in rows.filter("__rest = 0").toLocalIterator()]
 
 
-def _in_partitions(folder: Folder, parts: list[dict[str, Any]]) -> Column:
+def in_partitions(folder: Folder, parts: list[dict[str, Any]]) -> Column:
     """Predicate on partition columns, so only these folders are listed and read."""
     if len(folder.by) == 1:
         c = folder.by[0]
@@ -304,6 +304,17 @@ def expire(folder: Folder, ts: str, days: int, as_of: dt.datetime, day_number: s
     return dropped + delete_where(folder, (F.col(day_number) == last) & old)
 
 
+def move_into(spark: SparkSession, source: str, target: str) -> int:
+    """Move the data files of a folder into another one of the same store, times unchanged; returns how many."""
+    fs, p = _fs(spark, source)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    files = [f.getPath() for f in fs.listStatus(p) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    for f in files:
+        if not fs.rename(f, make(f"{target}/{f.getName()}")):
+            raise OSError(f"{f} cannot be moved")
+    return len(files)
+
+
 # ---- schema changes ---------------------------------------------------------
 
 

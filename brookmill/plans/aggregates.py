@@ -11,7 +11,7 @@ from brookmill.functions.dates import yyyymm
 from brookmill.functions.types import hundredths, int_div, ratio, round_to
 from brookmill.operators.aggregates import coverage
 from brookmill.operators.prefix import exact_quantiles
-from brookmill.operators.sketches import distinct_state, quantile_state
+from brookmill.operators.sketches import count_bitmaps, distinct_bitmaps, distinct_state, quantile_state
 from brookmill.plans.registry import query
 from brookmill.plans.views import SALES, VIDEOS, sales, videos
 
@@ -330,6 +330,27 @@ def agg_uniq_states(t):
     return merged_ids(t).select("product_id", "ids", _close("approx_ids", "ids", 0.03).alias("close"))
 
 
+@query(
+    "agg_uniq_bitmaps",
+    "AG-22 AG-25",
+    f"WITH {SALES} SELECT month // 100 AS year, count(DISTINCT product_id) AS products FROM sales WHERE month IS NOT NULL GROUP BY 1",
+)
+def agg_uniq_bitmaps(t):
+    """Exact distinct counts per year from bitmaps per month: merging them takes no second look at the rows."""
+    states = distinct_bitmaps(sales(t).filter("month IS NOT NULL"), ["month"], "product_id")
+    by_year = states.withColumn("year", F.expr("month DIV 100").cast("int"))
+    return count_bitmaps(by_year, ["year"], "products")
+
+
+@query("agg_uniq_sketch_values", "AG-04 AG-22 AG-25")
+def agg_uniq_sketch_values(t):
+    """The approximate counts themselves, from one pass and from merged sketches, next to the exact ones."""
+    once = distinct_parts(t).select("l_returnflag", "approx_parts", "parts")
+    months = t.lineitem.withColumn("month", yyyymm("l_shipdate")).groupBy("l_returnflag", "month").agg(distinct_state("l_partkey").alias("part_uniq"))
+    merged = months.groupBy("l_returnflag").agg(F.hll_sketch_estimate(F.hll_union_agg("part_uniq")).alias("merged_parts"))
+    return once.join(merged, "l_returnflag")
+
+
 def merged_price_quantiles(t):
     """Quantile sketches per month merged per flag."""
     states = (

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from brookmill.functions.hashing import stable_sql
 from brookmill.functions.dates import in_range, yyyymmdd
+from brookmill.operators import positions as M
 from brookmill.operators import tables as W
 from brookmill.plans.registry import query
 from brookmill.plans.views import AS_OF
@@ -236,3 +237,39 @@ def shard_skew(t):
 )
 def shard_total(t):
     return shard_skew(t).agg(F.sum("records").alias("records"), F.sum("keys").alias("keys"))
+
+
+def _marked(t) -> M.MarkedFolder:
+    folder = M.MarkedFolder(t.spark, new_path(t.spark, "activity-marked"), SCHEMA, ("day",))
+    W.append(folder, _rows(t))
+    return folder
+
+
+@query(
+    "activity_marked_delete",
+    "MU-03",
+    f"WITH {_ACTIVITY} SELECT * FROM activity WHERE NOT coalesce(({_TEN_DAYS} AND value < 50) OR event_id % 97 = 5, FALSE)",
+)
+def activity_marked_delete(t):
+    """Two deletes note places of rows; no data file is written."""
+    folder = _marked(t)
+    M.delete_rows(folder, _ten_days() & (F.col("value") < 50))
+    M.delete_rows(folder, F.col("event_id") % 97 == 5)
+    return folder.read()
+
+
+@query(
+    "activity_marked_update",
+    "MU-02",
+    f"""
+WITH {_ACTIVITY}
+SELECT * REPLACE (CASE WHEN {_TEN_DAYS} AND activity_type = 'view' THEN value * 2 ELSE value END AS value) FROM activity
+WHERE NOT coalesce(event_id % 101 = 7, FALSE)""",
+)
+def activity_marked_update(t):
+    """Changed rows are written anew and their old places noted; a delete after it and a compaction change nothing else."""
+    folder = _marked(t)
+    M.update_rows(folder, _ten_days() & (F.col("activity_type") == "view"), {"value": F.col("value") * 2})
+    M.delete_rows(folder, F.col("event_id") % 101 == 7)
+    M.compact(folder)
+    return folder.read()

@@ -571,9 +571,10 @@ def udf_classify(t):
 
 @query("udf_classify_batch", "UD-05", _CLASSIFY_SQL)
 def udf_classify_batch(t):
-    return _purchases(t).withColumn(
-        "transaction_category", B.classify_transaction_batch("price", "quantity", "product_id", "user_id")
-    )
+    """All rows through the function as ``spark.sql`` callers name it; its body is inlined."""
+    B.register_sql_functions(t.spark)
+    called = "classify_transaction(CAST(price AS DOUBLE), CAST(quantity AS DOUBLE), product_id, user_id) AS transaction_category"
+    return _purchases(t).selectExpr("*", called)
 
 
 _FRAUD_SQL = f"""

@@ -216,6 +216,36 @@ def dict_lookup(t):
     return found.select("event_id", "email")
 
 
+@query(
+    "dict_lookup_hot",
+    "J09",
+    f"""
+WITH {_EMAILS}
+SELECT event_id, coalesce(email, '') AS email
+FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7 WHEN event_id % 3 = 1 AND event_id % 4 = 0 THEN NULL ELSE user_id END AS k FROM events) e
+LEFT JOIN emails d ON k = d.user_id""",
+)
+def dict_lookup_hot(t):
+    """A third of the events belong to one user; frequent keys are joined apart from the others."""
+    key = F.when(F.col("event_id") % 3 == 0, 7).when((F.col("event_id") % 3 == 1) & (F.col("event_id") % 4 == 0), None).otherwise(F.col("user_id"))
+    found = lookup(t.events.select("event_id", key.cast("long").alias("k")), _emails(t), "k", "user_id", {"email": ""}, hot=0.05)
+    return found.select("event_id", "email")
+
+
+@query(
+    "star_hot",
+    "J08",
+    """
+SELECT l_orderkey, l_linenumber, p_name, s_name FROM (SELECT *, CASE WHEN l_linenumber = 1 THEN 1 ELSE l_suppkey END AS k FROM lineitem)
+JOIN part ON l_partkey = p_partkey JOIN supplier ON k = s_suppkey""",
+)
+def star_hot(t):
+    """A star in which one supplier holds a large share of the fact rows."""
+    fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_linenumber") == 1, F.lit(1)).otherwise(F.col("l_suppkey")).cast("long").alias("k"))
+    wide = star(fact, (t.part.select("p_partkey", "p_name"), "l_partkey", "p_partkey"), (t.supplier.select("s_suppkey", "s_name"), "k", "s_suppkey"), hot=0.02)
+    return wide.select("l_orderkey", "l_linenumber", "p_name", "s_name")
+
+
 @query(
     "q_dict_running_sum",
     "J09 WN-01",

@@ -58,6 +58,34 @@ def scan_folder_tables(t):
     return shown[0].unionByName(shown[1])
 
 
+@query("scan_late_files", "SC-16", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def scan_late_files(t):
+    """Files are taken two at a time by a ledger. Some arrive late with an older time than files taken before; they are
+    taken too, and a run that failed is repeated with its files."""
+    folder, late, out = (new_path(t.spark, name) for name in ("arrivals", "late-arrivals", "arrived"))
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    behind = F.coalesce(F.col("o_orderkey") % 3 == 0, F.lit(False))
+    S.write_csv(rows.filter(behind).repartition(2), late)
+    S.write_csv(rows.filter(~behind).repartition(3), folder)
+    ledger = S.FileLedger(t.spark, new_path(t.spark, "ledger"))
+
+    def load(run: str):
+        return lambda paths: S.read_csv(t.spark, paths, rows.schema).write.mode("overwrite").parquet(f"{out}/run={run}")
+
+    def fail(paths):
+        raise OSError("the first attempt fails")
+
+    try:
+        ledger.take("0", folder, ".csv", fail, limit=2)
+    except OSError:
+        ledger.take("0", folder, ".csv", load("0"), limit=2)
+    W.move_into(t.spark, late, folder)
+    run = 1
+    while ledger.take(str(run), folder, ".csv", load(str(run)), limit=2):
+        run += 1
+    return t.spark.read.schema(rows.schema).parquet(out).select(*rows.columns)
+
+
 @query("scan_new_files", "SC-16", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def scan_new_files(t):
     """Files are taken two at a time by the mark (time, path) until none is left; every row comes once."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from brookmill.functions.hashing import stable_sql
@@ -21,11 +22,13 @@ from brookmill.operators.joins import lookup
 from brookmill.plans.logs import ALERT_NOW, ALERTS_SQL
 from brookmill.plans.registry import query
 from brookmill.plans.views import CASES, EVENT_K, LOGS, event_k, logs
-from brookmill.scratch import new_path
+from brookmill.scratch import cut, new_path
 from brookmill.sources import topics as K
 from brookmill.streaming import dedup, ingest, marks
 from brookmill.streaming import typing as Ty
 from brookmill.streaming.alerts import threshold_alerts
+from brookmill.streaming.hours import HourlySums
+from brookmill.streaming.pinned import PinnedDictionary
 
 BODY = T.StructType(
     [
@@ -54,10 +57,10 @@ def _body(t):
 
 
 def _topic(t, broken: bool = False) -> str:
-    """Folder of topic rows, one message per event. With ``broken`` the 'error' messages are cut short."""
+    """Folder of topic rows, one message per event. With ``broken`` the first 'error' messages are cut short."""
     body = F.to_json(F.struct(*[f.name for f in BODY]))
     if broken:
-        body = F.when(F.col("event_type") == "error", F.substring(body, 1, 30)).otherwise(body)
+        body = F.when((F.col("event_type") == "error") & (F.col("event_id") < 1000), F.substring(body, 1, 30)).otherwise(body)
     messages = _body(t).select(K.message_key("location_key", "date").alias("key"), body.alias("value"), "ts", "event_id")
     path = new_path(t.spark, "topic")
     K.as_topic_rows(messages, F.col("ts"), F.col("event_id")).write.parquet(path)
@@ -102,37 +105,42 @@ def stream_typed_table(t):
     return _shown(t.spark.read.schema(typed.schema).parquet(path).select(*typed.columns))
 
 
+#: Fixed value: broken messages that one batch may hold.
+MOST_BROKEN = 1000
+
+
 @query(
     "stream_broken_messages",
     "ST-03",
     """
-SELECT 'good' AS part, count(*) AS n, TRUE AS refused_below FROM events WHERE event_type IS NULL OR event_type <> 'error'
-UNION ALL SELECT 'broken', count(*), TRUE FROM events WHERE event_type = 'error'""",
+SELECT 'good' AS part, count(*) AS n, TRUE AS refused_above FROM events WHERE NOT coalesce(event_type = 'error' AND event_id < 1000, FALSE)
+UNION ALL SELECT 'broken', count(*), TRUE FROM events WHERE event_type = 'error' AND event_id < 1000""",
 )
 def stream_broken_messages(t):
-    """Good rows go to the table, broken messages to a side table. A batch with more broken messages than the limit
-    fails; that it does is shown with a limit below what comes."""
+    """Good rows go to the table, broken messages to a side table, up to a fixed number in a batch. Of a second topic, with
+    one broken message more than that, the batch fails and nothing is stored."""
     good_path, bad_path = new_path(t.spark, "good"), new_path(t.spark, "broken")
-    path = _topic(t, broken=True)
-    topic = t.spark.read.schema(K.TOPIC_SCHEMA).parquet(path)
-    broken = Ty.split_corrupt(K.decode(topic, BODY))[1].count()
-    try:
-        Ty.require_few_corrupt(K.decode(topic, BODY), broken - 1)
-        refused = False
-    except ValueError:
-        refused = True
 
     def split(df, batch):
         decoded = K.decode(df, BODY)
-        Ty.require_few_corrupt(decoded, broken)
+        Ty.require_few_corrupt(decoded, MOST_BROKEN)
         good, bad = Ty.split_corrupt(decoded)
         for part, path in ((good, good_path), (bad, bad_path)):
             part.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    ingest.run_available(_stream(t, path), new_path(t.spark, "cp"), split)
+    worse = t.spark.read.schema(K.TOPIC_SCHEMA).parquet(_topic(t)).limit(1)
+    worse = worse.withColumn("value", F.lit("{")).withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(MOST_BROKEN)).cast("array<bigint>")))
+    worse_path = new_path(t.spark, "worse-topic")
+    worse.write.parquet(worse_path)
+    try:
+        ingest.run_available(_stream(t, worse_path), new_path(t.spark, "cp"), split)
+        refused = False
+    except StreamingQueryException:
+        refused = not W.exists(t.spark, good_path) and not W.exists(t.spark, bad_path)
+    ingest.run_available(_stream(t, _topic(t, broken=True)), new_path(t.spark, "cp"), split)
     out = None
     for name, path in (("good", good_path), ("broken", bad_path)):
-        one = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n", F.lit(refused).alias("refused_below"))
+        one = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n", F.lit(refused).alias("refused_above"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -158,6 +166,35 @@ def stream_manual_batch(t):
     return _shown(audited.drop("kafka_partition"))
 
 
+@query(
+    "topic_offset_batches",
+    "SC-15 ST-11",
+    """
+SELECT event_id, CASE WHEN event_id < h.half THEN 1 ELSE 2 END AS batch, TRUE AS same_again
+FROM events, (SELECT CAST(floor((min(event_id) + max(event_id)) / 2) AS BIGINT) AS half FROM events) h""",
+)
+def topic_offset_batches(t):
+    """Two batches by stored offset ranges. The first is planned while half of the topic is there, and read again after
+    the rest has come: it gives the rows it gave before."""
+    whole = t.spark.read.schema(K.TOPIC_SCHEMA).parquet(_topic(t))
+    ends = whole.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    half, path = ((ends["lo"] or 0) + (ends["hi"] or 0)) // 2, new_path(t.spark, "growing-topic")
+    topic = lambda: t.spark.read.schema(K.TOPIC_SCHEMA).parquet(path)
+    log = new_path(t.spark, "offset-ranges")
+    whole.filter(F.col("offset") < half).write.parquet(path)
+    early = K.OffsetBatches(topic(), log)
+    early.plan(1)
+    before = cut(early.read(1).select("offset"), "first-read")
+    whole.filter(F.col("offset") >= half).write.mode("append").parquet(path)
+    batches = K.OffsetBatches(topic(), log)
+    batches.plan(1)
+    batches.plan(2)
+    again = batches.read(1).select("offset")
+    same = before.exceptAll(again).isEmpty() and again.exceptAll(before).isEmpty()
+    both = [K.decode(batches.read(b), BODY).select("event_id", F.lit(b).alias("batch"), F.lit(same).alias("same_again")) for b in (1, 2)]
+    return both[0].unionByName(both[1])
+
+
 @query("stream_incremental_files", "SC-16", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_incremental_files(t):
     """Files found in rounds of two, oldest first, until none is new."""
@@ -184,6 +221,17 @@ def load_by_mark(t):
     return t.spark.read.schema(rows.schema).parquet(out).select(*rows.columns)
 
 
+@query("load_by_plan", "ST-05 ST-06", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate IS NOT NULL")
+def load_by_plan(t):
+    """The ends of all steps are found at once; every step reads its own range."""
+    rows = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    out, plan = new_path(t.spark, "loaded"), new_path(t.spark, "load-plan")
+    size = math.ceil(rows.count() / 5)
+    for step in range(marks.plan_steps(rows, "o_orderdate", plan, size)):
+        marks.load_planned(rows, "o_orderdate", out, plan, step)
+    return t.spark.read.schema(rows.schema).parquet(out).select(*rows.columns)
+
+
 @query("load_by_manual_mark", "ST-05", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '2000-06-30'")
 def load_by_manual_mark(t):
     rows = t.orders.select("o_orderkey", "o_orderdate")
@@ -341,6 +389,72 @@ def stream_hourly(t):
     return stored.select("hour", "event_type", "n", round_to("total", 2).alias("total"))
 
 
+_HELD_BACK = "event_id % 50 = 0"
+_HOURS_SQL = f"""
+WITH first AS (SELECT max(ts) AS newest FROM events WHERE NOT coalesce({_HELD_BACK}, FALSE)), marked AS (
+  SELECT e.*, date_trunc('hour', ts) AS hour,
+         coalesce({_HELD_BACK}, FALSE) AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= first.newest - INTERVAL 1 HOUR AS late
+  FROM events e, first)"""
+
+
+def _hours_with_late_rows(t):
+    """Events in three micro-batches: the earlier half, the later half, and some that were held back."""
+    half = t.events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5).alias("m")).first()["m"] or 0
+    held = F.coalesce(F.expr(_HELD_BACK), F.lit(False))
+    early = F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")) <= half, F.lit(True))
+    rows, path = t.events.select("event_id", "event_type", "ts", "value"), new_path(t.spark, "arrivals")
+    for part in (rows.filter(~held & early), rows.filter(~held & ~early), rows.filter(held)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    hours = HourlySums(t.spark, new_path(t.spark, "hours"), "ts", ["event_type"], {"total": F.col("value")})
+    ingest.run_available(stream, new_path(t.spark, "cp"), hours.add)
+    return hours
+
+
+@query(
+    "stream_hourly_on_time",
+    "ST-17",
+    f"""{_HOURS_SQL}
+SELECT hour, event_type, count(*) AS n, round_to(sum(value), 2) AS total FROM marked
+WHERE NOT late AND hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2""",
+)
+def stream_hourly_on_time(t):
+    """Closed hours of several micro-batches, without the rows that came after their hour was closed."""
+    hours = _hours_with_late_rows(t).closed_hours()
+    return hours.select("hour", "event_type", "n", round_to("total", 2).alias("total"))
+
+
+@query("stream_hourly_late", "ST-17", f"{_HOURS_SQL} SELECT event_id, ts, value FROM marked WHERE late")
+def stream_hourly_late(t):
+    """The rows that came too late are kept aside."""
+    return _hours_with_late_rows(t).late_rows().select("event_id", "ts", "value")
+
+
+@query(
+    "stream_enriched_pinned",
+    "ST-18",
+    """
+SELECT event_id, coalesce(c_mktsegment, '') AS c_mktsegment FROM events LEFT JOIN
+  (SELECT * FROM customer WHERE c_acctbal > 0) c ON user_id = c_custkey""",
+)
+def stream_enriched_pinned(t):
+    """The dictionary changes after the stream has run; a replay of its batches gives the rows it gave before."""
+    kept = t.customer.filter("c_acctbal > 0").select(F.concat(F.lit("L"), F.col("c_custkey").cast("string")).alias("k"), "c_mktsegment")
+    now = {"dictionary": kept}
+    pinned = PinnedDictionary(t.spark, new_path(t.spark, "pinned"), lambda: now["dictionary"], least=0, most=0)
+    topic = _topic(t)
+
+    def enrich(df, d):
+        rows = K.decode(df, BODY).select("event_id", "location_key")
+        return lookup(rows, d, "location_key", "k", {"c_mktsegment": ""}).select("event_id", "c_mktsegment")
+
+    out = new_path(t.spark, "enriched")
+    for _ in range(2):  # a new checkpoint runs the same batches again
+        ingest.run_available(_stream(t, topic), new_path(t.spark, "cp"), ingest.batch_writer(out, transform=pinned.enriching(enrich)))
+        now["dictionary"] = kept.withColumn("c_mktsegment", F.lit("changed"))
+    return t.spark.read.parquet(out).select("event_id", "c_mktsegment")
+
+
 @query(
     "stream_enriched",
     "ST-18 J09",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brookmill.functions.types import with_defaults
+from brookmill.operators.tables import exists, segment
+from brookmill.scratch import cut
 
 
 def table_name(file_name: str) -> str:
@@ -169,6 +172,50 @@ def last_file(files: DataFrame) -> tuple[dt.datetime, str] | None:
     return (row["modificationTime"], row["path"]) if row else None
 
 
+class FileLedger:
+    """The files a load has taken, one folder of paths per run.
+
+    What is new is the listing without the ledger, so a file that arrives with
+    an older time than others taken before is still found, and none is taken
+    twice. A run that is repeated under its name replaces its own entry.
+    """
+
+    _SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()), T.StructField("length", T.LongType()), T.StructField("run", T.StringType())])
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def taken(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self._SCHEMA)
+        return self.spark.read.schema(self._SCHEMA).parquet(self.path).select(*self._SCHEMA.fieldNames())
+
+    def new(self, folder: str, suffix: str, names: list[str] | None = None, limit: int | None = 10) -> DataFrame:
+        """Files below ``folder`` that no run has taken, oldest first, at most ``limit`` (None: all); see :func:`new_files`."""
+        listed = new_files(self.spark, folder, suffix, names, limit=None)
+        left = listed.join(self.taken().select("path"), "path", "left_anti").orderBy("modificationTime", "path")
+        left = left.select("path", "modificationTime", "length")
+        return left if limit is None else left.limit(limit)
+
+    def take(self, run: str, folder: str, suffix: str, load: Callable[[list[str]], None], names: list[str] | None = None, limit: int | None = 10) -> int:
+        """Choose new files, note them as this run's, and hand their paths to ``load``; returns how many.
+
+        A run that was noted before gets the files noted then, so one that
+        failed in ``load`` is repeated with the same files. ``load`` must
+        replace what it wrote under the same run. ``limit`` paths come to the
+        driver.
+        """
+        target = f"{self.path}/{segment({'run': run})}"
+        if not exists(self.spark, f"{target}/_SUCCESS"):
+            found = cut(self.new(folder, suffix, names, limit), "new-files")
+            if found.isEmpty():
+                return 0
+            found.coalesce(1).write.mode("overwrite").parquet(target)
+        paths = sorted(r["path"] for r in self.taken().filter(F.col("run") == run).select("path").toLocalIterator())
+        load(paths)
+        return len(paths)
+
+
 def write_csv(df: DataFrame, path: str, **options: Any) -> None:
     df.write.options(header=True, **options).csv(path)
 

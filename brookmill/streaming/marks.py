@@ -10,9 +10,13 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brookmill.operators.tables import exists
 
+#: Mark values a plan chooses the ends of its steps from; more steps than these are not planned at once.
+PLAN_QUANTILES = 1000
+
 
 def read_mark(spark: SparkSession, path: str) -> tuple[Any, Any] | None:
     """Last stored mark, or None before the first load."""
@@ -82,3 +86,42 @@ def load_step(
     if n:
         end.select("mark", "mark_id", F.lit(step).alias("step")).coalesce(1).write.mode("append").parquet(mark_path)
     return n
+
+
+def plan_steps(src: DataFrame, mark: str, plan_path: str, limit: int, after: Any | None = None) -> int:
+    """Find the ends of all steps of a load at once and store them; returns the number of steps.
+
+    One pass counts the rows after the mark ``after`` and takes the quantiles of
+    their mark values; every step takes about ``limit`` rows and whole mark
+    values. The plan is rows (step, low, high) with low exclusive, null for the
+    first step of a first load. A plan that is stored stays as it is.
+    """
+    spark = src.sparkSession
+    if exists(spark, f"{plan_path}/_SUCCESS"):
+        return spark.read.parquet(plan_path).count()
+    rows = src.filter(F.col(mark).isNotNull()).select(F.col(mark).alias("m"))
+    if after is not None:
+        rows = rows.filter(F.col("m") > F.lit(after))
+    parts = [i / PLAN_QUANTILES for i in range(1, PLAN_QUANTILES + 1)]
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("top"), F.percentile_approx("m", F.array(*[F.lit(p) for p in parts]), 10 * PLAN_QUANTILES).alias("ends")).first()
+    if not seen["n"]:
+        return 0
+    every = max(1, round(PLAN_QUANTILES * limit / seen["n"]))
+    ends = sorted(set(seen["ends"][every - 1 :: every]) | {seen["top"]})
+    kind = src.schema[mark].dataType
+    shape = T.StructType([T.StructField("step", T.IntegerType()), T.StructField("low", kind), T.StructField("high", kind)])
+    plan = spark.createDataFrame([(i, low, high) for i, (low, high) in enumerate(zip([after, *ends[:-1]], ends, strict=True))], shape)
+    plan.coalesce(1).write.mode("overwrite").parquet(plan_path)
+    return len(ends)
+
+
+def planned_rows(src: DataFrame, mark: str, plan_path: str, step: int) -> DataFrame:
+    """Rows of one planned step; its range reaches the scan. The same at every call while ``src`` only grows behind the plan."""
+    r = src.sparkSession.read.parquet(plan_path).filter(F.col("step") == step).first()
+    rows = src.filter(F.col(mark) <= F.lit(r["high"]))
+    return rows if r["low"] is None else rows.filter(F.col(mark) > F.lit(r["low"]))
+
+
+def load_planned(src: DataFrame, mark: str, out_path: str, plan_path: str, step: int) -> None:
+    """Store one planned step in a folder of its own. Steps may run in any order or side by side; a repeated one replaces itself."""
+    planned_rows(src, mark, plan_path, step).write.mode("overwrite").parquet(f"{out_path}/step={step}")

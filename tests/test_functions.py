@@ -32,11 +32,12 @@ PURCHASES = [
 ]
 
 
-@pytest.mark.parametrize("batch", [False, True])
-def test_classify_transaction(spark, batch):
+@pytest.mark.parametrize("in_sql", [False, True])
+def test_classify_transaction(spark, in_sql):
     df = spark.createDataFrame(PURCHASES, "p double, q int, product long, user long, want string")
-    fn = B.classify_transaction_batch if batch else B.classify_transaction
-    for r in df.select("want", fn("p", "q", "product", "user").alias("got")).collect():
+    B.register_sql_functions(spark)
+    got = F.call_function("classify_transaction", F.col("p"), F.col("q").cast("double"), F.col("product"), F.col("user")) if in_sql else B.classify_transaction("p", "q", "product", "user")
+    for r in df.select("want", got.alias("got")).collect():
         assert r["got"] == r["want"]
 
 
