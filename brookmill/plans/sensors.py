@@ -223,29 +223,28 @@ def viz_timeseries(t):
     "q_viz_types",
     "AG-10 SL-01",
     f"""
-WITH {SENSORS}
-SELECT sensor_type, count(*) AS total_measurements, round_to(avg(temperature), 1) AS avg_temperature,
-       round_to(avg(humidity), 1) AS avg_humidity, round_to(avg(p2), 1) AS avg_pm25, round_to(avg(p1), 1) AS avg_pm10
-FROM sensors WHERE timestamp >= {AS_OF_SQL} - INTERVAL 7 DAY
-GROUP BY sensor_type HAVING count(*) >= 10
-ORDER BY sensor_type, avg_temperature DESC LIMIT 20""",
+WITH {SENSORS}, kinds AS (
+  SELECT sensor_type AS kind, count(*) AS readings, avg(temperature) AS t, avg(humidity) AS h, avg(p2) AS fine, avg(p1) AS coarse
+  FROM sensors WHERE timestamp >= {AS_OF_SQL} - INTERVAL 7 DAY GROUP BY kind)
+SELECT kind, readings, round_to(t, 1) AS mean_temperature, round_to(h, 1) AS mean_humidity, round_to(fine, 1) AS mean_fine_dust,
+       round_to(coarse, 1) AS mean_coarse_dust
+FROM kinds WHERE readings > 9""",
 )
 def viz_types(t):
-    return (
+    """Kinds of sensors with ten readings or more in a week; the first twenty by name."""
+    kinds = (
         sensors(t)
         .filter(since("timestamp", AS_OF, days=7))
-        .groupBy("sensor_type")
+        .groupBy(F.col("sensor_type").alias("kind"))
         .agg(
-            F.count(F.lit(1)).alias("total_measurements"),
-            _avg("temperature", 1).alias("avg_temperature"),
-            _avg("humidity", 1).alias("avg_humidity"),
-            _avg("p2", 1).alias("avg_pm25"),
-            _avg("p1", 1).alias("avg_pm10"),
+            F.count(F.lit(1)).alias("readings"),
+            _avg("temperature", 1).alias("mean_temperature"),
+            _avg("humidity", 1).alias("mean_humidity"),
+            _avg("p2", 1).alias("mean_fine_dust"),
+            _avg("p1", 1).alias("mean_coarse_dust"),
         )
-        .filter("total_measurements >= 10")
-        .orderBy("sensor_type", F.desc("avg_temperature"))
-        .limit(20)
     )
+    return kinds.filter("readings >= 10").orderBy("kind", F.desc("mean_temperature")).limit(20)
 
 
 @query(
@@ -255,7 +254,7 @@ def viz_types(t):
 WITH {SENSORS}, filled AS (
   SELECT sensor_type AS kind, count(*) AS n, count(DISTINCT sensor_id) AS devices, count(temperature) / count(*) AS t,
          count(humidity) / count(*) AS h, count(p2) / count(*) AS fine, count(pressure) / count(*) AS p
-  FROM sensors WHERE NOT timestamp < {AS_OF_SQL} - INTERVAL 7 DAY GROUP BY kind)
+  FROM sensors WHERE timestamp >= {AS_OF_SQL} - INTERVAL 7 DAY GROUP BY kind)
 SELECT kind, n AS readings, devices, round_to(t, 6) AS temperature_share, round_to(h, 6) AS humidity_share,
        round_to(fine, 6) AS pm25_share, round_to(p, 6) AS pressure_share, round_to((t + h + fine) / 3, 6) AS quality_index
 FROM filled""",
@@ -286,20 +285,8 @@ def viz_coverage(t):
     ).orderBy(F.desc("readings"))
 
 
-_PAIRS = [
-    ("Temperature", "Humidity", "avg_temp", "avg_humidity"),
-    ("Temperature", "PM2.5", "avg_temp", "avg_pm25"),
-    ("Temperature", "Pressure", "avg_temp", "avg_pressure"),
-    ("Humidity", "PM2.5", "avg_humidity", "avg_pm25"),
-    ("Humidity", "Pressure", "avg_humidity", "avg_pressure"),
-    ("PM2.5", "Pressure", "avg_pm25", "avg_pressure"),
-]
-# With a single hour the correlation is undefined: NULL in Spark, NaN in DuckDB.
-_UNION = "\nUNION ALL ".join(
-    f"SELECT '{a}' AS param_x, '{b}' AS param_y, "
-    f"CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE round_to(corr({x}, {y}), 6) END AS correlation FROM hourly"
-    for a, b, x, y in _PAIRS
-)
+#: Measures in the order in which their pairs are named.
+_MEASURES = {"temperature": "avg_temp", "humidity": "avg_humidity", "fine dust": "avg_pm25", "pressure": "avg_pressure"}
 # Readings outside are taken for outliers.
 PLAUSIBLE = {"temperature": (-50, 60), "humidity": (0, 100), "p2": (0, 500)}
 _CLIPPED = "".join(f" AND {c} >= {low} AND {c} <= {high}" for c, (low, high) in PLAUSIBLE.items())
@@ -309,15 +296,16 @@ _CLIPPED = "".join(f" AND {c} >= {low} AND {c} <= {high}" for c, (low, high) in
     "q_viz_corr",
     "AG-16 AG-17 SL-06 SO-04",
     f"""
-WITH {SENSORS}, {_HOURLY_SQL.format(as_of=AS_OF_SQL, days=30, more=_CLIPPED, least=5)}
-SELECT * FROM ({_UNION}) ORDER BY abs(correlation) DESC""",
+WITH {SENSORS}, {_HOURLY_SQL.format(as_of=AS_OF_SQL, days=30, more=_CLIPPED, least=5)}, long AS (
+  SELECT hour, unnest([{", ".join(f"{{'rank': {i}, 'name': '{n}', 'v': {c}}}" for i, (n, c) in enumerate(_MEASURES.items()))}]) AS m FROM hourly)
+SELECT x.m.name AS param_x, y.m.name AS param_y, round_to(nullif(corr(x.m.v, y.m.v), 'nan'::DOUBLE), 6) AS correlation
+FROM long x JOIN long y ON x.hour = y.hour AND x.m.rank < y.m.rank GROUP BY 1, 2""",
 )
 def viz_corr(t):
     clipped = _complete(sensors(t).filter(since("timestamp", AS_OF, days=30)))
     for c, (low, high) in PLAUSIBLE.items():
         clipped = clipped.filter(F.col(c).between(low, high))
-    labels = {"Temperature": "avg_temp", "Humidity": "avg_humidity", "PM2.5": "avg_pm25", "Pressure": "avg_pressure"}
-    return correlations(_hourly_averages(clipped, 5), labels, 6)
+    return correlations(_hourly_averages(clipped, 5), _MEASURES, 6)
 
 
 @query(

@@ -14,12 +14,9 @@ def rows(df):
 
 
 def test_latest_by_key(spark):
-    df = spark.createDataFrame(
-        [(23, "success", "1000", "Confirmed", 1), (23, "success", "2000", "Cancelled", 2), (23, "failed", "1", "x", 1)],
-        "id int, status string, price string, comment string, seq int",
-    )
-    got = M.latest_by_key(df, ["id", "status"], "seq").select("id", "status", "price", "comment")
-    assert rows(got) == Counter([(23, "success", "2000", "Cancelled"), (23, "failed", "1", "x")])
+    df = spark.createDataFrame([("pump", "north", 3.5, 10), ("pump", "north", 2.25, 40), ("pump", "south", 9.0, 20), ("fan", "north", None, 5)], "device string, hall string, load double, seq int")
+    got = M.latest_by_key(df, ["device", "hall"], "seq").select("device", "hall", "load")
+    assert rows(got) == Counter([("pump", "north", 2.25), ("pump", "south", 9.0), ("fan", "north", None)])
 
 
 def test_equal_seq_is_reported(spark):
@@ -29,23 +26,26 @@ def test_equal_seq_is_reported(spark):
 
 
 def test_sum_by_key(spark):
-    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "key int, value int, name string")
-    assert rows(M.sum_by_key(df, ["key"], ["value"])) == Counter([(1, 3), (2, 1)])
+    df = spark.createDataFrame([("red", 40, "x"), ("blue", 2, "y"), ("red", -15, "z"), ("red", 7, "x")], "colour string, points int, note string")
+    assert rows(M.sum_by_key(df, ["colour"], ["points"])) == Counter([("red", 32), ("blue", 2)])
     with pytest.raises(TypeError):
-        M.sum_by_key(df, ["key"], ["name"])
+        M.sum_by_key(df, ["colour"], ["note"])
 
 
-LOG = [
-    (23, "success", "1000", "Confirmed", 1, 1),
-    (23, "success", "1000", "Confirmed", -1, 2),
-    (23, "success", "2000", "Cancelled", 1, 3),
+BOOKINGS = [
+    ("room 4", "june", 80.0, "ann", 1, 1),
+    ("room 4", "june", 80.0, "ann", -1, 2),
+    ("room 4", "june", 95.5, "bea", 1, 3),
+    ("room 9", "june", 60.0, "cal", 1, 1),
+    ("room 9", "june", 60.0, "cal", -1, 4),
 ]
 LOG_SCHEMA = "id int, status string, price string, comment string, sign int, seq int"
 
 
 def test_collapse(spark):
-    got = M.collapse(spark.createDataFrame(LOG, LOG_SCHEMA), ["id", "status"], "sign", "seq")
-    assert rows(got) == Counter([(23, "success", "2000", "Cancelled", 1, 3)])
+    df = spark.createDataFrame(BOOKINGS, "room string, month string, fee double, guest string, sign int, seq int")
+    got = M.collapse(df, ["room", "month"], "sign", "seq")
+    assert rows(got) == Counter([("room 4", "june", 95.5, "bea", 1, 3)])
 
 
 def test_collapse_rules(spark):
@@ -61,36 +61,36 @@ def test_collapse_rules(spark):
     assert rows(got.select("id", "comment", "sign")) == Counter([(1, "first", -1), (3, "two", 1)])
 
 
-VERSIONED = [
-    (4324182021466249494, 5, 146, -1, 1),
-    (4324182021466249494, 5, 146, 1, 1),
-    (4324182021466249494, 6, 185, 1, 2),
+REVISIONS = [
+    ("dune", 12, 400, 1, 7),
+    ("dune", 12, 400, -1, 7),
+    ("dune", 15, 410, 1, 8),
+    ("emma", 3, 90, 1, 2),
 ]
+REVISION_SCHEMA = "book string, copies int, pages int, sign int, version int"
 
 
 @pytest.mark.parametrize("seed", range(4))
 def test_collapse_versioned_in_any_order(spark, seed):
-    log = VERSIONED[:]
+    log = REVISIONS[:]
     random.Random(seed).shuffle(log)
-    df = spark.createDataFrame(log, "user long, views int, duration int, sign int, version int").repartition(3)
-    got = M.collapse_versioned(df, ["user"], "version", "sign")
-    assert rows(got) == Counter([(4324182021466249494, 6, 185, 1, 2)])
+    got = M.collapse_versioned(spark.createDataFrame(log, REVISION_SCHEMA).repartition(3), ["book"], "version", "sign")
+    assert rows(got) == Counter([("dune", 15, 410, 1, 8), ("emma", 3, 90, 1, 2)])
 
 
 def test_signed_totals_equal_totals_after_collapse(spark):
-    df = spark.createDataFrame(VERSIONED, "user long, views int, duration int, sign int, version int")
-    signed = M.signed_totals(df, ["user"], ["views", "duration"], "sign").first()
-    kept = M.collapse_versioned(df, ["user"], "version", "sign").collect()
-    assert signed["rows"] == len(kept)
-    assert signed["views"] == sum(r["views"] for r in kept) and signed["duration"] == sum(r["duration"] for r in kept)
+    df = spark.createDataFrame(REVISIONS, REVISION_SCHEMA)
+    signed = {r["book"]: r for r in M.signed_totals(df, ["book"], ["copies", "pages"], "sign").collect()}
+    kept = M.collapse_versioned(df, ["book"], "version", "sign").collect()
+    assert {(b, r["rows"], r["copies"], r["pages"]) for b, r in signed.items()} == {(r["book"], 1, r["copies"], r["pages"]) for r in kept}
 
 
 def test_states_merge_and_reject_plain_values(spark):
     from pyspark.sql import functions as F
 
-    visits = spark.createDataFrame([(0, "2019-11-11", 1), (1, "2019-11-12", 1)], "counter int, day string, user long")
-    states = visits.groupBy("counter", "day").agg(distinct_state("user").alias("user_uniq"))
-    merged = states.groupBy("counter", "day").agg(F.hll_sketch_estimate(F.hll_union_agg("user_uniq")).alias("n"))
+    visits = spark.createDataFrame([("gate a", "mon", 51), ("gate a", "mon", 51), ("gate b", "tue", 87)], "gate string, day string, user long")
+    states = visits.groupBy("gate", "day").agg(distinct_state("user").alias("user_uniq"))
+    merged = states.groupBy("gate", "day").agg(F.hll_sketch_estimate(F.hll_union_agg("user_uniq")).alias("n"))
     assert [r["n"] for r in merged.collect()] == [1, 1]
     require_state_types(states, states)
     with pytest.raises(TypeError):

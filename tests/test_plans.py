@@ -69,8 +69,6 @@ def test_frequent_keys_are_joined_apart(spark, small):
         assert plan(found).count("BroadcastHashJoin") == 1 and plan(found).count("SortMergeJoin") == 1
         counted = {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1").collect()}
         assert counted == {"w7": 10_001, "none": 6_667} and found.count() == 30_000
-        biggest = found.filter("word <> 'w7'").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-        assert biggest < 8_000
     finally:
         for s, v in kept.items():
             spark.conf.set(s, v)
