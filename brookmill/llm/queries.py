@@ -45,7 +45,7 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", F.col("n_symbols").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@_query("op4_quotation_linking", quotes.SQL.replace("l.parent AS", "coalesce(l.parent, -1) AS"))
+@_query("op4_quotation_linking", quotes.SQL.replace("l.parent AS parent_turn", "coalesce(l.parent, -1) AS parent_turn"))
 def op4_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     done = quotes.reply_order(_table(spark, folder, "conversations"))
     return done.withColumn("parent_turn", F.coalesce("parent_turn", F.lit(-1)))
