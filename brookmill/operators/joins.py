@@ -56,6 +56,12 @@ def without_match(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(keys, F.col(left_key) == F.col("__k"), "left_anti")
 
 
+def with_rows(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left rows that have a match; only the distinct right keys are moved."""
+    keys = right.select(F.col(right_key).alias("__k")).distinct()
+    return left.join(keys, F.col(left_key) == F.col("__k"), "left_semi")
+
+
 def frequent_keys(df: DataFrame, key: Column, share: float) -> list[Any]:
     """Values of ``key`` that may hold ``share`` of the rows or more: at most ``1 / share``, and every one that holds twice as much.
 

@@ -104,14 +104,18 @@ def _pick(value: Column, at: Column, size: Column, q: float, kind: str) -> Colum
 def _quantiles_by_count(present, keys, value, quantiles, kind, hot_rows, largest) -> DataFrame:
     """All distinct values with their counts, in order."""
     counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    if largest > hot_rows:
-        counted, largest = cut(counted, "value-counts"), None
-    placed = running_sum(counted, keys, value, "__n", "__upto", tie=[value], hot_rows=hot_rows, largest=largest)
-    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"))
-    sizes = sizes.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__all")
-    joined = placed.join(sizes, _same(keys, "__k"))
     v, at, size = F.col(value), F.col("__upto"), F.col("__all")
-    return joined.groupBy(*keys).agg(*[_pick(v, at, size, q, kind).alias(n) for n, q in quantiles.items()])
+    picks = [_pick(v, at, size, q, kind).alias(n) for n, q in quantiles.items()]
+    if largest <= hot_rows:
+        # Positions and sizes come from one shuffle of the counts by key.
+        whole = Window.partitionBy(*keys)
+        upto = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return counted.select("*", F.sum("__n").over(upto).alias("__upto"), F.sum("__n").over(whole).alias("__all")).groupBy(*keys).agg(*picks)
+    counted = cut(counted, "value-counts")
+    placed = running_sum(counted, keys, value, "__n", "__upto", tie=[value], hot_rows=hot_rows)
+    sizes = counted.groupBy(*keys).agg(F.sum("__n").alias("__all"))
+    sizes = sizes.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__all")
+    return placed.join(sizes, _same(keys, "__k")).groupBy(*keys).agg(*picks)
 
 
 def _quantiles_by_bracket(present, keys, value, quantiles, kind, hot_rows, accuracy) -> DataFrame | None:

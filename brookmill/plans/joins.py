@@ -16,6 +16,7 @@ from brookmill.operators.joins import (
     product_top,
     sample_rows,
     star,
+    with_rows,
     without_match,
 )
 from brookmill.operators.prefix import running_sum
@@ -101,13 +102,6 @@ def cross_sample(t):
     return product_top(movies, genres, ["movie"], ["genre"], 20)
 
 
-def _first_groups(rows, keys, n):
-    """Rows of the first ``n`` groups, stored, as they are read more than once. The groups are picked before anything is
-    collected and stored by themselves, so the joins behind ``rows`` run twice: for the keys, and for the rows of these."""
-    first = cut(rows.select(*keys).distinct().orderBy(*keys).limit(n), "first-groups")
-    return cut(rows.join(first, keys, "left_semi"), "rows-of-groups")
-
-
 @query(
     "q_comma_join",
     "J07 AG-11",
@@ -120,19 +114,27 @@ SELECT movie, part, array_to_string(list_sort(list(o_orderpriority)), ',') AS ge
 )
 def comma_join(t):
     o = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("genre"))
-    rows = _movies(t).join(o, F.col("id") == F.col("o_custkey"))
-    parts = collect_parts(_first_groups(rows, ["movie", "id"], 10), ["movie", "id"], "genre", ["o_orderkey"], out="genres")
+    # The groups are picked from the keys alone; only their rows are joined, and stored, as they are read more than once.
+    first = with_rows(_movies(t), o, "id", "o_custkey").select("movie", "id").orderBy("movie", "id").limit(10)
+    rows = cut(first.join(o, F.col("id") == F.col("o_custkey")), "rows-of-groups")
+    parts = collect_parts(rows, ["movie", "id"], "genre", ["o_orderkey"], out="genres")
     return parts.select("movie", "part", F.array_join("genres", ",").alias("genres")).orderBy("movie", "part")
 
 
-def _roles(t):
-    """Actors with their films of one year: customer, orders, lineitem."""
-    films = t.lineitem.filter(in_year("l_shipdate", 1997)).select(
+def _actors(t):
+    return t.customer.select("c_custkey", F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("first_name"))
+
+
+def _films(t):
+    return t.lineitem.filter(in_year("l_shipdate", 1997)).select(
         "l_orderkey", F.concat(F.lit("film"), F.col("l_partkey").cast("string")).alias("film"),
         F.year("l_shipdate").alias("year"),
     )
-    roles = t.orders.select("o_orderkey", "o_custkey")
-    actors = t.customer.select("c_custkey", F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("first_name"))
+
+
+def _roles(t, actors=None):
+    """Actors (default: all) with their films of one year: customer, orders, lineitem."""
+    films, roles, actors = _films(t), t.orders.select("o_orderkey", "o_custkey"), _actors(t) if actors is None else actors
     return (
         actors.join(roles, F.col("c_custkey") == F.col("o_custkey"))
         .join(films, F.col("o_orderkey") == F.col("l_orderkey"))
@@ -158,7 +160,10 @@ parts AS (SELECT last_name, first_name, film, {part_sql("last_name, first_name",
 SELECT first_name, last_name, part, array_to_string(list_sort(list(film)), ',') AS movies FROM parts GROUP BY 1, 2, 3""",
 )
 def actors_year_prewhere(t):
-    rows = _first_groups(_roles(t), ["last_name", "first_name"], 20)
+    names = ["last_name", "first_name"]
+    of_year = with_rows(t.orders.select("o_orderkey", "o_custkey"), _films(t), "o_orderkey", "l_orderkey")
+    first = with_rows(_actors(t), of_year, "c_custkey", "o_custkey").select(*names).distinct().orderBy(*names).limit(20)
+    rows = cut(_roles(t, _actors(t).join(first, names, "left_semi")), "rows-of-groups")
     parts = collect_parts(rows, ["last_name", "first_name"], "film", ["film", "o_orderkey"], out="movies")
     return parts.select("first_name", "last_name", "part", F.array_join("movies", ",").alias("movies")).orderBy(
         "last_name", "first_name", "part"

@@ -348,6 +348,64 @@ def stats_rollup(t):
     )
 
 
+def _by_supplier(t):
+    return t.lineitem.select(
+        F.col("l_orderkey").alias("id"),
+        F.col("l_suppkey").alias("supplier_id"),
+        F.col("l_quantity").cast("long").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.year("l_shipdate").alias("year"),
+        F.col("l_returnflag").alias("flag"),
+    )
+
+
+_SUPPLIER_SALES = """
+WITH sold AS (SELECT l_orderkey AS id, l_suppkey AS supplier_id, CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice AS price FROM lineitem)"""
+
+
+@query(
+    "supplier_rollup",
+    "MV-01 MV-03",
+    f"""{_SUPPLIER_SALES}
+SELECT supplier_id, CAST(sum(quantity) AS BIGINT) AS total_quantity, round_to(sum(quantity * price), 2) AS total_sales FROM sold GROUP BY 1""",
+)
+def supplier_rollup(t):
+    """Totals per supplier from states per supplier and year, about a hundredth of the rows at full size; filled from
+    what is there, then fed by a batch."""
+    rollup = R.Rollup(t.spark, new_path(t.spark, "supplier-rollup"), "year", ["supplier_id"], _sums())
+    later = F.coalesce(F.col("flag") == "R", F.lit(False))
+    rollup.add_batch(_by_supplier(t).filter(~later), "populate")
+    rollup.add_batch(_by_supplier(t).filter(later), "batch")
+    return rollup.read().select("supplier_id", "total_quantity", round_to("total_sales", 2).alias("total_sales"))
+
+
+@query(
+    "supplier_stats_rollup",
+    "MV-04 MV-05 AG-22 AG-23 AG-25 AG-26",
+    f"""{_SUPPLIER_SALES}, stats AS (
+  SELECT supplier_id, count(*) AS n, round_to(avg(quantity * price), 2) AS avg_value, round_to(min(quantity * price), 2) AS min_value,
+         round_to(max(quantity * price), 2) AS max_value FROM sold GROUP BY 1)
+SELECT *, TRUE AS ids_close, TRUE AS median_close FROM stats""",
+)
+def supplier_stats_rollup(t):
+    """Wide statistics per supplier from stored states per supplier and year; sketches hold their bounds of 3 % and 0.02."""
+    rows = _by_supplier(t)
+    states = stat_states(rows, ["supplier_id", "year"], _amount(), "id", F.col("quantity"))
+    path = new_path(t.spark, "supplier-stats")
+    W.write_partitioned(states, path, ["year"])
+    stored = t.spark.read.schema(states.schema).parquet(path)
+    read = read_stat_states(stored, ["supplier_id"], {"median_quantity": 0.5}).withColumnRenamed("supplier_id", "supplier")
+    both = rows.join(read, F.col("supplier_id") == F.col("supplier"))
+    ids, all_rows = F.countDistinct("id"), F.count(F.lit(1))
+    upto, below = F.count_if(F.col("quantity") <= F.col("median_quantity")), F.count_if(F.col("quantity") < F.col("median_quantity"))
+    return both.groupBy("supplier_id").agg(
+        F.max("n").alias("n"),
+        *[round_to(F.max(c), 2).alias(c) for c in ("avg_value", "min_value", "max_value")],
+        (F.abs(F.max("unique_ids") - ids) <= F.greatest(F.lit(1.0), 0.03 * ids)).alias("ids_close"),
+        ((upto >= 0.48 * all_rows - 1) & (below <= 0.52 * all_rows + 1)).alias("median_close"),
+    )
+
+
 @query(
     "stats_rollup_exact_part",
     "MV-04 AG-19 AG-20 AG-21",
