@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from brookmill.llm.windows import Unit, packed_texts, repeated_windows, without_parts
+from brookmill.llm.windows import CROWD, Unit, packed_texts, repeated_windows, without_parts
 
 
 class PackedBits:
@@ -123,7 +123,7 @@ def earliest(contents: list[bytes], windows: np.ndarray, rank: np.ndarray, width
     return best
 
 
-def repeated_words(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 50) -> DataFrame:
+def repeated_words(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 50, crowd: int = CROWD) -> DataFrame:
     """Return per row of ``df``: key, n_symbols (words), n_removed, spans, kept.
 
     Words are runs of characters other than space and \\t-\\r, unchanged. Each
@@ -132,9 +132,10 @@ def repeated_words(df: DataFrame, text: str = "text", key: str = "doc_id", width
     ``kept`` the other words joined by one space, in UTF-8. Null text counts as
     empty; a null key comes before all others; texts with equal keys do not
     count as earlier than each other; repeated rows get equal rows. Other
-    columns are not read.
+    columns are not read. ``crowd`` is the number of different contents of one
+    key from which they are dealt by window; results are the same at any.
     """
     unit = Unit(width, 8, words=True)
     packed = packed_texts(df, text, key)
-    parts = repeated_windows(df, packed, unit, lambda c, n, r: earliest(c, n, r, width), text, key, other_texts_only=True)
+    parts = repeated_windows(df, packed, unit, lambda c, n, r: earliest(c, n, r, width), text, key, other_texts_only=True, crowd=crowd)
     return without_parts(packed, unit, parts, key)

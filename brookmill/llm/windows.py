@@ -10,6 +10,7 @@ segment, one row of numbers for every few dozen symbols:
    equal windows itself; of equal contents the earliest place represents all. Contents met often within one batch are
    combined before the shuffle: one occurrence takes part, the others wait
    under keys of their own, so no key holds more than a few rows per batch;
+   The segments of a key with too many different contents are cut into windows first;
 3. only representatives fetch their text, and go to shards by key. A shard is
    a few MB; how many there are follows from the data;
 4. in each shard an index (the caller's) finds for each window the earliest
@@ -38,6 +39,8 @@ SLICE_BYTES = 1 << 20
 SHARD_BYTES = 2 << 20
 #: A segment is cut after so many windows; only periodic text gets there.
 MOST_WINDOWS = 200
+#: Different contents of one key from which its segments are cut into single windows.
+CROWD = 20_000
 #: Equal contents within one slice from which they are combined.
 OFTEN = 4
 #: Places of one slice that fit below the upper bits of a hash.
@@ -203,6 +206,10 @@ class Unit:
         starts, ends, word_edges = words_of(data, edges)
         return word_symbols(data, starts, ends), word_edges
 
+    def hashed(self, symbols: np.ndarray, data: np.ndarray) -> Content:
+        """Hashes of ranges of symbols that tell contents apart."""
+        return Content(_fold((symbols >> np.uint64(3)) | np.uint64(1)) if self.words else data.astype(np.uint64) + np.uint64(1))
+
     def content(self, text: bytes, places: list[tuple[int, int]]) -> list[bytes]:
         """The symbols from each (start, windows), words joined by one space."""
         if not self.words:
@@ -259,8 +266,7 @@ def segments(unit: Unit, data: np.ndarray, edges: np.ndarray) -> dict[str, np.nd
         starts, ends, text = np.repeat(starts, pieces) + number * MOST_WINDOWS, np.repeat(ends, pieces), np.repeat(text, pieces)
         ends = np.minimum(ends, starts + MOST_WINDOWS)
     runs = ends - starts
-    content = Content(_fold((symbols >> np.uint64(3)) | np.uint64(1)) if unit.words else data.astype(np.uint64) + np.uint64(1))
-    hashes = mix(content.ranges(starts, ends + unit.width - 1) + (runs.astype(np.uint64) << np.uint64(61)))
+    hashes = mix(unit.hashed(symbols, data).ranges(starts, ends + unit.width - 1) + (runs.astype(np.uint64) << np.uint64(61)))
     again = repeats_key(sums.grams(unit.gram), keys, starts, ends)
     return {"key": keys[starts], "hash": hashes, "text": text, "start": starts - edges[text], "n": runs, "again": again}
 
@@ -300,6 +306,28 @@ def unpack(data: bytes) -> bytes:
 _START, _COUNT, _STAY = 9, 1, 0
 
 
+_DEALT = "grp long, key long, hash long, doc long, mark long, place long"
+
+
+def _dealt(key: np.ndarray, content: np.ndarray, doc: np.ndarray, mark: np.ndarray, start: np.ndarray, n: np.ndarray, again: np.ndarray) -> pa.RecordBatch:
+    """Segment rows; of contents that are frequent among them the first occurrence speaks for the others."""
+    order = np.lexsort((mark, start, doc, content, key))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1])
+    group = np.cumsum(fresh) - 1
+    often = np.empty(len(order), bool)
+    extra = np.empty(len(order), bool)
+    often[order] = np.bincount(group)[group] >= OFTEN
+    extra[order] = ~fresh
+    extra &= often
+    place = start << _START | n << _COUNT | (often | again).astype(np.int64) << _STAY
+    apart = np.where(extra, mix(content + mix(doc.astype(np.uint64) + mix(place.astype(np.uint64) + mix(mark.astype(np.uint64))))), key)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(apart.view(np.int64)), pa.array(key.view(np.int64), mask=~extra), pa.array(content.view(np.int64)), pa.array(doc), pa.array(mark), pa.array(place)],
+        ["grp", "key", "hash", "doc", "mark", "place"],
+    )
+
+
 def _deal(unit: Unit):
     """Arrow function from (doc, mark, text) to segment rows (grp, key, hash, doc, mark, place).
 
@@ -314,26 +342,34 @@ def _deal(unit: Unit):
                 if not len(found["key"]):
                     continue
                 doc, mark = (part.column(i).to_numpy()[found["text"]] for i in (0, 1))
-                order = np.lexsort((mark, found["start"], doc, found["hash"], found["key"]))
-                key, content = found["key"][order], found["hash"][order]
-                fresh = np.ones(len(order), bool)
-                fresh[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-                group = np.cumsum(fresh) - 1
-                often = np.empty(len(order), bool)
-                extra = np.empty(len(order), bool)
-                often[order] = np.bincount(group)[group] >= OFTEN
-                extra[order] = ~fresh
-                extra &= often
-                place = found["start"] << _START | found["n"] << _COUNT | (often | found["again"]).astype(np.int64) << _STAY
-                apart = np.where(extra, mix(found["hash"] + mix(doc.astype(np.uint64) + mix(place.astype(np.uint64) + mix(mark.astype(np.uint64))))), found["key"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(apart.view(np.int64)), pa.array(found["key"].view(np.int64), mask=~extra), pa.array(found["hash"].view(np.int64)), pa.array(doc), pa.array(mark), pa.array(place)],
-                    ["grp", "key", "hash", "doc", "mark", "place"],
-                )
+                yield _dealt(found["key"], found["hash"], doc, mark, found["start"], found["n"], found["again"])
 
     return cut_texts
 
 
+def _deal_windows(unit: Unit):
+    """Arrow function from (doc, mark, places, packed text) to a row for each window of the given segments, its hash as key."""
+
+    def cut_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                held = []
+                for row in range(some.num_rows):
+                    data = np.frombuffer(unpack(some.column(3)[row].as_py()), np.uint8)
+                    symbols, _ = unit.symbols(data, np.array([0, len(data)]))
+                    places = some.column(2)[row].values.to_numpy()
+                    first, n = places >> _START, places >> _COUNT & 0xFF
+                    starts = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    hashes = mix(unit.hashed(symbols, data).ranges(starts, starts + unit.width))
+                    held.append((hashes, np.full(len(starts), row), starts))
+                content, row, start = (np.concatenate(c) for c in zip(*held, strict=True))
+                doc, mark = (some.column(i).to_numpy()[row] for i in (0, 1))
+                yield _dealt(mix(content + np.uint64(_BASE)), content, doc, mark, start, np.ones(len(start), np.int64), np.zeros(len(start), bool))
+
+    return cut_places
+
+
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the last column by its packed form, as texts take most of the room on their way."""
     for batch in batches:
@@ -442,7 +478,33 @@ def _rows(df: DataFrame, text: str, key: str) -> DataFrame:
     )
 
 
-def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index, text: str, key: str, other_texts_only: bool) -> DataFrame:
+def _meet(refs: DataFrame) -> DataFrame:
+    """(key, hash, doc, mark, place, first) of the segments that can repeat, stored; ``first`` marks one of each content."""
+    same_key = Window.partitionBy("grp").orderBy("hash", "doc", "place", "mark")
+    marked = refs.withColumn("before", F.lag("hash").over(same_key)).withColumn("after", F.lead("hash").over(same_key))
+    extra, stay = F.col("key").isNotNull(), F.col("place").bitwiseAND(F.lit(1 << _STAY)) != 0
+    marked = marked.filter(extra | stay | F.col("before").isNotNull() | F.col("after").isNotNull())
+    first = ~extra & (F.col("before").isNull() | (F.col("before") != F.col("hash")))
+    return cut(marked.select(F.coalesce("key", "grp").alias("key"), "hash", "doc", "mark", "place", first.alias("first")), "shared-windows")
+
+
+def _split_crowds(shared: DataFrame, packed: DataFrame, unit: Unit, crowd: int) -> DataFrame:
+    """``shared`` with the segments of every key that more than ``crowd`` different contents have cut into single windows.
+
+    A passage that stands in very many texts, each time between other words,
+    makes such a key. Its windows get keys of their own, by their whole content:
+    those that hold other words stand alone and drop out, the others are one
+    content each. Only texts that hold such a key are fetched for it.
+    """
+    crowded = cut(shared.filter("first").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "crowded-keys")
+    if crowded.isEmpty():
+        return shared
+    of_text = shared.join(crowded, "key", "left_semi").groupBy("doc", "mark").agg(F.collect_set("place").alias("places"))
+    windows = packed.join(of_text, ["doc", "mark"]).select("doc", "mark", "places", "packed").mapInArrow(_deal_windows(unit), _DEALT)
+    return shared.join(crowded, "key", "left_anti").unionByName(_meet(windows))
+
+
+def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index, text: str, key: str, other_texts_only: bool, crowd: int = CROWD) -> DataFrame:
     """Return (doc, mark, parts): per text the covered ranges of symbols, as an array of (start, end).
 
     A window is covered if an equal one begins at a smaller (key, start), or
@@ -450,14 +512,8 @@ def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index,
     covered windows have no row. ``packed`` is :func:`packed_texts`; the caller
     joins the result to it, and Spark moves it once for both.
     """
-    refs = _rows(df, text, key).select("doc", "mark", "text").mapInArrow(_deal(unit), "grp long, key long, hash long, doc long, mark long, place long")
-    same_key = Window.partitionBy("grp").orderBy("hash", "doc", "place", "mark")
-    marked = refs.withColumn("before", F.lag("hash").over(same_key)).withColumn("after", F.lead("hash").over(same_key))
-    extra, stay = F.col("key").isNotNull(), F.col("place").bitwiseAND(F.lit(1 << _STAY)) != 0
-    marked = marked.filter(extra | stay | F.col("before").isNotNull() | F.col("after").isNotNull())
-    first = ~extra & (F.col("before").isNull() | (F.col("before") != F.col("hash")))
-    shared = cut(marked.select(F.coalesce("key", "grp").alias("key"), "hash", "doc", "mark", "place", first.alias("first")), "shared-windows")
-
+    refs = _rows(df, text, key).select("doc", "mark", "text").mapInArrow(_deal(unit), _DEALT)
+    shared = _split_crowds(_meet(refs), packed, unit, crowd)
     start, n = F.shiftright("place", _START), F.shiftright("place", _COUNT).bitwiseAND(F.lit(0xFF))
     symbols = shared.filter("first").agg(F.sum(n + unit.width)).first()[0] or 0
     shards = max(1, math.ceil(symbols * (8 if unit.words else 1) / SHARD_BYTES))

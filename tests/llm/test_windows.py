@@ -7,6 +7,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from brookmill.llm import queries, substring_dedup, suffix_dedup, windows
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -49,6 +51,37 @@ def test_edges(odd):
     assert _sorted(got) == _sorted(brute.suffix(rows, 40))
 
 
+@pytest.mark.parametrize("crowd", [1, 5])
+def test_crowded_keys_are_cut_into_windows(odd, spark, crowd):
+    """The results stay those of brute force, with nearly every key crowded and with few."""
+    rows, df = odd
+    rng = random.Random(21)
+    words = [f"u{i}" for i in range(300)]
+    passage = " ".join(rng.choices(words, k=45))
+    more = [(1000 + i, " ".join([*rng.choices(words, k=30), passage, *rng.choices(words, k=30)])) for i in range(60)] + [(5000, "z " * 90 + passage)]
+    rows = rows + more
+    df = df.unionByName(spark.createDataFrame([(k, t, "u", 1, "h") for k, t in more], SCHEMA)).repartition(3)
+    got = substring_dedup.repeated_words(df, width=20, crowd=crowd).selectExpr("doc_id", "n_symbols", "n_removed", "sha2(kept, 256)").collect()
+    assert _sorted(got) == _sorted(brute.substring(rows, 20))
+    got = suffix_dedup.repeated_bytes(df, width=40, crowd=crowd).selectExpr("doc_id", "n_symbols", "n_removed", "size(spans)", "sha2(kept, 256)").collect()
+    assert _sorted(got) == _sorted(brute.suffix(rows, 40))
+
+
+def test_windows_of_a_crowded_key_are_few(spark):
+    """A passage in every text between other words: after the cut no key has more than a few different contents."""
+    rng = random.Random(2)
+    words = [f"u{i}" for i in range(2000)]
+    passage = " ".join(rng.choices(words, k=60))
+    rows = [(i, " ".join([*rng.choices(words, k=60), passage, *rng.choices(words, k=60)])) for i in range(400)]
+    df = spark.createDataFrame([(k, t, "u", 1, "h") for k, t in rows], SCHEMA).repartition(4)
+    unit = windows.Unit(50, 8, words=True)
+    packed = windows.packed_texts(df, "text", "doc_id")
+    refs = windows._rows(df, "text", "doc_id").select("doc", "mark", "text").mapInArrow(windows._deal(unit), windows._DEALT)
+    whole = windows._meet(refs)
+    largest = lambda shared: max(r["n"] for r in shared.filter("first").groupBy("key").agg(F.count("*").alias("n")).collect())
+    assert largest(whole) > 300 > 25 > largest(windows._split_crowds(whole, packed, unit, 20))
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert substring_dedup.repeated_words(none).count() == 0
