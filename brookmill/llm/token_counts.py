@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brookmill.llm.windows import slices
+
 BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 15
 #: A single space between two characters that are not white space. The byte-level pattern always starts a token at such
@@ -43,7 +45,7 @@ def _tokenizer(path: str):
 
 
 def count_texts(texts: list[str], path: str, batch_bytes: int = BATCH_BYTES) -> list[int]:
-    """Token counts of ``texts``, encoded in batches of about ``batch_bytes`` characters."""
+    """Token counts of ``texts``, encoded in batches of about ``batch_bytes`` bytes."""
     encode = _tokenizer(path).encode_batch_fast
     counts = [0] * len(texts)
     owners: list[int] = []
@@ -62,7 +64,7 @@ def count_texts(texts: list[str], path: str, batch_bytes: int = BATCH_BYTES) ->
         for piece in split_safely(text):
             owners.append(i)
             pieces.append(piece)
-            held += len(piece)
+            held += len(piece) if piece.isascii() else len(piece.encode())
             if held >= batch_bytes:
                 flush()
     if pieces:
@@ -70,20 +72,19 @@ def count_texts(texts: list[str], path: str, batch_bytes: int = BATCH_BYTES) ->
     return counts
 
 
-def token_counts(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", limit: int = 512, slice_rows: int = 256) -> DataFrame:
+def token_counts(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", limit: int = 512) -> DataFrame:
     """Return per row: key, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > ``limit``).
 
     ``tokenizer`` is the path of a byte-level BPE file of the ``tokenizers``
     library, readable on every executor. Special strings inside a text are
     handled as by the library's default; no special token is added. Null text
     counts as empty; keys are passed on as they are; other columns are not
-    read. The text is handed over ``slice_rows`` rows at a time.
+    read. Texts are handed over about ``BATCH_BYTES`` bytes at a time.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, slice_rows):
-                part = batch.slice(at, slice_rows)
+            for part in slices(batch, 1, BATCH_BYTES):
                 counts = count_texts(part.column(1).to_pylist(), tokenizer)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(counts, pa.int64())], ["key", "n_bytes", "n_tokens"])
 

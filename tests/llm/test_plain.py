@@ -54,6 +54,20 @@ def test_token_counts_equal_library(spark):
     assert token_counts.token_counts(df.limit(0), BPE).count() == 0
 
 
+def test_batches_hold_about_as_many_bytes(monkeypatch):
+    """Texts of two-byte characters fill a batch with half as many characters."""
+    seen = []
+
+    class Library:
+        def encode_batch_fast(self, pieces, add_special_tokens):
+            seen.append(sum(len(p.encode()) for p in pieces))
+            return [[0]] * len(pieces)
+
+    monkeypatch.setattr(token_counts, "_tokenizer", lambda path: Library())
+    assert token_counts.count_texts(["é" * 300] * 40 + ["e" * 600] * 40 + ["x " * 40000], "", 6000) == [1] * 80 + [3]
+    assert all(b <= 6600 for b in seen[:8]) and sum(seen) == 80 * 600 + 80000
+
+
 def test_split_safely_keeps_everything():
     text = "ab cd  ef gh " * 500 + "x" * 100
     parts = token_counts.split_safely(text, 64)
