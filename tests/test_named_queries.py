@@ -66,3 +66,15 @@ def test_every_inventory_id_is_covered():
     assert len(ids) == 211
     assert set(ids) == set(covered())
     assert (ROOT / "COVERAGE.md").read_text() == table()
+
+
+def test_entry_works_without_what_the_training_queries_need():
+    """A missing tokenizer package leaves out those queries and nothing else."""
+    import subprocess
+    import sys
+
+    from tests.inventory import ROOT
+
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') and n[2].isdigit() for n in e.queries()))"
+    done = subprocess.run([sys.executable, "-W", "always", "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == [str(len(ALL)), "False"] and "left out" in done.stderr
