@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from brookmill.llm.windows import CROWD, Unit, packed_texts, repeated_windows, without_parts
+from brookmill.llm.windows import Unit, packed_texts, repeated_windows, without_parts
 
 Q = 8
 
@@ -81,7 +81,7 @@ def earliest(contents: list[bytes], windows: np.ndarray, rank: np.ndarray, width
     return best[pointers]
 
 
-def repeated_bytes(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 100, crowd: int = CROWD) -> DataFrame:
+def repeated_bytes(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 100, crowd: int | None = None) -> DataFrame:
     """Return per row of ``df``: key, n_symbols (bytes), n_removed, spans, kept.
 
     Each byte covered by a ``width``-byte string that also starts earlier (at a
@@ -90,8 +90,9 @@ def repeated_bytes(df: DataFrame, text: str = "text", key: str = "doc_id", width
     remaining bytes. Null text counts as empty; a null key comes before all
     others; rows that repeat key and text are one text and get equal rows; rows
     that share a key and differ in text do not see each other as earlier except
-    by their start. Other columns are not read. ``crowd`` is the number of different contents of one
-    key from which they are dealt by window; results are the same at any.
+    by their start. Other columns are not read. With ``crowd``, the
+    segments of a key of more different contents are dealt by window: smaller
+    tasks, the same results, and a shuffle of all windows of such keys.
     """
     unit = Unit(width, 16, words=False)
     packed = packed_texts(df, text, key)

@@ -504,7 +504,7 @@ def _split_crowds(shared: DataFrame, packed: DataFrame, unit: Unit, crowd: int)
     return shared.join(crowded, "key", "left_anti").unionByName(_meet(windows))
 
 
-def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index, text: str, key: str, other_texts_only: bool, crowd: int = CROWD) -> DataFrame:
+def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index, text: str, key: str, other_texts_only: bool, crowd: int | None = CROWD) -> DataFrame:
     """Return (doc, mark, parts): per text the covered ranges of symbols, as an array of (start, end).
 
     A window is covered if an equal one begins at a smaller (key, start), or
@@ -513,7 +513,9 @@ def repeated_windows(df: DataFrame, packed: DataFrame, unit: Unit, index: Index,
     joins the result to it, and Spark moves it once for both.
     """
     refs = _rows(df, text, key).select("doc", "mark", "text").mapInArrow(_deal(unit), _DEALT)
-    shared = _split_crowds(_meet(refs), packed, unit, crowd)
+    shared = _meet(refs)
+    if crowd is not None:
+        shared = _split_crowds(shared, packed, unit, crowd)
     start, n = F.shiftright("place", _START), F.shiftright("place", _COUNT).bitwiseAND(F.lit(0xFF))
     symbols = shared.filter("first").agg(F.sum(n + unit.width)).first()[0] or 0
     shards = max(1, math.ceil(symbols * (8 if unit.words else 1) / SHARD_BYTES))
