@@ -8,7 +8,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from brookmill.plans import load_all
 from brookmill.sources import external as X
+from tests.compare import connect, difference
+from tests.conftest import SMALL
+
+EXTERNAL = "q_ext_by_channel q_ext_cached q_ext_filtered q_ext_join q_ext_since q_ext_three_ways q_ext_totals q_ext_view q_federated_join sink_external_append".split()
 
 
 @pytest.fixture
@@ -78,3 +83,26 @@ def test_files_of_a_repeated_task_count_once(spark, store):
     other.abort([gone, None])
     assert not os.path.exists(f"{path}/t/data/{gone.name}") and X.read_external(spark, path, "t").count() == 5005
     assert not glob.glob(f"{path}/t/commits/*.tmp")
+
+
+@pytest.fixture
+def plain(spark):
+    """The session without the setting that lets filters through."""
+    before = spark.conf.get(X.PUSHDOWN)
+    spark.conf.set(X.PUSHDOWN, "false")
+    yield spark
+    spark.conf.set(X.PUSHDOWN, before)
+
+
+def test_reads_without_pushdown(plain, store):
+    """Spark filters then; it would refuse a reader that takes filters."""
+    path, rows = store
+    got = X.read_external(plain, path, "t").filter("id >= 4100 AND name IS NOT NULL")
+    assert "Filter" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.filter("id >= 4100 AND name IS NOT NULL").collect()))
+    assert plain.read.format(X.FORMAT).options(path=path, table="t").load().filter("kind = 3").count() == rows.filter("kind = 3").count()
+
+
+@pytest.mark.parametrize("name", EXTERNAL)
+def test_queries_without_pushdown(plain, name):
+    assert difference(plain, connect(SMALL), load_all()[name], SMALL) is None
