@@ -368,18 +368,24 @@ SELECT count(*) AS total_records, TRUE AS locations_close, strftime(min(date), '
 FROM cases""",
 )
 def manual_stats(t):
-    """Totals, and whether the approximate distinct counts lie within four standard errors of the exact ones."""
-    rows = cases(t).withColumn("batch_id", F.date_format("ts", "yyyyMMdd_HH"))
-
-    def close(c: str):
-        exact = F.countDistinct(c)
-        return F.abs(F.approx_count_distinct(c, 0.01) - exact) <= F.greatest(F.lit(1.0), 0.04 * exact)
+    """Totals, and whether the approximate distinct counts lie within four standard errors of the exact ones.
 
-    return rows.agg(
+    The exact counts are aggregates of their own: beside them every distinct value would carry the approximate states.
+    """
+    rows = cases(t).withColumn("batch_id", F.date_format("ts", "yyyyMMdd_HH"))
+    counted = {"location_key": "locations_close", "batch_id": "batches_close"}
+    totals = rows.agg(
         F.count(F.lit(1)).alias("total_records"),
-        close("location_key").alias("locations_close"),
         F.date_format(F.min("date"), "yyyy-MM-dd").alias("earliest_date"),
         F.date_format(F.max("date"), "yyyy-MM-dd").alias("latest_date"),
-        close("batch_id").alias("batches_close"),
         F.max("ts").alias("last_insertion"),
+        *[F.approx_count_distinct(c, 0.01).alias(f"approx_{c}") for c in counted],
     )
+    for c in counted:
+        totals = totals.crossJoin(rows.agg(F.countDistinct(c).alias(f"exact_{c}")))
+
+    def close(c: str):
+        exact = F.col(f"exact_{c}")
+        return (F.abs(F.col(f"approx_{c}") - exact) <= F.greatest(F.lit(1.0), 0.04 * exact)).alias(counted[c])
+
+    return totals.select("total_records", close("location_key"), "earliest_date", "latest_date", close("batch_id"), "last_insertion")
