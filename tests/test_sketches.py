@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from brookmill.plans import aggregates, load_all, rollups
 
 ALL = load_all()
@@ -14,6 +16,13 @@ def test_approx_distinct(middle):
         assert abs(r["approx_ids"] - r["ids"]) <= max(1, 0.05 * r["ids"])
 
 
+def test_approx_distinct_keeps_rows_without_a_flag(spark):
+    """The two counts of the group of missing flags meet too."""
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("A", 1), ("A", None)], "l_returnflag string, l_partkey long")
+    got = aggregates.agg_distinct_approx(SimpleNamespace(lineitem=rows)).collect()
+    assert sorted(map(tuple, got), key=str) == [("A", 1, True), (None, 2, True)]
+
+
 def _rank(values, x):
     return sum(v <= x for v in values) / len(values)
 
