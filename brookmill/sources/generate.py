@@ -18,8 +18,11 @@ def numbers(spark: SparkSession, n: int, columns: dict[str, Column] | None = Non
 
 
 def values(spark: SparkSession, rows: Sequence[tuple[Any, ...]], schema: str) -> DataFrame:
-    """A few literal rows."""
-    return spark.createDataFrame(list(rows), schema)
+    """A few literal rows.
+
+    Spark knows no size of rows made in Python and would sort both sides of a join; the hint spares the other side that.
+    """
+    return F.broadcast(spark.createDataFrame(list(rows), schema))
 
 
 def spread_days(df: DataFrame, first: str, days: int, *by: str) -> DataFrame:

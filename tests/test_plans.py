@@ -122,3 +122,8 @@ def test_exact_counts_carry_no_approximate_states(small):
         df = ALL[name].build(small)
         groups = [line for line in plan(df).splitlines() if "HashAggregate(keys=[" in line and f"{value}#" in line.split("functions=")[0]]
         assert groups and not any("approx_count_distinct" in line for line in groups)
+
+
+def test_literal_rows_leave_the_other_side_in_place(small):
+    text = plan(ALL["scan_values"].build(small))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
