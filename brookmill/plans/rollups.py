@@ -13,7 +13,7 @@ from brookmill.operators.prefix import exact_quantiles
 from brookmill.operators.sketches import read_stat_states, stat_states
 from brookmill.plans.registry import query
 from brookmill.plans.views import SALES, sales
-from brookmill.scratch import new_path
+from brookmill.scratch import cut, new_path
 from brookmill.streaming import ingest
 
 def _amount():
@@ -330,21 +330,34 @@ FROM sales GROUP BY product_id""",
 def stats_rollup(t):
     """Exact columns of the rollup, and whether its sketches hold their bounds: 3 % of the distinct ids, 0.02 of the rank
     plus one row."""
-    r = stats_from_states(t).withColumnRenamed("product_id", "product")
-    both = sales(t).join(r, F.col("product_id") == F.col("product"))
+    return _with_bounds(sales(t), stats_from_states(t), "product_id", {"median_quantity": ("median_close", 0.5), "quantile_90_quantity": ("p90_close", 0.9)})
+
+
+def _with_bounds(rows, read, key: str, quantiles: dict[str, tuple[str, float]]):
+    """Statistics read from states, and whether their sketches hold their bounds over ``rows``.
+
+    Ranks are counted per key where the rows are, distinct ids in an aggregate of their own: in one aggregate every
+    (key, id) would carry the statistics and the counts of the ranks.
+    """
+    read = cut(read, "read-states")
+    ranks = rows.select(key, "quantity").join(
+        read.select(F.col(key).alias("__k"), *quantiles), F.col(key).eqNullSafe(F.col("__k"))
+    )
+    upto = [F.count_if(F.col("quantity") <= F.col(c)).alias(f"upto_{c}") for c in quantiles]
+    below = [F.count_if(F.col("quantity") < F.col(c)).alias(f"below_{c}") for c in quantiles]
+    ranks = ranks.groupBy(F.col(key).alias("__r")).agg(*upto, *below)
+    ids = rows.groupBy(F.col(key).alias("__i")).agg(F.countDistinct("id").alias("ids"))
+    both = read.join(ranks, F.col(key).eqNullSafe(F.col("__r"))).join(ids, F.col(key).eqNullSafe(F.col("__i")))
 
     def close(c: str, q: float):
-        rows = F.count(F.lit(1))
-        upto, below = F.count_if(F.col("quantity") <= F.col(c)), F.count_if(F.col("quantity") < F.col(c))
-        return (upto >= (q - 0.02) * rows - 1) & (below <= (q + 0.02) * rows + 1)
-
-    ids = F.countDistinct("id")
-    return both.groupBy("product_id").agg(
-        *[F.max(c).alias(c) for c in ("n",)],
-        *[round_to(F.max(c), 2).alias(c) for c in ("avg_value", "min_value", "max_value")],
-        (F.abs(F.max("unique_ids") - ids) <= F.greatest(F.lit(1.0), 0.03 * ids)).alias("ids_close"),
-        close("median_quantity", 0.5).alias("median_close"),
-        close("quantile_90_quantity", 0.9).alias("p90_close"),
+        return (F.col(f"upto_{c}") >= (q - 0.02) * F.col("n") - 1) & (F.col(f"below_{c}") <= (q + 0.02) * F.col("n") + 1)
+
+    return both.select(
+        key,
+        "n",
+        *[round_to(c, 2).alias(c) for c in ("avg_value", "min_value", "max_value")],
+        (F.abs(F.col("unique_ids") - F.col("ids")) <= F.greatest(F.lit(1.0), 0.03 * F.col("ids"))).alias("ids_close"),
+        *[close(c, q).alias(name) for c, (name, q) in quantiles.items()],
     )
 
 
@@ -394,16 +407,8 @@ def supplier_stats_rollup(t):
     path = new_path(t.spark, "supplier-stats")
     W.write_partitioned(states, path, ["year"])
     stored = t.spark.read.schema(states.schema).parquet(path)
-    read = read_stat_states(stored, ["supplier_id"], {"median_quantity": 0.5}).withColumnRenamed("supplier_id", "supplier")
-    both = rows.join(read, F.col("supplier_id") == F.col("supplier"))
-    ids, all_rows = F.countDistinct("id"), F.count(F.lit(1))
-    upto, below = F.count_if(F.col("quantity") <= F.col("median_quantity")), F.count_if(F.col("quantity") < F.col("median_quantity"))
-    return both.groupBy("supplier_id").agg(
-        F.max("n").alias("n"),
-        *[round_to(F.max(c), 2).alias(c) for c in ("avg_value", "min_value", "max_value")],
-        (F.abs(F.max("unique_ids") - ids) <= F.greatest(F.lit(1.0), 0.03 * ids)).alias("ids_close"),
-        ((upto >= 0.48 * all_rows - 1) & (below <= 0.52 * all_rows + 1)).alias("median_close"),
-    )
+    read = read_stat_states(stored, ["supplier_id"], {"median_quantity": 0.5})
+    return _with_bounds(rows, read, "supplier_id", {"median_quantity": ("median_close", 0.5)})
 
 
 @query(

@@ -127,3 +127,11 @@ def test_exact_counts_carry_no_approximate_states(small):
 def test_literal_rows_leave_the_other_side_in_place(small):
     text = plan(ALL["scan_values"].build(small))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_distinct_ids_are_counted_without_the_statistics(small):
+    """The aggregates that group by id hold nothing else."""
+    for name, key in (("supplier_stats_rollup", "supplier_id"), ("q_stats_rollup", "product_id")):
+        lines = [line for line in plan(ALL[name].build(small)).splitlines() if "Aggregate(keys=[" in line]
+        wide = [line for line in lines if "id#" in line.split("functions=")[0].replace(f"{key}#", "")]
+        assert wide and all(line.split("functions=")[1].startswith("[]") for line in wide)
