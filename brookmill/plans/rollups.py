@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,16 +153,21 @@ def rollup_corrected_batch(t):
     return _final(rollup.read())
 
 
+#: Rows of a topic's file, about; one task writes a file. The stream takes a third of the files at a time.
+TOPIC_FILE_ROWS = 1_000_000
+
+
 @query("rollup_populate_then_stream", "MV-03", _BASE_SQL)
 def rollup_populate_then_stream(t):
     """The view is filled with all rows up to an offset and then follows the stream from that offset on."""
     rows = _with_flag(t).withColumn("offset", F.col("id"))
-    half = rows.agg(F.percentile_approx("offset", 0.5).alias("o")).first()["o"] or 0
+    seen = rows.agg(F.percentile_approx("offset", 0.5).alias("half"), F.count(F.lit(1)).alias("n")).first()
+    half, files = seen["half"] or 0, 3 * max(2, math.ceil(seen["n"] / (3 * TOPIC_FILE_ROWS)))
     rollup = _rollup(t)
     rollup.add_batch(rows.filter(F.col("offset") <= half), "populate")
     topic = new_path(t.spark, "sales-topic")
-    rows.repartitionByRange(6, "offset").write.parquet(topic)
-    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(topic)
+    rows.repartitionByRange(files, "offset").write.parquet(topic)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 3).parquet(topic)
     later = stream.filter(F.col("offset") > half)
     ingest.run_available(later, new_path(t.spark, "cp"), lambda df, batch: rollup.add_batch(df, f"stream-{batch}"))
     return _final(rollup.read())

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from brookmill.plans import load_all
+from brookmill.plans import load_all, rollups
 from brookmill.plans.registry import expand_round_to
 from tests.compare import connect, difference
 from tests.conftest import MIDDLE, SMALL
@@ -78,3 +79,16 @@ def test_entry_works_without_what_the_training_queries_need():
     code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') and n[2].isdigit() for n in e.queries()))"
     done = subprocess.run([sys.executable, "-W", "always", "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
     assert done.stdout.split() == [str(len(ALL)), "False"] and "left out" in done.stderr
+
+
+def test_topic_files_follow_the_rows(spark, monkeypatch):
+    """A task writes about ``TOPIC_FILE_ROWS`` rows of the topic, and the stream still takes it in three batches."""
+    paths, new_path = {}, rollups.new_path
+    monkeypatch.setattr(rollups, "new_path", lambda s, name: paths.setdefault(name, new_path(s, name)))
+    monkeypatch.setattr(rollups, "TOPIC_FILE_ROWS", 500)
+    assert difference(spark, connect(SMALL), ALL["rollup_populate_then_stream"], SMALL) is None
+    topic = spark.read.parquet(paths["sales-topic"])
+    sizes = [r["count"] for r in topic.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 9 and max(sizes) < 1_000 and sum(sizes) == topic.count()
+    batches = {r["batch_id"] for r in spark.read.parquet(f"{paths['sales-rollup']}/batches").select("batch_id").distinct().collect()}
+    assert batches <= {"populate", "stream-0", "stream-1", "stream-2"}
